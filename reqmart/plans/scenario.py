@@ -77,31 +77,43 @@ def measure_name(settings: dict[str, Column]) -> Column:
     )
 
 
-def _year_attributes(years: Column, year: int) -> Column:
-    """Struct of one projected year's attributes, each from the first group of its kind."""
-    element = F.get(F.filter(years, lambda e: _year_number(e) == year), 0)
+def _element_of(years: Column, year: int) -> Column:
+    """The first element for ``year``; null if there is none."""
+    return F.get(F.filter(years, lambda element: _year_number(element) == year), 0)
+
+
+def _attributes(element: Column) -> list[Column]:
+    """Attributes of one projected year, each from the first group of its kind."""
     network = F.get(element["network_pricing_groups"], 0)
     rebate = F.get(element["rebate_pricing_groups"], 0)
     specialty = F.get(element["specialty_pricing_groups"], 0)
     settings = {name: specialty[name] for name in SPECIALTY_SETTINGS}
-    return F.struct(
-        network["network_guid"].alias("network_guid"),
-        F.coalesce(network["formulary_guid"], rebate["formulary_guid"]).alias("formulary_guid"),
-        *(value.alias(name) for name, value in settings.items()),
-        measure_name(settings).alias("col_name"),
-    )
+    return [
+        network["network_guid"],
+        F.coalesce(network["formulary_guid"], rebate["formulary_guid"]),
+        *settings.values(),
+        measure_name(settings),
+    ]
 
 
 def scenario_attributes(parameters: DataFrame) -> DataFrame:
     """Parameters with ``yr<n>_<attribute>`` columns for the projected years 1, 2, 3 and 0.
 
-    A missing formulary of the network group is taken from the rebate group.
+    A missing formulary of the network group is taken from the rebate group. The payload is parsed
+    once and each year looked up once: both stand in columns of their own, which Spark does not
+    repeat for every use.
     """
     parsed = parameters.withColumn("years", projected_years(F.col("request_payload")))
-    structs = {f"yr{y}": _year_attributes(F.col("years"), y) for y in fixed.PROJECTED_YEARS}
-    return parsed.withColumns(structs).select(
+    found = parsed.withColumns(
+        {f"yr{y}": _element_of(F.col("years"), y) for y in fixed.PROJECTED_YEARS}
+    )
+    return found.select(
         *parameters.columns,
-        *(F.col(f"yr{y}.{a}").alias(f"yr{y}_{a}") for y in fixed.PROJECTED_YEARS for a in ATTRIBUTES),
+        *(
+            value.alias(f"yr{y}_{name}")
+            for y in fixed.PROJECTED_YEARS
+            for name, value in zip(ATTRIBUTES, _attributes(F.col(f"yr{y}")))
+        ),
     )
 
 
@@ -132,6 +144,10 @@ def scenario_settings(parameters: DataFrame, params: DataFrame) -> DataFrame:
 
 
 def unreported(parameters: DataFrame, reported: DataFrame) -> DataFrame:
-    """Distinct parameters of scenarios that are not reported yet and did not fail."""
+    """Parameters of scenarios that are not reported yet and did not fail.
+
+    Repeated rows are left in: they fall together when the projected years are made distinct, which
+    spares a shuffle of the payloads.
+    """
     fresh = parameters.where(F.col("status") != fixed.FAILED)
-    return fresh.distinct().join(reported.select("scenario_id").distinct(), "scenario_id", "left_anti")
+    return fresh.join(reported.select("scenario_id").distinct(), "scenario_id", "left_anti")

@@ -34,12 +34,9 @@ class ReportStore:
 
     def exists(self, name: str) -> bool:
         """Whether the table is there; completes a replacement that was broken off before its last step."""
-        if self.spark.catalog.tableExists(self.table(name)):
-            return True
         if self.spark.catalog.tableExists(self.table(name + NEXT)):
-            self.spark.sql(f"ALTER TABLE {self.table(name + NEXT)} RENAME TO {self.table(name)}")
-            return True
-        return False
+            self._put_in_place(name)
+        return self.spark.catalog.tableExists(self.table(name))
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(self.table(name))
@@ -93,8 +90,7 @@ class ReportStore:
         self.drop(following)
         self._clear_leftovers(following)
         self._create(df, following, partition_by)
-        self.drop(name)
-        self.spark.sql(f"ALTER TABLE {self.table(following)} RENAME TO {self.table(name)}")
+        self._put_in_place(name)
 
     def write_once(self, df: DataFrame, name: str) -> None:
         if not self.exists(name):
@@ -113,15 +109,26 @@ class ReportStore:
         self._fit(df, name).write.insertInto(self.table(name))
 
     def replace_declared(self, df: DataFrame, name: str, schema: str, partition_by: list[str]) -> None:
-        """Full refresh of a declared table, by way of a new one."""
-        following = name + NEXT
-        self.drop(following)
-        self._clear_leftovers(following)
+        """Full refresh of a declared table: its columns, types and partitions, and these rows only."""
         declared = T.StructType.fromDDL(schema)
         typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in declared))
-        self._create(typed, following, partition_by)
+        self.full_replace(typed, name, partition_by)
+
+    def _put_in_place(self, name: str) -> None:
+        """Let the completely written next table take the name.
+
+        A plain table is renamed. Partitions keep their old folders on a rename, so a partitioned
+        table is copied; the next table stays until the copy is there.
+        """
+        following = name + NEXT
+        partition_by = self._partition_columns(following)
         self.drop(name)
-        self.spark.sql(f"ALTER TABLE {self.table(following)} RENAME TO {self.table(name)}")
+        if partition_by:
+            self._clear_leftovers(name)
+            self._create(self.read(following), name, partition_by)
+            self.drop(following)
+        else:
+            self.spark.sql(f"ALTER TABLE {self.table(following)} RENAME TO {self.table(name)}")
 
     def _create(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
         """Write a new table. The rows are spread by partition, large partitions over several tasks."""
@@ -176,7 +183,7 @@ class ReportStore:
             self.spark.sql(f"ALTER TABLE {self.table(name)} DROP IF EXISTS {specs}")
 
     def _clear_leftovers(self, name: str) -> None:
-        """Remove files of a write that was broken off before its table came into being."""
+        """Remove files of a replacement that was broken off before its table came into being."""
         place = self.spark.sql(f"DESCRIBE DATABASE {self.database}").where("info_name = 'Location'")
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{place.first()['info_value']}/{name}")
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
