@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reqmart.operators.spread import spread
+
 
 def distinct_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """The complete keys of ``df``, once each. A key with a null part identifies nothing."""
@@ -20,9 +22,9 @@ def new_keys(current: DataFrame, seen: DataFrame | None, keys: list[str]) -> Dat
     anti join reuses the partitioning of the two aggregates.
     """
     fresh = distinct_keys(current, keys)
-    if seen is None:
-        return fresh
-    return fresh.join(distinct_keys(seen, keys), keys, "left_anti")
+    if seen is not None:
+        fresh = fresh.join(distinct_keys(seen, keys), keys, "left_anti")
+    return spread(fresh)
 
 
 def restrict(df: DataFrame, wanted: DataFrame, on: dict[str, str] | list[str]) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from reqmart.operators.spread import spread
+
 
 def distinct_lookup(df: DataFrame, columns: list[str]) -> DataFrame:
     """The named columns without repeated rows. A key with two values keeps both."""
-    return df.select(*columns).distinct()
+    return spread(df.select(*columns).distinct())
 
 
 def one_per_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
@@ -16,7 +18,8 @@ def one_per_key(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     A join to it never multiplies the facts.
     """
     best = F.min(F.struct(*values)).alias("best")
-    return df.groupBy(*keys).agg(best).select(*keys, *(F.col(f"best.{v}").alias(v) for v in values))
+    picked = df.groupBy(*keys).agg(best)
+    return spread(picked.select(*keys, *(F.col(f"best.{v}").alias(v) for v in values)))
 
 
 def unique_lookup(df: DataFrame, keys: list[str], values: list[str], by: str = "key") -> DataFrame:
@@ -28,13 +31,12 @@ def unique_lookup(df: DataFrame, keys: list[str], values: list[str], by: str = "
     """
     if by == "entry":
         grouped = df.groupBy(*keys, *values).agg(F.count("*").alias("occurrences"))
-        return grouped.where("occurrences = 1").select(*keys, *values)
+        return spread(grouped.where("occurrences = 1").select(*keys, *values))
     if by != "key":
         raise ValueError(f"by must be 'key' or 'entry', not {by!r}")
     # With a single row in the group, any row's values are that row's.
     grouped = df.groupBy(*keys).agg(
         F.count("*").alias("occurrences"), F.min(F.struct(*values)).alias("entry")
     )
-    return grouped.where("occurrences = 1").select(
-        *keys, *(F.col(f"entry.{v}").alias(v) for v in values)
-    )
+    single = grouped.where("occurrences = 1")
+    return spread(single.select(*keys, *(F.col(f"entry.{v}").alias(v) for v in values)))

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from reqmart.functions import fixed_values as fixed
 from reqmart.functions.times import local_time
 from reqmart.operators.aggregates import union_distinct
+from reqmart.operators.keys import restrict
+from reqmart.operators.lookups import distinct_lookup
 from reqmart.operators.reshape import conditional_sums, pick_by_name, unpivot_measures
 from reqmart.plans.scenario import MEASURE_NAMES, SPECIALTY_SETTINGS, scenario_settings, unreported
 
@@ -129,13 +131,13 @@ def mshare_increment(
 ) -> DataFrame:
     """Market share of the scenarios that ``reported`` lacks."""
     fresh = unreported(parameters, reported)
-    scenarios = fresh.select("scenario_id").distinct()
+    scenarios = distinct_lookup(fresh, ["scenario_id"])
     settings = scenario_settings(fresh, params)
-    detail = mshare_detail(
-        revenue_sums(revenue.join(scenarios, "scenario_id", "left_semi")), settings
+    revenue, buckets, specialty = (
+        restrict(table, scenarios, ["scenario_id"]) for table in (revenue, buckets, specialty)
     )
-    wanted = (t.join(scenarios, "scenario_id", "left_semi") for t in (buckets, specialty))
-    return mshare_combined(detail, share_claims(*wanted, specialty_bucket))
+    detail = mshare_detail(revenue_sums(revenue), settings)
+    return mshare_combined(detail, share_claims(buckets, specialty, specialty_bucket))
 
 
 def declared_share_rows(combined: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reqmart.functions import fixed_values as fixed
 from reqmart.operators.aggregates import latest_per_key
+from reqmart.operators.lookups import distinct_lookup
 from reqmart.operators.reshape import unpivot_groups
 
 # Leaves are declared as text: that is how they are compared and put out.
@@ -150,4 +151,4 @@ def unreported(parameters: DataFrame, reported: DataFrame) -> DataFrame:
     spares a shuffle of the payloads.
     """
     fresh = parameters.where(F.col("status") != fixed.FAILED)
-    return fresh.join(reported.select("scenario_id").distinct(), "scenario_id", "left_anti")
+    return fresh.join(distinct_lookup(reported, ["scenario_id"]), "scenario_id", "left_anti")

@@ -1,0 +1,154 @@
+"""One key with a third of all rows: results stay whole, and its joins are split."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from reqmart.operators import aggregates, keys, lookups
+from reqmart.plans import shifted
+from tests.conftest import rows
+
+ROWS = 120_000
+
+
+@pytest.fixture
+def skewed(spark, tmp_path, setting):
+    """A third of the rows under key 0, partly exact copies; small partitions count as large here."""
+    path = str(tmp_path / "skewed")
+    hot = F.col("id") % 3 == 0
+    spark.range(0, ROWS, 1, 12).select(
+        F.when(hot, 0).otherwise(F.col("id") % 1000).alias("k"),
+        F.when(F.col("id") % 6 == 0, 7).otherwise(F.col("id")).alias("v"),
+        F.when(F.col("id") % 6 == 0, "copied text").otherwise(F.md5(F.col("id").cast("string"))).alias("filler"),
+    ).write.parquet(path)
+    setting(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20000",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20000",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__shuffle__partitions="64",
+    )
+    return spark.read.parquet(path)
+
+
+def final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_semi_join_of_a_hot_key_is_split(spark, skewed):
+    wanted = spark.range(0, 500).select(F.col("id").alias("key")).withColumn("pad", F.lit("x"))
+    kept = keys.restrict(skewed, wanted, {"k": "key"})
+    assert kept.count() == skewed.where("k < 500").count()
+    assert "skew=true" in final_plan(kept.groupBy("k", "filler").agg(F.sum("v")))
+
+
+def test_lookup_join_of_a_hot_key_is_split_before_an_aggregate(spark, skewed):
+    """Even though the aggregate could reuse the join's partitioning."""
+    table = spark.range(0, 1000).selectExpr("id k", "id * 10 w").unionAll(spark.range(0, 1000).selectExpr("id", "id * 20"))
+    lookup = lookups.one_per_key(table, ["k"], ["w"])
+    summed = skewed.join(lookup, "k", "left").groupBy("k", "filler", "w").agg(F.sum("v").alias("v"))
+    assert "skew=true" in final_plan(summed)
+    total = skewed.agg(F.sum("v")).first()[0]
+    assert summed.agg(F.sum("v")).first()[0] == total
+    assert summed.where("w <> k * 10").isEmpty()
+
+
+def test_group_totals_of_a_hot_key(skewed):
+    got = aggregates.with_group_totals(skewed, ["k"], {"n": F.count("*"), "s": F.sum("v")}, ["k", "v"])
+    assert got.count() == ROWS
+    expected = skewed.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("s"))
+    assert rows(got.select("k", "n", "s").distinct()) == rows(expected)
+    assert "skew=true" in final_plan(got)
+
+
+def test_latest_rows_of_a_hot_key_with_many_ties(skewed):
+    tied = skewed.withColumn("t", F.when(F.col("k") == 0, 1).otherwise(F.col("v")))
+    latest = aggregates.latest_per_key(tied, ["k"], ["t"])
+    ranked = tied.selectExpr("*", "rank() over (partition by k order by t desc) r").where("r = 1")
+    assert latest.count() == ranked.count() > ROWS / 3
+    assert "skew=true" in final_plan(latest)
+
+
+def test_new_keys_shrinks_repeats_before_the_shuffle(spark, skewed):
+    """Each task sends a key once, however often it occurs there."""
+    fresh = keys.new_keys(skewed, skewed.where("k >= 10"), ["k"])
+    assert rows(fresh) == [(k,) for k in sorted(range(10), key=str)]
+    # Two sides, each grouped within its tasks and once more after the shuffle.
+    assert final_plan(fresh).split("Initial Plan")[0].count("HashAggregate") == 4
+
+
+def test_flag_report_with_a_hot_request(spark, skewed):
+    """Against windows over the raw rows."""
+    measures = ["currawp", "currwac", "currnadac", "claims", "adjawp", "adjwac", "dayssply"]
+    facts = skewed.selectExpr(
+        "string(k) parent_request_id", "'r' req_gid", "'t' task_id", "string(v % 3) prop_frmly_id", "'n' prop_ntwrk",
+        "elt(int(v % 3) + 1, 'Y', 'N', 'P') origclaim", "2024 year", "int(v % 12) month", "string(v) claimnbr",
+        *(f"double(v % 10) {m}" for m in measures),
+    )
+    report = shifted.shifted_by_flag(facts, "origclaim")
+    counts = report.select("parent_request_id", "origclaim", F.coalesce(*(F.col(f"clm_cnt_origclaim_{f}") for f in "ynp")))
+    expected = facts.selectExpr(
+        "parent_request_id", "origclaim",
+        "size(collect_set(claimnbr) over (partition by parent_request_id, origclaim)) n",
+    )
+    assert rows(counts.distinct()) == rows(expected.distinct().selectExpr("parent_request_id", "origclaim", "bigint(n)"))
+    assert report.agg(F.sum("sum_claims")).first() == facts.agg(F.sum("claims")).first()
+
+
+def test_cost_report_with_a_hot_request_and_a_hot_code(spark, skewed, tmp_path):
+    """A third of the facts in one request, under one drug code; no lookup may be broadcast."""
+    from reqmart.plans import cogs
+    from tests import sample
+
+    data = [("p", "r", "STD", "d", 1, "net", "B", "G", 1.0, 1.0)]
+    template = sample.facts(spark, data)
+    varied = {
+        "parent_request_id": "concat('p', k)", "request_id": "'r1'", "ndc": "if(k = 0, 'd1', concat('d', v % 50))",
+        "day_sply_qty": "int(v % 90)", "phmcy_st": "filler", "awp": "double(v % 100 + 1)", "claims_count": "1d",
+    }
+    constant = template.first().asDict()
+    columns = []
+    for name, kind in template.dtypes:
+        expression = varied.get(name, f"cast({constant[name]!r} as {kind})")
+        columns.append(f"{expression} as {name}")
+    path = str(tmp_path / "facts")
+    skewed.selectExpr(*columns).write.parquet(path)
+    facts = spark.read.parquet(path)
+
+    requests = spark.range(0, 1000).selectExpr("concat('p', id) parent_request_id", "'r1' request_id", "'UW1' task_id")
+    path = str(tmp_path / "requests")
+    requests.write.parquet(path)
+    requests = spark.read.parquet(path)
+    params = requests.selectExpr(
+        "*", "'Acme' client_description", "'S' super_client_id", "timestamp '2024-01-02 12:00:00' inp_load_ts"
+    )
+    network = requests.selectExpr("*", "'broad' type", "'one' primary", "'two' secondary", "'NG' network_guid")
+    formulary = requests.selectExpr("*", "'FG' formulary_guid", "'open' type")
+    codes = spark.range(0, 50).selectExpr("concat('d', id) ndc11", "if(id % 2 = 1, 'Y', 'N') ldd_waccess", "'N' ldd_woaccess")
+    delta = keys.new_keys(
+        requests.where("parent_request_id <> 'p7'").toDF("uw_req_id", "req_gid", "cpt_id"), None,
+        ["uw_req_id", "req_gid", "cpt_id"],
+    )
+    names = spark.createDataFrame([("F1", "First")], "formulary_id string, formulary_name string")
+    report = cogs.cogs_report(facts, delta, params, names, network, formulary, codes)
+    by = ["parent_request_id", "proj_network_type", "ldd_flag", "dataset_identifier"]
+    got = report.groupBy(*by).agg(F.sum("sum_awp_cogs"), F.sum("sum_claims_cogs"))
+    expected = (
+        facts.where("parent_request_id <> 'p7'")
+        .selectExpr(
+            "parent_request_id",
+            "case when day_sply_qty < 45 then 'PRIMARY' when day_sply_qty > 45 then 'SECONDARY' else 'TERTIARY' end tier",
+            "if(substr(ndc, 2) % 2 = 1, 'LDD_WACCESS', 'N') flag",
+            "explode(array('PBM', 'MS')) dataset",
+            "awp",
+            "claims_count",
+        )
+        .groupBy("parent_request_id", "tier", "flag", "dataset")
+        .agg(F.sum("awp"), F.sum("claims_count"))
+    )
+    assert rows(got) == rows(expected)
+    # The restriction to the delta's requests and the lookup of the drug code.
+    assert final_plan(report).split("Initial Plan")[0].count("skew=true") >= 2
