@@ -15,6 +15,9 @@ SETTINGS = {
     # join partition whole whenever the aggregate that follows could reuse the join's partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Where every shuffled partition of a join's smaller side is this small, hash it instead of
+    # sorting both sides. Measured at run time, partition by partition.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
 }
 
 

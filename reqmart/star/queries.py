@@ -46,10 +46,10 @@ def query(function: Query) -> Query:
     return run
 
 
-def current_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def current_requests(params: DataFrame) -> DataFrame:
     """Requests of known clients, under the ledger's key names."""
-    params = star.request_params(spark, sf_dir).where(F.col("client_description").isNotNull())
-    return keys.rename(params, fixed.REQUEST_KEYS, fixed.LEDGER_KEYS)
+    known = params.where(F.col("client_description").isNotNull())
+    return keys.rename(known, fixed.REQUEST_KEYS, fixed.LEDGER_KEYS)
 
 
 def seen_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +57,9 @@ def seen_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keys.rename(history, ["parent_req_id", "req_id", "task_id"], fixed.LEDGER_KEYS)
 
 
-def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keys.new_keys(current_requests(spark, sf_dir), seen_requests(spark, sf_dir), fixed.LEDGER_KEYS)
+def delta(spark: SparkSession, sf_dir: str, params: DataFrame | None = None) -> DataFrame:
+    current = current_requests(star.request_params(spark, sf_dir) if params is None else params)
+    return keys.new_keys(current, seen_requests(spark, sf_dir), fixed.LEDGER_KEYS)
 
 
 def ledger_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +112,11 @@ def request_reconciliation(spark, sf_dir):
 
 
 def cost_report(spark, sf_dir):
+    params = star.request_params(spark, sf_dir)
     return cogs.cogs_report(
         star.claim_output(spark, sf_dir),
-        delta(spark, sf_dir),
-        star.request_params(spark, sf_dir),
+        delta(spark, sf_dir, params),
+        params,
         star.formulary_list(spark, sf_dir),
         star.request_network(spark, sf_dir),
         star.request_formulary(spark, sf_dir),
@@ -123,10 +125,11 @@ def cost_report(spark, sf_dir):
 
 
 def drug_mix_report(spark, sf_dir):
+    params = star.request_params(spark, sf_dir)
     return gpi.gpi_report(
         star.claim_output(spark, sf_dir),
-        delta(spark, sf_dir),
-        star.request_params(spark, sf_dir),
+        delta(spark, sf_dir, params),
+        params,
         star.formulary_list(spark, sf_dir),
         star.request_network(spark, sf_dir),
         star.request_formulary(spark, sf_dir),
