@@ -28,9 +28,17 @@ def new_keys(current: DataFrame, seen: DataFrame | None, keys: list[str]) -> Dat
 
 
 def restrict(df: DataFrame, wanted: DataFrame, on: dict[str, str] | list[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted``; never more rows than ``df`` has."""
+    """Rows of ``df`` whose key is in ``wanted``; never more rows than ``df`` has.
+
+    Where ``df`` is partitioned by a key and the wanted keys are few enough to be broadcast, only
+    their partitions are read. Spark prunes that way only for a side that is filtered by some
+    comparison, so text keys are given one that holds for all of them.
+    """
     pairs = on if isinstance(on, dict) else {name: name for name in on}
     keys = wanted.select(*(F.col(theirs).alias(ours) for ours, theirs in pairs.items()))
+    for name, kind in keys.dtypes:
+        if kind == "string":
+            keys = keys.where(F.col(name) >= "")
     return df.join(keys, list(pairs), "left_semi")
 
 

@@ -40,9 +40,10 @@ def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
     Later steps then neither repeat the lineage nor see tables that changed meanwhile, and the
-    written size lets Spark decide soundly whether the result may be broadcast.
+    written size lets Spark decide soundly whether the result may be broadcast. The folder of an
+    application may be removed once it has ended.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/reqmart/{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/reqmart/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

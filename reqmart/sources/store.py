@@ -79,7 +79,7 @@ class ReportStore:
         rows = materialise(df)
         self._grow(name, rows)
         self._overwrite_partitions(self._fit(rows, name), name)
-        present = restrict(self.read(name).select(*partition_by).distinct(), keys, on)
+        present = restrict(self.read(name).select(*partition_by), keys, on).distinct()
         written = rows.select(*(F.col(c).alias(f"new_{c}") for c in partition_by)).distinct()
         stale = present.join(written, same_key(present, written, {c: f"new_{c}" for c in partition_by}), "left_anti")
         self._drop_partitions(stale, name)
