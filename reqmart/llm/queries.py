@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import mixing
+from reqmart.llm import mixing, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +28,16 @@ def op9_source_mix(spark, sf_dir):
     return mix.select(
         "doc.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op10_token_files(spark, sf_dir):
+    """Places, lengths and checksums of all documents' ids, from the token files that hold them."""
+    return token_files.token_table(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
