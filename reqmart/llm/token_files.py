@@ -18,6 +18,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ HAS_CHECKSUMS = 0x80
 
 FRAME_IDS = 65536
 #: Words whose ids a worker keeps; beyond it starts anew. Bounds memory only.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 #: ASCII characters that Python's split() takes for white space and the tokenizer does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
 
@@ -46,54 +47,129 @@ DOCUMENTS = "path string, start_in_file long, doc_id long, n_tokens long, ids_cr
 NULL_ID = -(2**63)
 
 
+class Numbered(dict):
+    """Numbers words in the order in which they are first looked up; ``fresh`` has those not learned yet."""
+
+    def __init__(self):
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
+class Ragged:
+    """Many short arrays of ids, one after the other."""
+
+    def __init__(self):
+        self.starts, self.ids = np.zeros(1, dtype=np.int64), np.zeros(0, dtype=np.uint32)
+
+    def extend(self, lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The arrays of these numbers, joined, and their lengths."""
+        starts = self.starts[numbers]
+        lengths = self.starts[numbers + 1] - starts
+        ends = np.cumsum(lengths)
+        return self.ids[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())], lengths
+
+
 class WordEncoder:
     """Ids of whole texts by way of their words.
 
-    The tokenizer normalises character by character and never joins across white space, so a text's ids are those of
-    its words in turn. Each distinct word goes through the tokenizers library once while it is kept.
+    The tokenizer normalises character by character and never joins across white space, or across the end of a run of
+    letters, so a text's ids are those of its words in turn, and those of "word," are those of "word" and of ",". Each distinct
+    word goes through the tokenizers library once while it is kept.
     """
 
     def __init__(self, tokenizer_path: str):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
-        self.encode = Tokenizer.from_file(tokenizer_path).encode_batch_fast
+        tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.encode = tokenizer.encode_batch_fast
+        self.marks = {mark: tokenizer.encode(mark, add_special_tokens=False).ids for mark in ".,"}
+        pieces = tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(pieces.values()) + 1, dtype=bool)
+        self.ends_word[[i for piece, i in pieces.items() if piece.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.starts = np.zeros(1, dtype=np.int64)
-        self.ids = np.zeros(0, dtype=np.uint32)
-
-    def _learn(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.encode(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
-        flat = np.fromiter((i for ids in encoded for i in ids), dtype=np.uint32, count=int(lengths.sum()))
-        self.numbers.update(zip(words, range(len(self.numbers), len(self.numbers) + len(words))))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, flat])
+        self.words, self.stems = Numbered(), Numbered()
+        self.word_ids, self.stem_ids = Ragged(), Ragged()
+
+    def _learn_stems(self) -> None:
+        fresh, self.stems.fresh = self.stems.fresh, []
+        # A stem of letters only is one word to the tokenizer: many go in one text, and their last pieces tell them apart.
+        letters = [w for w in fresh if w.isalpha()]
+        lines = [" ".join(letters[at : at + 500]) for at in range(0, len(letters), 500)]
+        joined = self._flat(self.encode(lines, add_special_tokens=False))
+        ends = np.flatnonzero(self.ends_word[joined]) + 1
+        if len(ends) != len(letters):  # a letter that is normalised to something else
+            each = self.encode(letters, add_special_tokens=False)
+            joined, ends = self._flat(each), np.cumsum([len(e.ids) for e in each], dtype=np.int64)
+        others = self.encode([w for w in fresh if not w.isalpha()], add_special_tokens=False)
+        found = Ragged()
+        found.extend(np.diff(ends, prepend=0), joined)
+        found.extend(np.array([len(e.ids) for e in others], dtype=np.int64), self._flat(others))
+        places, is_letters = np.zeros(len(fresh), dtype=np.int64), np.array([w.isalpha() for w in fresh], dtype=bool)
+        places[is_letters] = np.arange(len(letters))
+        places[~is_letters] = len(letters) + np.arange(len(others))
+        ids, lengths = found.take(places)
+        self.stem_ids.extend(lengths, ids)
+
+    @staticmethod
+    def _flat(encoded: list) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, dtype=np.uint32) for e in encoded)])
+
+    def _learn(self) -> None:
+        fresh, self.words.fresh = self.words.fresh, []
+        stems, marks = zip(*map(split_mark, fresh))
+        numbers = np.fromiter(map(self.stems.__getitem__, stems), dtype=np.int64, count=len(stems))
+        if self.stems.fresh:
+            self._learn_stems()
+        ids, lengths = self.stem_ids.take(numbers)
+        marked = [self.marks.get(m, []) for m in marks]
+        mark_lengths = np.fromiter(map(len, marked), dtype=np.int64, count=len(marked))
+        at = np.repeat(np.cumsum(lengths), mark_lengths)
+        self.word_ids.extend(lengths + mark_lengths, np.insert(ids, at, [i for m in marked for i in m]))
 
     def ids_of(self, texts: list[str | None], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each followed by ``end_id``, and how many there are of each."""
-        if len(self.numbers) > KEPT_WORDS:
+        if len(self.words) > KEPT_WORDS:
             self._forget()
-        words, counts = [], []
-        for text in texts:
-            own = words_of(text or "")
-            words.extend(own)
-            counts.append(len(own))
-        fresh = [w for w in dict.fromkeys(words) if w not in self.numbers]
-        if fresh:
-            self._learn(fresh)
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.int64, count=len(words))
-        starts, lengths = self.starts[numbers], np.diff(self.starts)[numbers]
-
-        ends_at = np.cumsum(np.asarray(counts, dtype=np.int64))
-        before = np.concatenate([[0], np.cumsum(lengths)])
-        n_tokens = np.diff(np.concatenate([[0], before[ends_at]])) + 1
-        flat = np.repeat(starts - before[:-1], lengths) + np.arange(before[-1])
-        out = np.insert(self.ids[flat], before[ends_at], np.uint32(end_id))
-        return out, n_tokens
+        pieces = [words_of(text or "") for text in texts]
+        counts = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        numbers = np.fromiter(
+            map(self.words.__getitem__, chain.from_iterable(pieces)), dtype=np.int64, count=int(counts.sum())
+        )
+        if self.words.fresh:
+            self._learn()
+        ids, lengths = self.word_ids.take(numbers)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
+        return np.insert(ids, ends, np.uint32(end_id)), np.diff(ends, prepend=0) + 1
+
+
+def worker_encoder(tokenizer_path: str) -> WordEncoder:
+    """The encoder of this worker process, which serves many tasks. It is kept with the tokenizers module, because functions
+    that travel by value get new globals in each task."""
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_word_encoders", {})
+    if tokenizer_path not in kept:
+        kept[tokenizer_path] = WordEncoder(tokenizer_path)
+    return kept[tokenizer_path]
+
+
+def split_mark(word: str) -> tuple[str, str]:
+    """The word and a full stop or comma right after its last letter; plain ASCII in lower case, as the tokenizer has it."""
+    mark = ""
+    if word[-1] in ".," and word[-2:-1].isalpha():
+        word, mark = word[:-1], word[-1]
+    return (word.lower() if word.isascii() else word), mark
 
 
 def words_of(text: str) -> list[str]:
@@ -214,13 +290,13 @@ def write_token_files(
             if not batch.num_rows:
                 continue
             if writer is None:
-                encoder = WordEncoder(tokenizer_path)
+                encoder = worker_encoder(tokenizer_path)
                 store.create_dir(place, recursive=True)
                 writer = SeekableWriter(store.open_output_stream(path, compression=None), level)
             doc_ids = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
-            for at in range(0, batch.num_rows, 256):
-                ids, n_tokens = encoder.ids_of(batch.column(2)[at : at + 256].to_pylist(), end_id)
-                writer.add(doc_ids[at : at + 256], n_tokens, ids)
+            for at in range(0, batch.num_rows, 1024):
+                ids, n_tokens = encoder.ids_of(batch.column(2)[at : at + 1024].to_pylist(), end_id)
+                writer.add(doc_ids[at : at + 1024], n_tokens, ids)
                 documents, tokens = documents + len(n_tokens), tokens + len(ids)
             first = first or (int(doc_ids[0]), batch.column(1)[0].as_py())
         if writer is not None:
