@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import mixing, token_files
+from reqmart.llm import mixing, ordinal_quality as quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,3 +41,24 @@ def tokenizer(name: str) -> str:
 def op10_token_files(spark, sf_dir):
     """Places, lengths and checksums of all documents' ids, from the token files that hold them."""
     return token_files.token_table(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+#: Documents are kept whose probability of the best grade reaches this.
+LEAST_TAIL = 0.8
+
+
+def graded(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """The documents with their expected grade and the probability of the best one, by the labelled documents of the corpus."""
+    grade = quality.grade_of(F.col("quality"), F.col("toxic"))
+    ratings = table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+    model = quality.fit(table(spark, sf_dir, "documents"), ratings, grades=3)
+    return model.score(docs, keep=keep)
+
+
+@query
+def op5_ordinal_quality(spark, sf_dir):
+    """Expected grade of each document, and whether it is kept."""
+    docs = graded(spark, table(spark, sf_dir, "documents"), sf_dir, keep=["doc_id"])
+    return docs.select(
+        "doc.doc_id", "expected_grade", F.col("tail").alias("p_best"), (F.col("tail") >= LEAST_TAIL).alias("kept")
+    )
