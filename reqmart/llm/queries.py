@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import mixing, ordinal_quality as quality, token_files
+from reqmart.llm import mixing, odd_sketch_dedup, ordinal_quality as quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,3 +62,11 @@ def op5_ordinal_quality(spark, sf_dir):
     return docs.select(
         "doc.doc_id", "expected_grade", F.col("tail").alias("p_best"), (F.col("tail") >= LEAST_TAIL).alias("kept")
     )
+
+
+@query
+def op7_odd_sketch_dedup(spark, sf_dir):
+    """Near-duplicate class of each document."""
+    classes = odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
+    return classes.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
