@@ -43,3 +43,26 @@ ORACLE["op9_source_mix"] = f"""
 WITH docs AS (SELECT doc_id, text, source FROM documents), {MIX}
 SELECT doc_id, size, source_size, target, copies * size AS taken FROM mix
 """
+
+#: Pairs of a row of ``docs`` and a benchmark item it contains.
+LEAKS = r"""
+shingled AS (
+  SELECT 0 AS side, doc_id AS id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+         lambda w: w <> '') AS w FROM docs
+  UNION ALL
+  SELECT 1, item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')
+  FROM benchmark),
+runs AS (
+  SELECT DISTINCT side, id, unnest(CASE WHEN len(w) > 0 THEN list_transform(
+    range(1, greatest(len(w) - 3, 2)), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) ELSE [] END) AS shingle
+  FROM shingled),
+leaks AS (
+  SELECT d.id AS doc_id, i.id AS item_id, any_value(n) AS item_size, count(*) AS shared
+  FROM runs d JOIN (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM runs WHERE side = 1) i USING (shingle)
+  WHERE d.side = 0 GROUP BY d.id, i.id HAVING count(*) * 100 >= any_value(n) * 80)
+"""
+
+ORACLE["op1_decontaminate"] = f"""
+WITH docs AS (SELECT doc_id, text FROM documents), {LEAKS}
+SELECT doc_id, item_id, item_size, shared, shared / item_size AS containment FROM leaks
+"""

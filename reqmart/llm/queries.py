@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import mixing, odd_sketch_dedup, ordinal_quality as quality, token_files
+from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,3 +70,9 @@ def op7_odd_sketch_dedup(spark, sf_dir):
     classes = odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return classes.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
+@query
+def op1_decontaminate(spark, sf_dir):
+    """Documents and the benchmark items they contain."""
+    return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
