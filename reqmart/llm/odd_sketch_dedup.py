@@ -189,3 +189,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return labelled.join(firsts, "label", "left").select(
         "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id")
     )
+
+
+def kept(component: str = "component_id") -> Column:
+    """Whether a document stays: the first of its class, and any without an id."""
+    return F.coalesce(F.col("doc_id") == F.col(component), F.col(component).isNull())
+
+
+def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """One document of each class, with all its columns: that of the smallest id; of equal rows of one id, one.
+
+    Documents without an id stay, but equal texts among them once.
+    """
+    classes = near_duplicates(docs, percent).where(kept()).groupBy("doc_id").agg(F.count("*").alias("rows"))
+    classes = materialise(classes)
+
+    def of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi")
+
+    alone = F.col("rows") == 1
+    return of(classes.where(alone)).union(of(classes.where(~alone)).dropDuplicates(["doc_id", "text"]))

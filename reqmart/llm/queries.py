@@ -47,18 +47,17 @@ def op10_token_files(spark, sf_dir):
 LEAST_TAIL = 0.8
 
 
-def graded(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
-    """The documents with their expected grade and the probability of the best one, by the labelled documents of the corpus."""
+def graded(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The documents with their expected grade and the probability of the best one, by those that are labelled."""
     grade = quality.grade_of(F.col("quality"), F.col("toxic"))
-    ratings = table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
-    model = quality.fit(table(spark, sf_dir, "documents"), ratings, grades=3)
+    model = quality.fit(docs, labels.select("doc_id", grade.alias("grade")), grades=3)
     return model.score(docs, keep=keep)
 
 
 @query
 def op5_ordinal_quality(spark, sf_dir):
     """Expected grade of each document, and whether it is kept."""
-    docs = graded(spark, table(spark, sf_dir, "documents"), sf_dir, keep=["doc_id"])
+    docs = graded(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), keep=["doc_id"])
     return docs.select(
         "doc.doc_id", "expected_grade", F.col("tail").alias("p_best"), (F.col("tail") >= LEAST_TAIL).alias("kept")
     )
@@ -68,8 +67,7 @@ def op5_ordinal_quality(spark, sf_dir):
 def op7_odd_sketch_dedup(spark, sf_dir):
     """Near-duplicate class of each document."""
     classes = odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
-    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
-    return classes.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+    return classes.select("doc_id", "n_shingles", "component_id", odd_sketch_dedup.kept().alias("kept"))
 
 
 @query
