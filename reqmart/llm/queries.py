@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, token_files
+from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, secret_index, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +74,21 @@ def op7_odd_sketch_dedup(spark, sf_dir):
 def op1_decontaminate(spark, sf_dir):
     """Documents and the benchmark items they contain."""
     return decontaminate.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_secret_index(spark, sf_dir):
+    """Secrets in each document: counts of the base kinds, a digest of their spans, and all spans."""
+    found = secret_index.find_secrets(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_index.BASE_RULES]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    def joined(spans):
+        texts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(texts, ",")
+
+    def of_kind(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = map(of_kind, kinds)
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
