@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, secret_index, token_files
+from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, secret_index, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +92,10 @@ def op6_secret_index(spark, sf_dir):
 
     counts = map(of_kind, kinds)
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
+@query
+def op2_page_text(spark, sf_dir):
+    """Main text of each page."""
+    text = page_text.extract(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.length("text").cast("bigint"))
