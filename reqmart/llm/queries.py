@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, secret_index, token_files
+from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, secret_index, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,3 +99,9 @@ def op2_page_text(spark, sf_dir):
     """Main text of each page."""
     text = page_text.extract(table(spark, sf_dir, "pages"))
     return text.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query
+def op3_token_counts(spark, sf_dir):
+    """Unigram token count of each document."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
