@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, secret_index, token_counts, token_files
+from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, projected_neighbours, secret_index, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,11 @@ def op2_page_text(spark, sf_dir):
 def op3_token_counts(spark, sf_dir):
     """Unigram token count of each document."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op8_projected_neighbours(spark, sf_dir):
+    """The 20 nearest vectors of each query vector."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = projected_neighbours.neighbours(vectors)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
