@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, projected_neighbours, secret_index, token_counts, token_files
+from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, projected_neighbours, secret_index, suffix_buckets, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +113,14 @@ def op8_projected_neighbours(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     found = projected_neighbours.neighbours(vectors)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op4_suffix_buckets(spark, sf_dir):
+    """Bytes, removed bytes and runs, and a digest of what remains, per document."""
+    cleaned = suffix_buckets.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cleaned.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
