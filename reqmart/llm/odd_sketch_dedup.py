@@ -4,9 +4,9 @@ A document's set is that of its five-word shingles. Documents with equal sets ar
 MinHash values are candidates; those whose odd sketches (parity bitmaps of one-permutation MinHash samples) differ in few enough bits are compared
 on their full sets. Components of the confirmed links are the classes.
 
-Groups of near copies don't become all their pairs. First each node is compared with one other, the smallest node that it
-shares a band with; the components of what is confirmed are taken. Then only pairs of different components are compared, and within a
-bucket only those with a member outside its largest component.
+Groups of near copies don't become all their pairs. First each node is compared with the hubs of its buckets, the nodes that share most
+bands with others, and linked with the one most like it if that is confirmed; the components of these links are taken. Then only pairs of
+different components are compared, and within a bucket only those with a member outside its largest component.
 
 Similarity, 0.85 here, is a share of whole numbers and confirmed exactly. The bands miss a pair of that similarity with a
 probability under 1e-5, and the sketches, which allow for about five standard deviations, under 1e-5.
@@ -27,7 +27,7 @@ from reqmart.session import materialise
 BANDS = 24
 ROWS = 5
 #: Samples (bins of the hash range, the smallest hash of each) behind a sketch, and bits of a sketch.
-SAMPLES = 1024
+SAMPLES = 4096
 SKETCH_BITS = 2048
 #: Texts hashed at a time.
 TEXTS = 500
@@ -50,7 +50,7 @@ def digest(shingles: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
     bands = mix((smallest.reshape(BANDS, ROWS) * numbers(ROWS, 61)).sum(axis=1, dtype=np.uint64))
     bands = mix(bands + numbers(BANDS, 71))
 
-    bins = (shingles >> np.uint64(54)).astype(np.int64)  # 10 bits: SAMPLES bins; shingles are sorted
+    bins = (shingles >> np.uint64(52)).astype(np.int64)  # 12 bits: SAMPLES bins; shingles are sorted
     first = np.flatnonzero(np.diff(bins, prepend=-1))
     bits = (mix(shingles[first]) % np.uint64(SKETCH_BITS)).astype(np.int64)
     parity = np.bincount(bits, minlength=SKETCH_BITS) & 1
@@ -105,23 +105,26 @@ def digest_name(shingles: np.ndarray) -> bytes:
     return b"".join(int(mix(shingles * x).sum(dtype=np.uint64)).to_bytes(8, "big") for x in (a, b))
 
 
+def differing() -> Column:
+    """Bits in which the sketches of the sides ``a`` and ``b`` differ."""
+    return sum(F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_BITS // 64))
+
+
 def may_be_similar(percent: int) -> Column:
-    """Whether sizes and sketches of the sides ``a`` and ``b`` leave room for that similarity.
+    """Whether sizes and sketches of the sides ``a`` and ``b`` leave room for that similarity s.
 
-    With d differing samples the sketches differ in about B/2 * (1 - exp(-2d / B)) of B bits. For sets of n and m samples of
-    similarity s, d is (n + m) * (1 - s) / (1 + s).
+    Of k bins the union of the sets hits some, and in a share of 1 - s of these its smallest hash is in one set only; then the samples differ in
+    that hash and in the other set's, if it has one in the bin. The more bins are hit twice, the more that count varies. Of B
+    bits, d differing samples leave about B/2 * (1 - exp(-2d / B)) set, give or take d * sqrt(2 / B). Five deviations of either are allowed.
     """
     small, large = F.least("a.n_shingles", "b.n_shingles"), F.greatest("a.n_shingles", "b.n_shingles")
-    differing = sum(
-        F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_BITS // 64)
-    )
-    # How many bins are hit by so many shingles.
-    samples = SAMPLES * (1 - F.exp(-(F.col("a.n_shingles") + F.col("b.n_shingles")) / (2.0 * SAMPLES)))
-    s = percent / 100
-    expected = 2 * samples * (1 - s) / (1 + s)
-    margin = 5 * F.sqrt(2 * samples * s * (1 - s)) * 2 / (1 + s) ** 2 + 8
-    most = SKETCH_BITS / 2 * (1 - F.exp(-2 * (expected + margin) / SKETCH_BITS))
-    return (small * 100 >= large * percent) & (differing <= most)
+    s, total = percent / 100, F.col("a.n_shingles") + F.col("b.n_shingles")
+    union = total / (1 + s)
+    hit = SAMPLES * (1 - F.exp(-union / SAMPLES))
+    each = 2 - F.exp(-total / (2.0 * SAMPLES))
+    most = each * (hit * (1 - s) + 5 * F.sqrt(hit * s * (1 - s) * (1 - hit / union)))
+    bits = SKETCH_BITS / 2 * (1 - F.exp(-2 * most / SKETCH_BITS)) + 5 * most * (2 / SKETCH_BITS) ** 0.5 + 2
+    return (small * 100 >= large * percent) & (differing() <= bits)
 
 
 def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -152,17 +155,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     one_each = digested.where("node IS NOT NULL").select("node", "doc_id", "n_shingles", "bands", "sketch")
     chosen = materialise(one_each.join(nodes.select("node", "doc_id"), ["node", "doc_id"]).dropDuplicates(["node"]))
     bands = chosen.select("node", F.explode("bands").alias("bucket"))
-    shared = bands.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    buckets = materialise(bands.join(shared, "bucket").select("bucket", "node", "pivot"))
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = materialise(bands.join(shared, "bucket"))
 
     sketches = chosen.select("node", "n_shingles", "sketch")
-    star = buckets.where("node <> pivot").select("node", "pivot").distinct()
+    met = buckets.groupBy("node").agg(F.sum("n").alias("met"))
+    hubs = buckets.join(met, "node").groupBy("bucket").agg(F.max(F.struct("met", "node"))["node"].alias("hub"))
+    star = buckets.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct()
     near = (
         star.join(sketches.alias("b"), "node")
-        .join(sketches.withColumnRenamed("node", "pivot").alias("a"), "pivot")
+        .join(sketches.withColumnRenamed("node", "hub").alias("a"), "hub")
         .where(may_be_similar(percent))
+        .select("node", "hub", (differing() / (F.col("a.n_shingles") + F.col("b.n_shingles"))).alias("unlike"))
     )
-    first = materialise(near.groupBy("node").agg(F.min("pivot").alias("v")).select(F.col("node").alias("u"), "v"))
+    best = near.groupBy("node").agg(F.min(F.struct("unlike", "hub"))["hub"].alias("hub"))
+    first = materialise(best.select(F.col("node").alias("u"), F.col("hub").alias("v")))
     links = materialise(confirmed(docs, nodes, first, percent))
 
     tied = components(links)
