@@ -145,7 +145,8 @@ def sorted_out(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
     and a sign goes to the old one.
     """
     order = np.lexsort((rows["place"], rows["tag"], rows["doc"], rows["bytes"], rows["slot"]))
-    slot, content, doc, tag, place = (rows[c][order] for c in ("slot", "bytes", "doc", "tag", "place"))
+    columns = [rows[c][order] for c in ("slot", "bytes", "doc", "tag", "place")]
+    slot, content, doc, tag, place = (c[~told_before(columns, None)] for c in columns)
     same_slot = np.concatenate([[False], slot[1:] == slot[:-1]])
     repeat = same_slot & np.concatenate([[False], content[1:] == content[:-1]])
     bucket = np.cumsum(~same_slot) - 1
@@ -167,6 +168,13 @@ def sorted_out(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
     )
 
 
+def told_before(columns: list[np.ndarray], before: tuple | None) -> np.ndarray:
+    """Rows that are equal to the one before them: of documents that are there twice."""
+    first = before is not None and len(columns[0]) > 0 and all(c[0] == b for c, b in zip(columns, before))
+    rest = np.logical_and.reduce([c[1:] == c[:-1] for c in columns])
+    return np.concatenate([[first], rest])[: len(columns[0])]
+
+
 def initial_buckets(docs: DataFrame) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,7 +238,7 @@ def refined(rows: DataFrame) -> DataFrame:
     """
 
     def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Bucket and bytes of the row before, and the first row of its bucket while no other bytes are seen in it.
+        # The row before, and the first row of its bucket while no other bytes are seen in it.
         before, held = None, None
         for batch in batches:
             slot, doc, tag, place = (batch.column(i).to_numpy() for i in (0, 3, 4, 5))
@@ -239,6 +247,8 @@ def refined(rows: DataFrame) -> DataFrame:
             still = batch.column(2).to_numpy(zero_copy_only=False)
             yield from _judged(doc[known], tag[known], place[known], None)
             slot, content, still, doc, tag, place = (x[~known] for x in (slot, content, still, doc, tag, place))
+            new = ~told_before([slot, content, doc, tag, place], before)
+            slot, content, still, doc, tag, place = (x[new] for x in (slot, content, still, doc, tag, place))
             if not len(slot):
                 continue
             on = before is not None
@@ -246,7 +256,7 @@ def refined(rows: DataFrame) -> DataFrame:
             same = same_slot & np.concatenate([[on and before[1] == content[0]], content[1:] == content[:-1]])
             real = place != SIGN
             # A sign stands before the rows of its bytes; the first real one after it is no repeat.
-            first_real = real & np.concatenate([[on and before[2]], ~real[:-1]]) & same
+            first_real = real & np.concatenate([[on and before[4] == SIGN], ~real[:-1]]) & same
             repeats = same & real & ~first_real
             yield from _judged(doc[repeats], tag[repeats], place[repeats], None)
 
@@ -267,7 +277,7 @@ def refined(rows: DataFrame) -> DataFrame:
                     held = doc[end : end + 1], tag[end : end + 1], place[end : end + 1], slot[end]
             elif first_real.any():
                 yield from _judged(doc[first_real], tag[first_real], place[first_real], slot[first_real])
-            before = slot[-1], content[-1], not real[-1]
+            before = slot[-1], content[-1], doc[-1], tag[-1], place[-1]
 
     ordered = rows.repartition("slot").sortWithinPartitions("slot", "bytes", "doc", "tag", "place")
     return ordered.mapInArrow(sort_out, DONE)
