@@ -1,0 +1,100 @@
+"""Decontamination and the source mix against SQL and brute force."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from reqmart.llm import decontaminate, mixing
+from reqmart.llm.oracle import ORACLE
+from reqmart.llm.queries import QUERIES
+from tests.conftest import SF_DIR, rows
+from tests.llm import samples
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = QUERIES[name](spark, SF_DIR)
+    answer = duck.execute(ORACLE[name])
+    names = [c[0] for c in answer.description]
+    assert sorted(names) == sorted(result.columns)
+    assert sorted(map(tuple, result.select(*names).collect())) == sorted(answer.fetchall())
+    plan = result._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_items_in_awkward_documents(spark):
+    passage = " ".join(f"item{n}" for n in range(30))
+    docs = samples.awkward() + [
+        (30, "Before. " + passage.replace(" ", ",  ").upper() + " after", "a"),
+        (31, " ".join(passage.split()[:25]), "a"), (32, " ".join(passage.split()[:28]), "a"), (33, "Two words!", "a"),
+        (34, "a text that has two words in it", "a"),
+    ]
+    items = [(1, passage), (2, None), (3, ""), (4, "two words"), (5, passage), (None, "one two three four five"), (5, passage)]
+    benchmark = spark.createDataFrame([(*i, 0, 0) for i in items], "item_id long, text string, doc_id int, shared int")
+    found = decontaminate.contained_items(samples.documents(spark, docs), benchmark)
+    got = {tuple(r) for r in found.select("doc_id", "item_id", "item_size", "shared").collect()}
+    assert got == samples.contained([d[:2] for d in docs], items)
+    clean = decontaminate.decontaminated(samples.documents(spark, docs), benchmark)
+    leaky = {i for i, *_ in got}
+    assert sorted(r[0] for r in clean.select("doc_id").where("doc_id IS NOT NULL").collect()) == sorted(
+        i for i, *_ in docs if i is not None and i not in leaky
+    )
+
+
+def test_empty_tables(spark):
+    docs, items = samples.documents(spark, samples.awkward()), spark.createDataFrame([], "item_id long, text string")
+    none = samples.documents(spark, [])
+    assert decontaminate.contained_items(docs, items).count() == 0
+    assert decontaminate.contained_items(none, items).count() == 0
+    assert decontaminate.decontaminated(docs, items).count() == docs.count()
+    assert mixing.with_copies(none).count() == 0
+    assert mixing.mixed(none).columns == none.columns
+
+
+def targets(sizes, weights=(5, 2, 1)):
+    """Share, stop, and share the rest again, until none is above."""
+    order = sorted(sizes, key=lambda s: (s is None, s))
+    weight = {s: weights[n % 3] for n, s in enumerate(order)}
+    stopped: dict = {}
+    while True:
+        left = sum(sizes.values()) - sum(stopped.values())
+        rest = [s for s in order if s not in stopped]
+        share = {s: left * weight[s] / sum(weight[r] for r in rest) for s in rest}
+        above = [s for s in rest if share[s] > 3 * sizes[s]]
+        if not above:
+            return stopped | share
+        stopped |= {s: 3.0 * sizes[s] for s in above}
+
+
+def test_mix_of_awkward_documents(spark):
+    docs = samples.awkward() + [(100 + n, "word " * (1 + n % 50), "big") for n in range(600)]
+    mix = mixing.with_copies(samples.documents(spark, docs)).select("doc.doc_id", "doc.source", "size", "source_size", "target", "copies")
+    got = mix.collect()
+    assert len(got) == len(docs)
+    sizes: dict = {}
+    for _, text, source in docs:
+        sizes[source] = sizes.get(source, 0) + len([w for w in (text or "").replace(" ", "y").translate(
+            str.maketrans("\t\n\x0b\x0c\r", "     ")).split(" ") if w])
+    expected = targets(sizes)
+    taken: dict = {}
+    for r in got:
+        assert r["source_size"] == sizes[r["source"]] and abs(r["target"] - expected[r["source"]]) < 1e-6
+        assert 0 <= r["copies"] <= 3
+        taken[r["source"]] = taken.get(r["source"], 0) + r["copies"] * r["size"]
+    assert abs(taken["big"] - expected["big"]) <= 50
+    assert sorted(map(tuple, mix.collect()), key=str) == sorted(map(tuple, got), key=str)
+    emitted = mixing.mixed(samples.documents(spark, docs))
+    assert emitted.columns == samples.documents(spark, []).columns
+    assert emitted.count() == sum(r["copies"] for r in got)
+
+
+def test_a_hot_source_is_placed_in_many_blocks(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "'same words in each' AS text", "'hot' AS source")
+    mix = mixing.with_copies(docs)
+    assert mix.agg({"copies": "sum"}).first()[0] == 4000
+    plan = mix._jdf.queryExecution().toString()
+    assert "salt" in plan and rows(mix.select("target").distinct()) == [(16000.0,)]
