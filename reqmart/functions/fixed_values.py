@@ -55,9 +55,8 @@ SPECIALTY_PHARMACIES = [
     "4429216", "4439875", "5131228", "5922085", "1009287",
 ]
 
-# Scenario payload: projected years in output order, and the array slots that are looked at.
+# Scenario payload: projected years in output order.
 PROJECTED_YEARS = [1, 2, 3, 0]
-PAYLOAD_SLOTS = 4
 
 # Market share: claim categories that count, and the retail channel of the bucket table.
 SHARE_CATEGORIES = ["SPECIALTY", "SRX AT RETAIL"]

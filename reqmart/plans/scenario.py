@@ -32,9 +32,8 @@ MEASURE_NAMES = [
 
 
 def projected_years(payload: Column) -> Column:
-    """The payload's projected years that are looked at: the first four, parsed once."""
-    years = F.from_json(payload, PAYLOAD_SCHEMA)["scenario"]["projected_years"]
-    return F.slice(years, 1, fixed.PAYLOAD_SLOTS)
+    """All projected years of the payload, parsed once."""
+    return F.from_json(payload, PAYLOAD_SCHEMA)["scenario"]["projected_years"]
 
 
 def _year_number(element: Column) -> Column:

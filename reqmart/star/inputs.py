@@ -371,16 +371,13 @@ def claims_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def claims_preshift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days of supply per claim: one row per order, under the order's first request."""
-    order = F.col("o_orderkey")
+    """Days of supply per request and claim, but not for flag R; repeated where a request has several lines."""
     return _select(
-        table(spark, sf_dir, "orders"),
+        lines(spark, sf_dir).where(F.col("l_returnflag") != "R"),
         {
-            "parent_request_id": text(order),
-            "request_id": F.lit("1"),
-            "task_id": F.lit("UW1"),
-            "claimnbr": text(order),
-            "dayssply": (order % 100).cast("int"),
+            **request(),
+            "claimnbr": text("l_orderkey"),
+            "dayssply": ((F.col("l_orderkey") + F.col("l_linenumber")) % 100).cast("int"),
         },
     )
 
@@ -433,24 +430,10 @@ def shifted_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One scenario request per order with lines; its settings as JSON, one year per line number.
-
-    Lines are first reduced to one per line number, so an array holds seven elements at most.
-    """
-    status, flag = F.col("pick.l_linestatus"), F.col("pick.l_returnflag")
-    percent, rate = F.col("pick.percent"), F.col("pick.rate")
-    picked = (
-        lines(spark, sf_dir)
-        .withColumns({"percent": discount().cast("int"), "rate": tax().cast("int")})
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min(
-                F.struct("l_partkey", "l_suppkey", "percent", "rate", "l_returnflag", "l_linestatus")
-            ).alias("pick")
-        )
-    )
+    """One scenario request per order with lines; its settings as JSON, one projected year per line."""
+    status, flag = F.col("l_linestatus"), F.col("l_returnflag")
+    percent, rate = discount().cast("int"), tax().cast("int")
     year = F.struct(
-        F.col("l_linenumber").alias("slot"),
         (F.col("l_linenumber") % 4).alias("year"),
         F.array(
             F.struct(
@@ -463,12 +446,21 @@ def model_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 F.when(percent > 0, percent > 5).alias("with_ees"),
                 F.when(rate > 0, rate > 4).alias("open_specialty_arrangement"),
-                (F.col("pick.l_partkey") % 2 == 0).alias("ondansetron"),
-                F.when(percent != 10, F.col("pick.l_suppkey") % 2 == 0).alias("enoxaparin"),
+                (F.col("l_partkey") % 2 == 0).alias("ondansetron"),
+                F.when(percent != 10, F.col("l_suppkey") % 2 == 0).alias("enoxaparin"),
             )
         ).alias("specialty_pricing_groups"),
     )
-    years = picked.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(year)).alias("projected_years"))
+    place = F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", percent.alias("percent"), rate.alias("rate"), "l_returnflag",
+        "l_linestatus", year.alias("year"),
+    )
+    ordered = F.sort_array(F.collect_list(place))
+    years = (
+        lines(spark, sf_dir)
+        .groupBy("l_orderkey")
+        .agg(F.transform(ordered, lambda element: element["year"]).alias("projected_years"))
+    )
     payload = F.to_json(F.struct(F.struct("projected_years").alias("scenario")))
     joined = years.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     day = F.col("o_orderdate").cast("timestamp")

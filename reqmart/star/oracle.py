@@ -216,7 +216,7 @@ PARTS = {
     "tags": f"""
         SELECT li.*, CASE l_returnflag WHEN 'A' THEN 'B' WHEN 'N' THEN 'G' ELSE 'X' END AS genbrand,
                CASE l_linestatus WHEN 'F' THEN 'M' ELSE 'R' END AS dlvry_systm_cd,
-               CASE WHEN s.parent_request_id IS NOT NULL THEN l_orderkey % 100 END AS dayssply,
+               CASE WHEN s.parent_request_id IS NOT NULL THEN (l_orderkey + l_linenumber) % 100 END AS dayssply,
                CASE WHEN tax = 3 THEN '1' ELSE '0' END AS ltc_clm, CASE WHEN disc = 4 THEN '1' ELSE '0' END AS mc,
                CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob, 'Client ' || (l_suppkey % 50) AS client_nm,
                CASE WHEN l_linenumber > 3 THEN 'GROUP' ELSE 'INDIVIDUAL' END AS lob_biz_type,
@@ -224,8 +224,8 @@ PARTS = {
                CASE WHEN tax = 5 THEN 'Y' ELSE 'N' END AS speclock, 'DRUG' || (l_partkey % 50) AS drugname,
                'ST' || (l_suppkey % 25) AS state
         FROM li JOIN delta d ON {same('li', 'd', KEYS)}
-        LEFT JOIN (SELECT DISTINCT parent_request_id FROM delta WHERE request_id = '1') s
-             ON li.parent_request_id = s.parent_request_id""",
+        LEFT JOIN (SELECT DISTINCT parent_request_id, request_id, task_id FROM li WHERE l_returnflag <> 'R') s
+             ON {same('li', 's', KEYS)}""",
     "shifted": """
         SELECT *, request_id AS req_gid, 'F' || (l_partkey % 10) AS prop_frmly_id,
                CASE WHEN l_suppkey % 11 <> 0 THEN 'NW' || (l_suppkey % 5) END AS prop_ntwrk,
@@ -240,13 +240,11 @@ PARTS = {
                CASE l_returnflag WHEN 'A' THEN 'B' ELSE 'G' END AS genbrand,
                CASE WHEN l_linestatus = 'F' THEN 'M' WHEN l_linenumber <> 2 THEN 'R' END AS dlvry_systm_cd
         FROM li""",
-    "picked": """
-        SELECT * FROM li QUALIFY 1 = row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-            ORDER BY l_partkey, l_suppkey, disc, tax, l_returnflag, l_linestatus)""",
     "slots": """
-        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS slot,
+        SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, disc, tax,
+                                     l_returnflag, l_linestatus) - 1 AS slot,
                l_linenumber % 4 AS yr
-        FROM picked QUALIFY slot < 4""",
+        FROM li""",
     "settings": """
         SELECT l_orderkey, yr, min(slot) AS slot, arg_min('NG-' || l_linestatus, slot) AS network_guid,
                arg_min('FG-' || l_returnflag, slot) AS formulary_guid,
@@ -316,7 +314,7 @@ PARTS = {
 COSTS = ["li", "params", "history", "delta", "fact", "has_formulary", "flagged"]
 CLAIMS = ["li", "params", "history", "delta", "tags"]
 LEDGER = ["li", "params", "history", "log", "ledger0", "ledger1", "ledger"]
-SETTINGS = ["li", "picked", "slots", "settings", "requests", "latest", "years"]
+SETTINGS = ["li", "slots", "settings", "requests", "latest", "years"]
 SHARES = [*SETTINGS, "measures", "revenue", "detail", "claimed", "combined"]
 
 

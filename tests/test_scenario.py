@@ -27,7 +27,8 @@ def years(*numbers):
         (years(1, 2, 3, 0), (0, 1, 2, 3)),
         (years(0, 3, 1), (2, None, 1, 0)),
         (years(2, 1, 2, 1), (1, 0, None, None)),
-        (years(5, 6, 7, 8, 1), (None, None, None, None)),
+        (years(5, 6, 7, 8, 1), (4, None, None, None)),
+        (years(4, 5, 6, 2, 1), (4, 3, None, None)),
         (years('"1"', '"x"', "null", '"0"'), (0, None, None, 3)),
         (years(), (None, None, None, None)),
         ('{"scenario": {}}', (None, None, None, None)),
