@@ -11,7 +11,7 @@ from reqmart.functions import fixed_values as fixed
 from reqmart.operators.aggregates import with_audit_column
 from reqmart.operators.keys import new_keys, restrict
 from reqmart.plans import claims, cogs, dates, gpi, ledger as ledgers, model, mshare, shifted
-from reqmart.session import configure, materialise
+from reqmart.session import materialise, run
 from reqmart.sources.store import ReportStore
 
 LEDGER, PARAMS, DATES, SHARES = "process_time", "request_params", "dates_dim", "market_share"
@@ -158,14 +158,12 @@ def _due(inputs: RefreshInputs) -> tuple[list[Report], list[ModelReport]]:
 
 
 def _scenarios(store: ReportStore, inputs: RefreshInputs, report: ModelReport) -> DataFrame:
-    return materialise(
-        model.scenario_delta(
-            inputs.models,
-            store.read_if_exists(report.base),
-            store.read_if_exists(report.name),
-            report.match_guids,
-        )
-    )
+    """Keys of the scenarios that are due. The base report is read only if some were not seen yet."""
+    known, base = store.read_if_exists(report.name), store.read_if_exists(report.base)
+    unseen = materialise(model.unseen_scenarios(inputs.models, known))
+    if known is None or base is None or unseen.isEmpty():
+        return unseen
+    return materialise(model.matching_scenarios(inputs.models, unseen, base, report.match_guids))
 
 
 def refresh(store: ReportStore, inputs: RefreshInputs, replace: bool = True) -> RefreshResult:
@@ -176,7 +174,11 @@ def refresh(store: ReportStore, inputs: RefreshInputs, replace: bool = True) ->
     ``replace`` makes that safe: rows of the same keys are replaced; without it they are appended.
     Model deltas are taken after the base reports are written, since those feed them.
     """
-    configure(store.spark)
+    with run(store.spark):
+        return _refreshed(store, inputs, replace)
+
+
+def _refreshed(store: ReportStore, inputs: RefreshInputs, replace: bool) -> RefreshResult:
     reports, models = _due(inputs)
     ledger = ledgers.request_ledger(
         inputs.history, inputs.log, inputs.params, inputs.request_type, inputs.clock_from
@@ -249,15 +251,15 @@ class ShareInputs:
 
 def refresh_shares(store: ReportStore, inputs: ShareInputs) -> None:
     """Market share of all scenarios, in place of whatever the table holds."""
-    configure(store.spark)
-    rows = mshare.declared_share_rows(mshare.mshare_full(**vars(inputs)))
-    store.replace_declared(rows, SHARES, mshare.SHARE_SCHEMA, mshare.SHARE_PARTITIONS)
+    with run(store.spark):
+        rows = mshare.declared_share_rows(mshare.mshare_full(**vars(inputs)))
+        store.replace_declared(rows, SHARES, mshare.SHARE_SCHEMA, mshare.SHARE_PARTITIONS)
 
 
 def refresh_new_shares(store: ReportStore, inputs: ShareInputs) -> None:
     """Market share of the scenarios the table lacks, added to it."""
-    configure(store.spark)
-    store.create_declared(SHARES, mshare.SHARE_SCHEMA, mshare.SHARE_PARTITIONS)
-    new = mshare.mshare_increment(**vars(inputs), reported=store.read(SHARES))
-    rows = materialise(mshare.declared_share_rows(new))
-    store.insert_declared(rows, SHARES)
+    with run(store.spark):
+        store.create_declared(SHARES, mshare.SHARE_SCHEMA, mshare.SHARE_PARTITIONS)
+        new = mshare.mshare_increment(**vars(inputs), reported=store.read(SHARES))
+        rows = materialise(mshare.declared_share_rows(new))
+        store.insert_declared(rows, SHARES)

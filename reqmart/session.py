@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,22 +31,50 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_written_by_runs: list[list[str]] = []
+
+
+@contextmanager
+def run(spark: SparkSession) -> Iterator[SparkSession]:
+    """A run with the settings above. Afterwards the session's own are back, and the rows that the run
+    materialised are removed, whether it ended well or not."""
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    _written_by_runs.append([])
+    try:
+        yield configure(spark)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        for path in _written_by_runs.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for cut lineage: the cluster's own, or one in the warehouse if none is named."""
+    """The shared folder for cut lineage: the cluster's own, or one in the warehouse if none is named.
+
+    A warehouse that is a folder of one machine serves a local session only.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    on_one_machine = warehouse.startswith("file:") or "://" not in warehouse
+    if on_one_machine and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/_checkpoints"
 
 
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
     Later steps then neither repeat the lineage nor see tables that changed meanwhile, and the
-    written size lets Spark decide soundly whether the result may be broadcast. The folder of an
-    application may be removed once it has ended.
+    written size lets Spark decide soundly whether the result may be broadcast. Within a run the
+    rows go when it ends; elsewhere the folder of an application may be removed once it has ended.
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/reqmart/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    if _written_by_runs:
+        _written_by_runs[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

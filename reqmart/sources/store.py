@@ -5,9 +5,10 @@ No write overwrites what it reads, and each can be repeated after a lost executo
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import islice
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from reqmart.operators.keys import restrict, same_key
 from reqmart.session import materialise
@@ -65,7 +66,8 @@ class ReportStore:
 
         ``on`` maps the table's key columns to those of ``keys``. Where the key columns are partition
         columns, only the partitions of these keys are touched: those that get new rows are replaced
-        in one write, those that get none are dropped. Otherwise the table is written anew.
+        in one write, those that get none are dropped. Otherwise the table is written anew. A table
+        keeps a blank text of a partition column as null, so blank and null are one value there.
         """
         if not self.exists(name):
             self._create(df, name, partition_by)
@@ -76,10 +78,16 @@ class ReportStore:
             )
             self.full_replace(kept.unionByName(df, allowMissingColumns=True), name, partition_by)
             return
-        rows = materialise(df)
+        rows = materialise(_as_stored(df, partition_by))
         self._grow(name, rows)
         self._overwrite_partitions(self._fit(rows, name), name)
-        present = restrict(self.read(name).select(*partition_by), keys, on).distinct()
+        wanted = _as_stored(keys.select(*(F.col(theirs).alias(ours) for ours, theirs in on.items())), list(on))
+        incomplete = wanted.where(reduce(Column.__or__, (F.col(c).isNull() for c in on))).distinct()
+        incomplete = incomplete.withColumnsRenamed({c: f"key_{c}" for c in on})
+        stored = self.read(name).select(*partition_by)
+        present = restrict(stored, wanted, list(on)).union(
+            stored.join(incomplete, same_key(stored, incomplete, {c: f"key_{c}" for c in on}), "left_semi")
+        ).distinct()
         written = rows.select(*(F.col(c).alias(f"new_{c}") for c in partition_by)).distinct()
         stale = present.join(written, same_key(present, written, {c: f"new_{c}" for c in partition_by}), "left_anti")
         self._drop_partitions(stale, name)
@@ -132,7 +140,8 @@ class ReportStore:
 
     def _create(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
         """Write a new table. The rows are spread by partition, large partitions over several tasks."""
-        spread = df.hint("rebalance", *partition_by) if partition_by else df
+        stored = _as_stored(df, partition_by)
+        spread = stored.hint("rebalance", *partition_by) if partition_by else stored
         writer = spread.write.format(self.fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -189,6 +198,12 @@ class ReportStore:
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def _as_stored(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Blank texts of partition columns as the null that a table makes of them."""
+    blank = {c: F.nullif(F.col(c), F.lit("")) for c, kind in df.dtypes if c in partition_by and kind == "string"}
+    return df.withColumns(blank) if blank else df
+
+
 def _literal(value) -> str:
     if value is None:
         return "null"

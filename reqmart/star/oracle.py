@@ -627,11 +627,20 @@ ORACLE = {
         FROM (SELECT unnest(range(least((SELECT min(l_shipdate) FROM lineitem), (SELECT min(o_orderdate) FROM orders)),
                  greatest((SELECT max(l_shipdate) FROM lineitem), (SELECT max(o_orderdate) FROM orders)) + to_days(1),
                  to_days(1))) AS d)""",
-    "replace_keys": f"""
-        SELECT o_orderkey, o_custkey, o_totalprice AS price, NULL AS returned FROM orders WHERE o_orderdate < '{CUTOFF}'
+    "replace_keys": """
+        WITH report AS (
+            SELECT o_orderstatus AS status, o_orderkey, o_totalprice,
+                   CASE c_mktsegment WHEN 'MACHINERY' THEN '' WHEN 'BUILDING' THEN NULL ELSE c_mktsegment END AS segment
+            FROM orders JOIN customer ON o_custkey = c_custkey),
+        before AS (
+            SELECT status, segment, count(*) AS orders, max(o_totalprice) AS price FROM report WHERE status = 'F' GROUP BY ALL),
+        after AS (
+            SELECT status, segment, sum(l_quantity) AS quantity FROM report JOIN lineitem ON o_orderkey = l_orderkey
+            WHERE status = 'O' GROUP BY ALL)
+        SELECT status, nullif(segment, '') AS segment, orders, price, CAST(NULL AS DOUBLE) AS quantity FROM before
         UNION ALL
-        SELECT l_orderkey, NULL, max(l_extendedprice), count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE o_orderdate >= '{CUTOFF}' AND l_returnflag = 'R' GROUP BY l_orderkey""",
+        SELECT status, nullif(segment, ''), NULL, NULL, quantity + CASE WHEN nullif(segment, '') IS NULL THEN 1 ELSE 0 END
+        FROM after""",
     "scalar_functions": with_parts(
         ["li", "fact"],
         f"""SELECT family, result, count(*) AS lines FROM (
@@ -673,5 +682,6 @@ ORACLE = {
     "revenue_measures": with_parts(["li", "measures", "revenue"], "SELECT * FROM revenue"),
     "mshare_detail": with_parts(SHARES, "SELECT * EXCLUDE (ees0) FROM detail"),
     "mshare_combined": with_parts(SHARES, "SELECT * FROM combined"),
+    "mshare_in_two_steps": with_parts(SHARES, "SELECT * FROM combined"),
     "mshare_increment": with_parts(SHARES, f"SELECT * FROM combined WHERE scenario_id NOT IN ({EARLY})"),
 }

@@ -6,6 +6,7 @@ be compared as they are. Load-time audit columns are left out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reqmart.functions import fixed_values as fixed, labels, times
 from reqmart.operators import aggregates, checks, keys, lookups, reshape
 from reqmart.plans import claims, cogs, dates, gpi, ledger, model, mshare, scenario, shifted
-from reqmart.session import configure
+from reqmart.session import configure, materialise
+from reqmart.sources.store import ReportStore
 from reqmart.star import inputs as star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -345,16 +347,28 @@ def dates_dim(spark, sf_dir):
 
 @query
 def replace_keys(spark, sf_dir):
-    """Stored rows of the delta's orders give way to new ones; a column the store lacks is null."""
-    orders = star.table(spark, sf_dir, "orders")
-    stored = orders.select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("price"))
-    lines = star.lines(spark, sf_dir).where(F.col("l_returnflag") == "R")
-    new = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.count("*").alias("returned"), F.max("l_extendedprice").alias("price")
+    """A stored report whose late customers' rows give way to new ones, with a column it lacked; one status is dropped.
+
+    Every run stores it in a database of its own: written, replaced twice, and read back.
+    """
+    store = ReportStore(spark, f"replaced_{uuid.uuid4().hex}")
+    layout = ["status", "segment"]
+    orders = star.table(spark, sf_dir, "orders").join(
+        star.table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     )
-    late = orders.where(F.col("o_orderdate") >= F.lit(star.CUTOFF).cast("timestamp")).select("o_orderkey")
-    kept = stored.join(late, "o_orderkey", "left_anti")
-    return kept.unionByName(keys.restrict(new, late, ["o_orderkey"]), allowMissingColumns=True)
+    # Blank and missing segments are one partition of each status.
+    segment = F.when(F.col("c_mktsegment") == "MACHINERY", "").when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment"))
+    rows = orders.select(F.col("o_orderstatus").alias("status"), segment.alias("segment"), "o_orderkey", "o_totalprice")
+    stored = rows.groupBy(*layout).agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("price"))
+    store.append(stored, "report", layout)
+
+    late = spark.createDataFrame([("O",), ("P",)], "key string")
+    lines = star.lines(spark, sf_dir).select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity")
+    new = rows.where("status = 'O'").join(lines, "o_orderkey").groupBy(*layout).agg(F.sum("l_quantity").alias("quantity"))
+    store.replace_keys(new, "report", late, {"status": "key"}, layout)
+    again = new.where("segment IS NULL OR segment = ''").withColumn("quantity", F.col("quantity") + 1)
+    store.replace_keys(again, "report", spark.createDataFrame([("O", "")], "a string, b string"), {"status": "a", "segment": "b"}, layout)
+    return store.read("report")
 
 
 @query
@@ -451,10 +465,23 @@ def mshare_combined(spark, sf_dir):
     return mshare.mshare_full(*share_inputs(spark, sf_dir))
 
 
-@query
-def mshare_increment(spark, sf_dir):
-    """Shares of the scenarios none of whose orders came before the cutoff."""
+def early_scenarios(spark, sf_dir):
+    """Scenarios some of whose orders came before 1996."""
     orders = star.table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
     early = orders.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp"))
-    reported = early.select(star.scenario().alias("scenario_id"))
-    return mshare.mshare_increment(*share_inputs(spark, sf_dir), reported)
+    return early.select(star.scenario().alias("scenario_id"))
+
+
+@query
+def mshare_increment(spark, sf_dir):
+    """Shares of the scenarios none of whose orders came early."""
+    return mshare.mshare_increment(*share_inputs(spark, sf_dir), early_scenarios(spark, sf_dir))
+
+
+@query
+def mshare_in_two_steps(spark, sf_dir):
+    """Shares of the early scenarios, then of those that are not reported yet: together all shares."""
+    parameters, *others = share_inputs(spark, sf_dir)
+    early = keys.distinct_keys(early_scenarios(spark, sf_dir), ["scenario_id"])
+    first = materialise(mshare.mshare_full(keys.restrict(parameters, early, ["scenario_id"]), *others))
+    return first.unionByName(mshare.mshare_increment(parameters, *others, first))

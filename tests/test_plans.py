@@ -6,9 +6,9 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
-from reqmart.plans import cogs
+from reqmart.plans import cogs, model
 from reqmart.star import inputs as star
+from reqmart.star.queries import QUERIES
 from tests.conftest import SF_DIR
 
 
@@ -16,12 +16,12 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_no_pairs_no_group_in_one_task(spark, setting, name):
     """With broadcasts off, as when no side is small."""
     # Broadcasts are left to Spark; without them every join has to stand as a shuffle.
     setting(spark__sql__autoBroadcastJoinThreshold="-1")
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin", "MapInPandas"):
         assert bad not in text, bad
     # The one window runs over a request's few aggregated summary rows.
@@ -75,6 +75,21 @@ def test_only_partitions_of_new_requests_are_read(spark, store):
     assert "dynamicpruning" in executed
 
 
+def test_only_partitions_of_unseen_scenarios_are_read(spark, store):
+    """Of the base report, when asking which scenarios a model report is due for."""
+    from reqmart.session import materialise
+    from tests import sample
+
+    names = {"opportunity_id", "task_id", "lob", "submit_date_cst", "dataset_identifier", "prop_frmly_name", "type",
+             "formulary_guid", "network_guid"}
+    report = spark.range(40).selectExpr("concat('p', id) parent_request_id", *(f"'x' {n}" for n in names))
+    store.append(report, "base", ["parent_request_id"])
+    models = materialise(sample.models(spark, 1))
+    wanted = model.matching_scenarios(models, model.unseen_scenarios(models, None), store.read("base"))
+    wanted.collect()
+    assert "dynamicpruning" in wanted._jdf.queryExecution().executedPlan().toString()
+
+
 def test_payload_is_parsed_once(spark):
     from reqmart.plans.scenario import scenario_attributes
 
@@ -84,7 +99,7 @@ def test_payload_is_parsed_once(spark):
 
 
 def test_measures_are_picked_without_unpivoting(spark):
-    assert "Expand" not in plan(entry.queries()["mshare_detail"](spark, SF_DIR))
-    combined = plan(entry.queries()["mshare_combined"](spark, SF_DIR))
+    assert "Expand" not in plan(QUERIES["mshare_detail"](spark, SF_DIR))
+    combined = plan(QUERIES["mshare_combined"](spark, SF_DIR))
     # Its output holds no revenue sum, so none is computed.
     assert "std_wo_ees_open_none_id" not in combined

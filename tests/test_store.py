@@ -40,6 +40,31 @@ def test_replace_keys_touches_its_partitions_only(spark, store, first):
     assert rows(store.read("t"), "p", "r") == [("a", "it's elsewhere"), ("a", "it's elsewhere")]
 
 
+def test_replace_keys_keeps_blank_and_null_partitions(spark, store):
+    """As in the drug-mix report, whose layout starts with an optional opportunity."""
+    layout, schema = ["opp", "k"], "opp string, k string, v int"
+    keys = spark.createDataFrame([("a",), ("b",)], "key string")
+    first = spark.createDataFrame([("", "a", 1), ("OPP1", "a", 2), (None, "b", 3), ("", "c", 4)], schema)
+    store.replace_keys(first, "t", keys, {"k": "key"}, layout)
+    second = spark.createDataFrame([("", "a", 10), ("OPP1", "a", 20), (None, "b", 30), ("", "b", 31)], schema)
+    store.replace_keys(second, "t", keys, {"k": "key"}, layout)
+    assert rows(store.read("t"), "opp", "k", "v") == [
+        (None, "a", 10), (None, "b", 30), (None, "b", 31), (None, "c", 4), ("OPP1", "a", 20),
+    ]
+    store.replace_keys(second.where("v = 20"), "t", keys, {"k": "key"}, layout)
+    assert rows(store.read("t"), "k", "v") == [("a", 20), ("c", 4)]
+
+
+def test_blank_keys_are_replaced(spark, store):
+    schema = "k string, v int"
+    store.append(spark.createDataFrame([("", 1), (None, 2), ("x", 3)], schema), "t", ["k"])
+    keys = spark.createDataFrame([("",)], "key string")
+    store.replace_keys(spark.createDataFrame([("", 5)], schema), "t", keys, {"k": "key"}, ["k"])
+    assert rows(store.read("t"), "k", "v") == [(None, 5), ("x", 3)]
+    store.replace_keys(spark.createDataFrame([], schema), "t", keys, {"k": "key"}, ["k"])
+    assert rows(store.read("t"), "k", "v") == [("x", 3)]
+
+
 def test_replace_keys_of_a_table_in_another_layout(spark, store, first):
     store.append(first, "t", [])
     keys = spark.createDataFrame([("a",)], "k string")
