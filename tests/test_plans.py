@@ -80,9 +80,9 @@ def test_only_partitions_of_unseen_scenarios_are_read(spark, store):
     from reqmart.session import materialise
     from tests import sample
 
-    names = {"opportunity_id", "task_id", "lob", "submit_date_cst", "dataset_identifier", "prop_frmly_name", "type",
+    names = {"opportunity_id", "task_id", "lob", "dataset_identifier", "prop_frmly_name", "type",
              "formulary_guid", "network_guid"}
-    report = spark.range(40).selectExpr("concat('p', id) parent_request_id", *(f"'x' {n}" for n in names))
+    report = spark.range(40).selectExpr("concat('p', id) parent_request_id", "timestamp'2024-01-01' submit_date_cst", *(f"'x' {n}" for n in names))
     store.append(report, "base", ["parent_request_id"])
     models = materialise(sample.models(spark, 1))
     wanted = model.matching_scenarios(models, model.unseen_scenarios(models, None), store.read("base"))
