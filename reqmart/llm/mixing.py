@@ -14,6 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from reqmart.session import materialise
+
 #: What a word is: a run of anything but blank, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 #: The offset of a source is one of so many steps from 0 to 1: exact in a double for lines of up to 2^36 documents.
@@ -85,7 +87,7 @@ def with_copies(
         "salt", F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 2)
     )
 
-    counts = blocked.groupBy(*BLOCK).agg(F.count("*").alias("block_rows"), F.sum("size").alias("block_size"))
+    counts = materialise(blocked.groupBy(*BLOCK).agg(F.count("*").alias("block_rows"), F.sum("size").alias("block_size")))
     line = Window.partitionBy("source_key", "no_source").orderBy("size_bits", "size_head", "salt")
     starts = counts.select(
         *BLOCK,
