@@ -5,8 +5,8 @@ of threshold k minus score. That gives the expected grade and the probability of
 are selected. Texts are hashed sets of words and punctuation runs, and three marks of shape (repetition, variety,
 capitals); whole texts count, whatever their length.
 
-The model is fitted on a bounded sample of the rated documents, ``SAMPLE`` at most, those with the smallest hash of their id; it is
-fitted on the driver, from hashed numbers. Scoring is one pass over the documents without a shuffle.
+The model is fitted on a bounded sample of the rated documents, ``SAMPLE`` at most, those with the smallest hash of their id; one
+task fits it, from hashed numbers, and the driver gets its few weights. Scoring is one pass over the documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -115,8 +115,20 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
     examples = texts.join(F.broadcast(chosen), "doc_id").select(
         "doc_id", "grade", F.pandas_udf(hashed_sets, "array<int>")("text").alias("features")
     )
-    rows = sorted(map(tuple, examples.limit(sample).collect()))
-    return learn([np.array(r[2], dtype=np.int64) for r in rows], np.array([r[1] for r in rows], dtype=int), grades)
+
+    def fit_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [r for batch in batches for r in zip(batch["doc_id"], batch["grade"], batch["features"])]
+        rows.sort(key=lambda r: (r[0], r[1], len(r[2]), r[2].tolist()))
+        model = learn([r[2] for r in rows], np.array([r[1] for r in rows], dtype=int), grades)
+        numbers = [*model.weights.items(), *((-1 - k, x) for k, x in enumerate(model.thresholds.tolist()))]
+        yield pd.DataFrame(numbers, columns=["key", "value"])
+
+    # The limit leaves one task, which has at most ``sample`` rows.
+    numbers = dict(map(tuple, examples.limit(sample).mapInPandas(fit_all, "key long, value double").collect()))
+    if not numbers:
+        return learn([], np.zeros(0, dtype=int), grades)
+    thresholds = [numbers.pop(-1 - k) for k in range(grades - 1)]
+    return OrdinalModel(numbers, np.array(thresholds))
 
 
 def hashed_sets(texts: pd.Series) -> pd.Series:
