@@ -1,7 +1,9 @@
 """Report inputs made from the star-schema tables, whole tables each.
 
-A request is an order line: parent = order, request = line number, task by line number. Line 7 has a
-task that the log leaves out. Money is in cents and percent, so that sums are exact in any order.
+A request is made of the order lines of one supplier with one line number: parent = supplier, request =
+line number, task by line number. So requests grow in number with the data, not in size. Line 7 has a
+task that the log leaves out. Scenario settings belong to orders. Money is in cents and percent, so that
+sums are exact in any order.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ PHARMACIES = [f"P{n}" for n in range(12)]
 
 SCHEMAS = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
     "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
                p_retailprice double""",
     "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
@@ -69,12 +72,33 @@ def tax() -> Column:
 
 def request(request_name: str = "request_id") -> dict[str, Column]:
     return {
-        "parent_request_id": text("l_orderkey"),
+        "parent_request_id": text("l_suppkey"),
         request_name: text("l_linenumber"),
         "task_id": task_of(F.col("l_linenumber")),
     }
 
 
+def loaded(supplier: Column) -> Column:
+    """When a supplier's requests were loaded: spread over six years."""
+    start = F.lit("1995-01-01 00:00:00").cast("timestamp")
+    return F.timestamp_add("DAY", (supplier * 997 % 2300).cast("int"), start)
+
+
+def drug_code(part: Column) -> Column:
+    """Two of three neighbouring parts share a code."""
+    return tagged("N", part - bit(part % 3 == 1))
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+    return table(spark, sf_dir, "supplier").withColumns(
+        {
+            "day": loaded(F.col("s_suppkey")),
+            "segment": F.element_at(F.array(*map(F.lit, names)), F.col("s_nationkey") % 5 + 1),
+        }
+    )
+
+
 def scenario() -> Column:
     """Ten neighbouring orders share a scenario."""
     return tagged("S", F.floor(F.col("l_orderkey") / 10))
@@ -89,42 +113,46 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def request_params(spark: SparkSession, sf_dir: str) -> DataFrame:
-    requests = lines(spark, sf_dir).select("l_orderkey", "l_linenumber").distinct()
-    segment = F.col("c_mktsegment")
-    joined = (
-        requests.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    )
+    requests = lines(spark, sf_dir).select("l_suppkey", "l_linenumber").distinct()
+    segment = F.col("segment")
+    joined = requests.join(suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
     return _select(
         joined,
         {
             **request(),
-            "client_description": F.when(F.col("c_nationkey") != 24, F.col("c_name")),
+            "client_description": F.when(F.col("s_nationkey") != 24, F.col("s_name")),
             "super_client_id": F.when(segment == "MACHINERY", "").when(
                 segment != "BUILDING", F.concat(F.lit("SC-"), segment)
             ),
-            "opportunity_id": tagged("OPP", F.col("l_orderkey")),
+            "opportunity_id": tagged("OPP", F.col("l_suppkey")),
             "data_request_type": F.when(segment == "HOUSEHOLD", "TRIAL").when(segment != "BUILDING", REGULAR),
-            "inp_load_ts": F.col("o_orderdate").cast("timestamp"),
-            "project_start_year": F.trunc(F.col("o_orderdate").cast("date"), "year"),
+            "inp_load_ts": F.col("day"),
+            "project_start_year": F.trunc(F.col("day").cast("date"), "year"),
         },
     )
 
 
+def scenario_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests of the orders, which scenario settings belong to."""
+    return _select(
+        table(spark, sf_dir, "orders"),
+        {"parent_request_id": text("o_orderkey"), "inp_load_ts": F.col("o_orderdate").cast("timestamp")},
+    )
+
+
 def activity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first lines of the older orders, as an earlier system logged them."""
-    day = F.col("o_orderdate").cast("timestamp")
-    stamp = "yyyy-MM-dd HH:mm:ss"
-    later = F.timestamp_add("HOUR", (F.col("o_custkey") % 90).cast("int"), day)
+    """The first requests of suppliers loaded early, as an earlier system logged them."""
+    day, stamp = F.col("day"), "yyyy-MM-dd HH:mm:ss"
+    later = F.timestamp_add("HOUR", (F.col("s_suppkey") % 90).cast("int"), day)
     return _select(
-        table(spark, sf_dir, "orders").where(F.col("o_orderdate") < F.lit(CUTOFF).cast("timestamp")),
+        suppliers(spark, sf_dir).where(day < F.lit(CUTOFF).cast("timestamp")),
         {
-            "client_description": tagged("Client ", F.col("o_custkey")),
-            "parent_req_id": text("o_orderkey"),
+            "client_description": tagged("Client ", F.col("s_suppkey")),
+            "parent_req_id": text("s_suppkey"),
             "req_id": F.lit("1"),
             "task_id": F.lit("UW1"),
             "create_date": F.date_format(day, stamp),
-            "modified_date": F.when(F.col("o_orderstatus") != "P", F.date_format(later, stamp)),
+            "modified_date": F.when(F.col("s_nationkey") % 3 != 0, F.date_format(later, stamp)),
             "inp_load_ts": F.date_format(day, stamp),
             "status": F.lit("COMPLETE"),
         },
@@ -132,30 +160,32 @@ def activity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log row per order and task group, its line numbers in one text.
+    """One log row per supplier and task, its line numbers in one text. The later tasks end before they start.
 
     At most seven line numbers exist, so the collected set stays small however many lines there are.
     """
-    by_order = (
+    shipped = F.col("l_shipdate").cast("timestamp")
+    by_task = (
         lines(spark, sf_dir)
-        .groupBy("l_orderkey", task_of(F.col("l_linenumber")).alias("task_id"))
+        .groupBy("l_suppkey", task_of(F.col("l_linenumber")).alias("task_id"))
         .agg(
             F.array_join(F.sort_array(F.collect_set(text("l_linenumber"))), "_").alias("request_id"),
-            F.max(F.col("l_shipdate").cast("timestamp")).alias("shipped"),
-            F.max("l_suppkey").alias("top_supplier"),
+            F.max(shipped).alias("last"),
+            F.min(shipped).alias("first"),
         )
     )
-    joined = by_order.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = by_task.join(suppliers(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+    end = F.when(F.col("task_id") == "UW1", F.col("last")).otherwise(F.col("first"))
     return _select(
         joined,
         {
-            "parent_req_id": text("l_orderkey"),
+            "parent_req_id": text("l_suppkey"),
             "request_id": F.col("request_id"),
             "task_id": F.col("task_id"),
-            "start_dttm": F.col("o_orderdate").cast("timestamp"),
-            "end_dttm": F.timestamp_add("MINUTE", (F.col("top_supplier") * 7).cast("int"), F.col("shipped")),
-            "status": F.when(F.col("o_orderstatus") == "P", "RUNNING").otherwise("COMPLETE"),
-            "elapsed_time": F.concat(text(F.col("top_supplier") % 30), F.lit(":30:15.250")),
+            "start_dttm": F.col("day"),
+            "end_dttm": F.timestamp_add("MINUTE", (F.col("l_suppkey") * 7).cast("int"), end),
+            "status": F.when(F.col("s_nationkey") % 8 == 0, "RUNNING").otherwise("COMPLETE"),
+            "elapsed_time": F.concat(text(F.col("l_suppkey") % 30), F.lit(":30:15.250")),
         },
     )
 
@@ -170,7 +200,7 @@ def claim_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         {
             **request(),
             "lob": F.when(flag == "R", "WRAP").otherwise("STD"),
-            "formulary_id": tagged("F", part % 10),
+            "formulary_id": tagged("F", supplier % 10),
             "formulary_guid": F.concat(F.lit("FG-"), flag),
             "network_guid": F.concat(F.lit("NG-"), status),
             "primary_ntwrk": F.when(status == "O", "national").otherwise("select"),
@@ -181,26 +211,26 @@ def claim_output(spark: SparkSession, sf_dir: str) -> DataFrame:
             "bg_mony_mod": status,
             "phmcy_chain_nm": tagged("CHAIN", supplier % 20),
             "phmcy_st": tagged("ST", supplier % 25),
-            "srx_shift_type": F.when(tax() >= 4, "NO SHIFT").otherwise("OPEN TO EXCLUSIVE"),
-            "opportunity_id": tagged("OPP", F.col("l_orderkey")),
-            "ndc": F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")),
-            "model_drug": F.when(discount() == 3, "").otherwise(tagged("DRUG", part % 50)),
-            "formulary_nm": tagged("Plan ", part % 10),
-            "prjctd_year": F.year("l_shipdate"),
+            "srx_shift_type": F.when(tax() > 4, "NO SHIFT").otherwise("OPEN TO EXCLUSIVE"),
+            "opportunity_id": tagged("OPP", supplier),
+            "ndc": drug_code(part),
+            "model_drug": F.when(supplier % 7 == 0, "").otherwise(tagged("DRUG", supplier % 50)),
+            "formulary_nm": tagged("Plan ", supplier % 10),
+            "prjctd_year": 2000 + line % 4,
             "prjctd_yr": line % 4,
             "day_sply_qty": quantity.cast("int"),
-            "is_capped": bit(discount() > 5),
+            "is_capped": bit(discount() > 8),
             "spec_univ": bit(tax() > 4),
             "cob": bit(discount() == 10),
             "cmpnd": bit(tax() == 8),
             "mc": bit(quantity == 50),
-            "spec_cmk_ind": bit(F.year("l_shipdate") == 1995),
+            "spec_cmk_ind": bit(tax() == 8),
             "chnl_mail_mod": bit(mail),
             "chnl_ret_mod": bit(~mail),
             "chnl_spec": bit(tax() == 7),
-            "spec_drg": bit(tax() > 2),
-            "spec_lock_ees": F.when(discount() > 7, "Y").otherwise("N"),
-            "spec_lock_no_ees": F.when(discount() > 8, "Y").otherwise("N"),
+            "spec_drg": bit(tax() > 4),
+            "spec_lock_ees": F.when(supplier % 2 == 0, "Y").otherwise("N"),
+            "spec_lock_no_ees": F.when(supplier % 4 == 0, "Y").otherwise("N"),
             "awp": price(),
             "wac": price() * (100 - discount()),
             "claims_count": quantity,
@@ -231,9 +261,9 @@ def request_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.when(status == "O", F.array(F.lit("broad"), F.lit("BROAD"))).otherwise(
         F.array(F.lit("narrow"), F.lit("limited"))
     )
-    rows = lines(spark, sf_dir).where(flag != "N")
+    pairs = lines(spark, sf_dir).where(flag != "N").select("l_suppkey", "l_linenumber", "l_linestatus", "l_returnflag")
     return _select(
-        rows.withColumn("network_type", F.explode(types)),
+        pairs.distinct().withColumn("network_type", F.explode(types)),
         {
             **request(),
             "type": F.col("network_type"),
@@ -246,8 +276,9 @@ def request_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def request_formulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
+    listed = lines(spark, sf_dir).where(~((flag == "N") & (F.col("l_linestatus") == "F")))
     return _select(
-        lines(spark, sf_dir).where(~((flag == "N") & (F.col("l_linestatus") == "F"))),
+        listed.select("l_suppkey", "l_linenumber", "l_returnflag").distinct(),
         {
             **request(),
             "formulary_guid": F.concat(F.lit("FG-"), flag),
@@ -259,68 +290,69 @@ def request_formulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def specialty_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A code per order line; codes listed more than once are ambiguous."""
-    flag = F.col("l_returnflag")
+    """A row per part; codes listed more than once are ambiguous."""
+    part = F.col("p_partkey")
+    sixth = F.floor(part / 3) % 6
     return _select(
-        lines(spark, sf_dir),
+        table(spark, sf_dir, "part"),
         {
-            "ndc11": F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")),
-            "ldd_waccess": F.when(flag == "R", "Y").otherwise("N"),
-            "ldd_woaccess": F.when(flag == "N", "Y").otherwise("N"),
+            "ndc11": drug_code(part),
+            "ldd_waccess": F.when(sixth == 0, "Y").otherwise("N"),
+            "ldd_woaccess": F.when(sixth == 1, "Y").otherwise("N"),
         },
     )
 
 
 def drug_master(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.col("l_partkey")
+    part = F.col("p_partkey")
+    half = F.floor(part / 3) % 2
     return _select(
-        lines(spark, sf_dir),
+        table(spark, sf_dir, "part"),
         {
-            "ndc11": F.concat(text("l_orderkey"), F.lit("-"), text("l_linenumber")),
-            "gpi_class": tagged("class ", part % 7),
-            "gpi_categ": tagged("category ", part % 30),
-            "gpi_group": tagged("group ", part % 4),
+            "ndc11": drug_code(part),
+            "gpi_class": tagged("class ", half),
+            "gpi_categ": tagged("category ", half),
+            "gpi_group": tagged("group ", half),
         },
     )
 
 
 def scenario_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four scenarios per order: two datasets by two formularies."""
-    order = F.col("o_orderkey")
-    rows = (
-        table(spark, sf_dir, "orders")
-        .withColumn("dataset", F.explode(F.array(F.lit("PBM"), F.lit("MS"))))
-        .withColumn("guid", F.explode(F.array(F.lit("FG-A"), F.lit("FG-R"))))
-    )
+    """Eight scenarios per supplier: two tasks by two datasets by two formularies."""
+    key, nation = F.col("s_suppkey"), F.col("s_nationkey")
+    rows = suppliers(spark, sf_dir)
+    for name, values in {"task": ["UW1", "UW2"], "dataset": ["PBM", "MS"], "guid": ["FG-A", "FG-R"]}.items():
+        rows = rows.withColumn(name, F.explode(F.array(*map(F.lit, values))))
+    urgent, low = nation % 5 == 0, nation % 5 == 1
     return _select(
         rows,
         {
-            "opportunity_id": tagged("OPP", order),
-            "data_request_id": text(order),
-            "task_id": task_of(order % 6 + 1),
-            "scenario_id": tagged("M", order % 100),
+            "opportunity_id": tagged("OPP", key),
+            "data_request_id": text(key),
+            "task_id": F.col("task"),
+            "scenario_id": F.concat(tagged("M", key % 100), F.lit("-"), F.col("task")),
             "business_type_id": F.concat(F.lit("BT-"), F.col("guid")),
             "business_type": F.when(F.col("guid") == "FG-R", "WRAP").otherwise("STD"),
-            "brand_generic_definition": F.col("o_orderpriority"),
+            "brand_generic_definition": F.when(urgent, "1-URGENT").when(low, "5-LOW").otherwise("3-MEDIUM"),
             "pusedo_brand_generic_definition": F.col("dataset"),
-            "formulary": tagged("Formulary ", order % 10),
+            "formulary": tagged("Formulary ", key % 10),
             "formulary_guid": F.col("guid"),
             "network_guid": F.lit("NG-O"),
             "type": F.lit("Broad"),
-            "ldd_flag": F.col("o_orderstatus"),
-            "ldd_option": F.when(F.col("o_orderstatus") == "F", "LDD w/ Access Only")
-            .when(F.col("o_orderpriority") == "1-URGENT", "LDD w/o Access Only")
-            .when(F.col("o_orderstatus") == "O", "Broad (w/ Access + w/o Access)")
-            .when(F.col("o_orderpriority") == "5-LOW", "All_Included"),
+            "ldd_flag": text(key % 3),
+            "ldd_option": F.when(key % 3 == 0, "LDD w/ Access Only")
+            .when(urgent, "LDD w/o Access Only")
+            .when(key % 3 == 1, "Broad (w/ Access + w/o Access)")
+            .when(low, "All_Included"),
             "pricing_type": F.lit("traditional"),
-            "primary_network": tagged("main ", order % 3),
-            "secondary_network": tagged("second ", order % 4),
-            "network_3": tagged("net ", order % 5),
-            "network_4": tagged("net ", order % 6),
-            "network_5": F.when(order % 2 == 0, tagged("net ", order % 7)),
+            "primary_network": tagged("main ", key % 3),
+            "secondary_network": tagged("second ", key % 4),
+            "network_3": tagged("net ", key % 5),
+            "network_4": tagged("net ", key % 6),
+            "network_5": F.when(key % 2 == 0, tagged("net ", key % 7)),
             "network_6": F.lit(None).cast("string"),
-            "network_7": tagged("net ", order % 5),
-            "submit_date_cst": F.from_utc_timestamp(F.col("o_orderdate").cast("timestamp"), "America/Chicago"),
+            "network_7": tagged("net ", key % 5),
+            "submit_date_cst": F.from_utc_timestamp(F.col("day"), "America/Chicago"),
         },
     )
 
@@ -328,6 +360,7 @@ def scenario_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 def claims_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     line, part, supplier = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     status, flag = F.col("l_linestatus"), F.col("l_returnflag")
+    filled = F.date_add(F.lit("1999-01-10").cast("date"), (part % 40).cast("int"))
     return _select(
         lines(spark, sf_dir),
         {
@@ -335,11 +368,11 @@ def claims_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
             "superclient_id": tagged("SC", supplier % 10),
             "client_id": tagged("C", supplier % 50),
             "client_nm": tagged("Client ", supplier % 50),
-            "dofii": F.col("l_shipdate").cast("date"),
+            "dofii": filled,
             "medd_stus_cd": status,
             "buyup_class": flag,
             "genbrand": F.when(flag == "A", "B").when(flag == "N", "G").otherwise("X"),
-            "model_drug": tagged("DRUG", part % 50),
+            "model_drug": tagged("DRUG", part % 2),
             "pmcy": tagged("P", supplier % 40),
             "currawp": price(),
             "currwac": price() * 2,
@@ -350,15 +383,15 @@ def claims_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lob_biz_type": F.when(line > 3, "GROUP").otherwise("INDIVIDUAL"),
             "carrier": tagged("CA", supplier % 3),
             "account": tagged("AC", supplier % 5),
-            "group": tagged("GR", part % 3),
+            "group": tagged("GR", part % 2),
             "speclock": F.when(tax() == 5, "Y").otherwise("N"),
-            "drugname": tagged("DRUG", part % 50),
+            "drugname": tagged("DRUG", part % 2),
             "srx_drug_flg": F.when(tax() > 5, "Y").otherwise("N"),
             "awp": price(),
             "lob": F.when(flag == "R", "WRAP").otherwise("STD"),
             "dlvry_systm_cd": F.when(status == "F", "M").otherwise("R"),
-            "year": F.year("l_shipdate"),
-            "month": F.month("l_shipdate"),
+            "year": F.year(filled),
+            "month": F.month(filled),
             "mbr_gid": tagged("MB", part % 100),
             "tot_mbr": tagged("TM", part % 30),
             "orgnl_ingrd_cost": price() * tax(),
@@ -391,9 +424,9 @@ def shifted_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines(spark, sf_dir),
         {
             **request("req_gid"),
-            "prop_frmly_id": tagged("F", part % 10),
-            "prop_frmly_name": tagged("Formulary ", part % 10),
-            "curr_frmly_id": tagged("F", part % 4),
+            "prop_frmly_id": tagged("F", supplier % 10),
+            "prop_frmly_name": tagged("Formulary ", supplier % 10),
+            "curr_frmly_id": tagged("F", supplier % 4),
             "prop_ntwrk": F.when(supplier % 11 != 0, tagged("NW", supplier % 5)),
             "lob": F.when(flag == "R", "WRAP").otherwise("STD"),
             "origclaim": F.when(discount() != 9, origin),
@@ -401,15 +434,15 @@ def shifted_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
             "daw9_origclaim": F.when(status == "F", "P").otherwise(origin),
             "mkt_shift_ind": F.when(tax() < 4, "Y").when(tax() < 8, "N"),
             "claimnbr": tagged("C", part),
-            "gpi": tagged("D", part % 40),
-            "b_gpi": tagged("D", part % 20),
-            "drugname": tagged("DRUG", part % 50),
+            "gpi": tagged("D", part % 2 * 8),
+            "b_gpi": tagged("D", part % 2),
+            "drugname": tagged("DRUG", part % 2),
             "pmcy": tagged("P", supplier % 40),
             "speclock": F.when(tax() == 5, "Y").otherwise("N"),
             "dlvry_systm_cd": F.when(status == "F", "M").when(line != 2, "R"),
             "genbrand": F.when(flag == "A", "B").otherwise("G"),
-            "year": F.year("l_shipdate"),
-            "month": F.month("l_shipdate"),
+            "year": F.lit(1999),
+            "month": (part % 2 + 1).cast("int"),
             "claims": quantity,
             "dayssply": quantity * 2,
             "decqty": quantity * 3,

@@ -36,36 +36,41 @@ def same(left: str, right: str, columns: list[str]) -> str:
 # Named subqueries. Each may use the ones before it.
 PARTS = {
     "li": """
-        SELECT *, CAST(l_orderkey AS VARCHAR) AS parent_request_id,
+        SELECT *, CAST(l_suppkey AS VARCHAR) AS parent_request_id,
                CAST(l_linenumber AS VARCHAR) AS request_id,
                CASE WHEN l_linenumber = 7 THEN 'QA7' WHEN l_linenumber > 3 THEN 'UW2' ELSE 'UW1' END AS task_id,
-               l_orderkey || '-' || l_linenumber AS code,
+               l_partkey - CASE WHEN l_partkey % 3 = 1 THEN 1 ELSE 0 END AS code,
+               DATE '1999-01-10' + CAST(l_partkey % 40 AS INTEGER) AS filled,
                round(l_extendedprice * 100) AS cents, round(l_discount * 100) AS disc, round(l_tax * 100) AS tax,
-               'OPP' || l_orderkey AS opp, 'S' || (l_orderkey // 10) AS scen
+               'OPP' || l_suppkey AS opp, CAST(l_orderkey AS VARCHAR) AS order_request, 'OPP' || l_orderkey AS order_opp,
+               'S' || (l_orderkey // 10) AS scen
         FROM lineitem""",
+    "suppliers": """
+        SELECT *, TIMESTAMP '1995-01-01' + to_days(CAST(s_suppkey * 997 % 2300 AS INTEGER)) AS load_day,
+               ['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY'][s_nationkey % 5 + 1] AS segment
+        FROM supplier""",
     "params": """
         SELECT DISTINCT parent_request_id, request_id, task_id,
-               CASE WHEN c_nationkey <> 24 THEN c_name END AS client_description,
-               CASE c_mktsegment WHEN 'MACHINERY' THEN '' WHEN 'BUILDING' THEN NULL
-                    ELSE 'SC-' || c_mktsegment END AS super_client_id,
+               CASE WHEN s_nationkey <> 24 THEN s_name END AS client_description,
+               CASE segment WHEN 'MACHINERY' THEN '' WHEN 'BUILDING' THEN NULL ELSE 'SC-' || segment END AS super_client_id,
                opp AS opportunity_id,
-               CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'TRIAL' WHEN 'BUILDING' THEN NULL
-                    ELSE 'STANDARD' END AS data_request_type,
-               o_orderdate AS inp_load_ts, CAST(date_trunc('year', o_orderdate) AS DATE) AS project_start_year
-        FROM li JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
+               CASE segment WHEN 'HOUSEHOLD' THEN 'TRIAL' WHEN 'BUILDING' THEN NULL ELSE 'STANDARD' END AS data_request_type,
+               load_day AS inp_load_ts, CAST(date_trunc('year', load_day) AS DATE) AS project_start_year
+        FROM li JOIN suppliers ON l_suppkey = s_suppkey""",
     "history": f"""
-        SELECT 'Client ' || o_custkey AS client_description, CAST(o_orderkey AS VARCHAR) AS uw_req_id,
-               '1' AS req_gid, 'UW1' AS cpt_id, o_orderdate AS created,
-               CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + to_hours(o_custkey % 90) END AS modified,
-               o_orderdate AS loaded
-        FROM orders WHERE o_orderdate < '{CUTOFF}'""",
+        SELECT 'Client ' || s_suppkey AS client_description, CAST(s_suppkey AS VARCHAR) AS uw_req_id,
+               '1' AS req_gid, 'UW1' AS cpt_id, load_day AS created,
+               CASE WHEN s_nationkey % 3 <> 0 THEN load_day + to_hours(s_suppkey % 90) END AS modified,
+               load_day AS loaded
+        FROM suppliers WHERE load_day < '{CUTOFF}'""",
     "log": """
-        SELECT parent_request_id AS uw_req_id, request_id AS req_gid, task_id AS cpt_id, o_orderstatus,
-               o_orderdate AS created,
-               max(max(l_shipdate)) OVER task + to_minutes(max(max(l_suppkey)) OVER task * 7) AS modified,
-               max(max(l_suppkey)) OVER task AS top
-        FROM li JOIN orders ON l_orderkey = o_orderkey
-        GROUP BY 1, 2, 3, 4, 5
+        SELECT parent_request_id AS uw_req_id, request_id AS req_gid, task_id AS cpt_id,
+               CASE WHEN s_nationkey % 8 = 0 THEN 'RUNNING' ELSE 'COMPLETE' END AS log_status, load_day AS created,
+               CASE task_id WHEN 'UW1' THEN max(max(l_shipdate)) OVER task ELSE min(min(l_shipdate)) OVER task END
+                   + to_minutes(l_suppkey * 7) AS modified,
+               l_suppkey AS top
+        FROM li JOIN suppliers ON l_suppkey = s_suppkey
+        GROUP BY 1, 2, 3, 4, 5, l_suppkey
         WINDOW task AS (PARTITION BY parent_request_id, task_id)""",
     "ledger0": f"""
         SELECT *, NULL AS clock FROM history
@@ -74,7 +79,7 @@ PARTS = {
                (top % 30) * 3600 + 30 * 60 + 15
         FROM log g JOIN params p ON g.uw_req_id = p.parent_request_id AND g.req_gid = p.request_id
              AND g.cpt_id = p.task_id
-        WHERE o_orderstatus <> 'P' AND g.cpt_id LIKE 'UW%'
+        WHERE log_status = 'COMPLETE' AND g.cpt_id LIKE 'UW%'
           AND (data_request_type = 'STANDARD' OR data_request_type IS NULL)""",
     "ledger1": """
         SELECT *, date_diff('second', loaded, modified) AS secs,
@@ -97,9 +102,14 @@ PARTS = {
         SELECT DISTINCT parent_request_id, request_id, task_id FROM params
         WHERE client_description IS NOT NULL
           AND (parent_request_id, request_id, task_id) NOT IN (SELECT (uw_req_id, req_gid, cpt_id) FROM history)""",
+    # A code, how many parts are listed under it, and what a single part of it is.
+    "codes": """
+        SELECT p_partkey - CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 0 END AS code, count(*) AS listed,
+               min(p_partkey // 3) AS third
+        FROM part GROUP BY 1""",
     "fact": """
-        SELECT *, CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob,
-               'F' || (l_partkey % 10) AS formulary_id, 'FG-' || l_returnflag AS formulary_guid,
+        SELECT li.*, listed, third, CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob,
+               'F' || (l_suppkey % 10) AS formulary_id, 'FG-' || l_returnflag AS formulary_guid,
                'NG-' || l_linestatus AS network_guid,
                CASE l_linestatus WHEN 'O' THEN 'national' ELSE 'select' END AS primary_ntwrk,
                'retail ' || l_returnflag AS secondary_ntwrk,
@@ -111,10 +121,9 @@ PARTS = {
                CASE l_returnflag WHEN 'A' THEN 'standard' ELSE 'PREMIUM' END AS non_specialty,
                CASE l_returnflag WHEN 'R' THEN 'exclusive' ELSE 'choice' END AS specialty,
                CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linestatus = 'O' THEN 'BROAD' ELSE 'limited' END AS ntype,
-               CASE WHEN tax >= 4 THEN 'NO SHIFT' ELSE 'OPEN TO EXCLUSIVE' END AS srx_shift_type,
-               l_linestatus = 'F' AND disc = 0 AS mail,
-               count(*) OVER (PARTITION BY code) AS listed
-        FROM li""",
+               CASE WHEN tax > 4 THEN 'NO SHIFT' ELSE 'OPEN TO EXCLUSIVE' END AS srx_shift_type,
+               l_linestatus = 'F' AND disc = 0 AS mail
+        FROM li LEFT JOIN codes ON li.code = codes.code""",
     # Whether a request has the line's formulary, network pair, or network id is asked of its lines.
     "has_formulary": """
         SELECT DISTINCT parent_request_id, request_id, task_id, formulary_guid FROM fact
@@ -122,8 +131,8 @@ PARTS = {
     "has_network": """
         SELECT DISTINCT parent_request_id, request_id, task_id, network_guid FROM fact WHERE l_returnflag <> 'N'""",
     "flagged": """
-        SELECT *, CASE WHEN listed > 1 OR l_returnflag = 'A' THEN 'N' WHEN l_returnflag = 'R' THEN 'LDD_WACCESS'
-                       ELSE 'LDD_WOACCESS' END AS ldd
+        SELECT *, CASE WHEN listed = 1 AND third % 6 = 0 THEN 'LDD_WACCESS'
+                       WHEN listed = 1 AND third % 6 = 1 THEN 'LDD_WOACCESS' ELSE 'N' END AS ldd
         FROM fact""",
     "cogs": f"""
         SELECT ds AS dataset_identifier, f.parent_request_id, f.request_id AS req_gid, f.task_id,
@@ -131,14 +140,14 @@ PARTS = {
                client_description AS client_nm, lob, formulary_id AS prop_frmly_id,
                'Formulary ' || formulary_id[2:] AS prop_frmly_name,
                CASE ds WHEN 'PBM' THEN l_returnflag ELSE l_linestatus END AS genbrand,
-               year(l_shipdate) AS year_cogs, CAST(l_linenumber % 4 AS BIGINT) AS prjctd_yr,
+               CAST(2000 + l_linenumber % 4 AS BIGINT) AS year_cogs, CAST(l_linenumber % 4 AS BIGINT) AS prjctd_yr,
                {word('ftype')} || ' Formulary // ' || {word('ntype')} || ' Network' AS cogs_network_type,
                f.formulary_guid, network_guid, ntype AS type, primary_ntwrk AS cogs_network_primary,
                secondary_ntwrk AS cogs_network_secondary, tertiary_ntwrk AS cogs_network_tertiary,
                proj_network_nm, proj_network_type,
                primary_ntwrk || ' // ' || secondary_ntwrk ||
                    CASE WHEN tertiary_ntwrk <> '' THEN ' // ' || tertiary_ntwrk ELSE '' END AS prop_ntwrk,
-               CASE WHEN disc > 5 THEN 'CAP' ELSE 'NONCAP' END AS contract_type,
+               CASE WHEN disc > 8 THEN 'CAP' ELSE 'NONCAP' END AS contract_type,
                'CHAIN' || (l_suppkey % 20) AS chname, 'ST' || (l_suppkey % 25) AS state,
                srx_shift_type AS spec_type,
                CASE WHEN super_client_id <> '' THEN super_client_id ELSE client_description END AS super_client_id,
@@ -152,7 +161,7 @@ PARTS = {
         FROM flagged f JOIN delta d ON {same('f', 'd', KEYS)} JOIN params p ON {same('f', 'p', KEYS)}
         JOIN has_formulary h ON {same('f', 'h', [*KEYS, 'formulary_guid'])},
              (VALUES ('PBM'), ('MS')) sets(ds)
-        WHERE disc < 10 AND tax < 8 AND l_quantity < 50 AND year(l_shipdate) <> 1995 AND NOT mail
+        WHERE disc < 10 AND tax < 8 AND l_quantity < 50 AND NOT mail
           AND cents > 0 AND l_quantity > 0
         GROUP BY ALL""",
     "gpi": f"""
@@ -162,18 +171,18 @@ PARTS = {
                'Formulary ' || formulary_id[2:] AS prop_frmly_name, ntype AS type, proj_network_nm,
                proj_network_type, super_client_id, p.opportunity_id,
                {stamp(chicago('inp_load_ts'))} AS submit_date_cst,
-               CAST(tax > 2 AS BIGINT) AS spec_drug, CAST(year(l_shipdate) = 1995 AS BIGINT) AS spec_cmk,
-               CASE WHEN disc > 7 THEN 'Y' ELSE 'N' END AS spec_lock_ees,
-               CASE WHEN disc > 8 THEN 'Y' ELSE 'N' END AS spec_lock_no_ees,
-               CAST(tax > 4 AS BIGINT) AS spec_univ, ldd AS ldd_flag, 'Plan ' || (l_partkey % 10) AS formulary_nm,
+               CAST(tax > 4 AS BIGINT) AS spec_drug, CAST(tax = 8 AS BIGINT) AS spec_cmk,
+               CASE WHEN l_suppkey % 2 = 0 THEN 'Y' ELSE 'N' END AS spec_lock_ees,
+               CASE WHEN l_suppkey % 4 = 0 THEN 'Y' ELSE 'N' END AS spec_lock_no_ees,
+               CAST(tax > 4 AS BIGINT) AS spec_univ, ldd AS ldd_flag, 'Plan ' || (l_suppkey % 10) AS formulary_nm,
                srx_shift_type, 'ST' || (l_suppkey % 25) AS state, 'CHAIN' || (l_suppkey % 20) AS chname,
                CAST(CAST(project_start_year + to_years(l_linenumber % 4 - 1) AS DATE) AS VARCHAR) AS forecast_start_date,
-               year(l_shipdate) AS forecast_year, CAST(l_linenumber % 4 AS BIGINT) AS projected_year_number,
+               CAST(2000 + l_linenumber % 4 AS BIGINT) AS forecast_year, CAST(l_linenumber % 4 AS BIGINT) AS projected_year_number,
                CASE ds WHEN 'PBM' THEN l_returnflag ELSE l_linestatus END AS bg_mony_mod,
-               CASE WHEN listed = 1 THEN 'class ' || (l_partkey % 7) END AS gpi_class,
-               CASE WHEN listed = 1 THEN 'category ' || (l_partkey % 30) END AS drug_categ,
-               CASE WHEN disc = 3 THEN '' ELSE 'DRUG' || (l_partkey % 50) END AS drug_name,
-               CASE WHEN listed = 1 THEN 'group ' || (l_partkey % 4) END AS gpi_group,
+               CASE WHEN listed = 1 THEN 'class ' || (third % 2) END AS gpi_class,
+               CASE WHEN listed = 1 THEN 'category ' || (third % 2) END AS drug_categ,
+               CASE WHEN l_suppkey % 7 = 0 THEN '' ELSE 'DRUG' || (l_suppkey % 50) END AS drug_name,
+               CASE WHEN listed = 1 THEN 'group ' || (third % 2) END AS gpi_group,
                CASE WHEN h.task_id IS NOT NULL THEN {word('non_specialty')} END AS non_specialty,
                CASE WHEN h.task_id IS NOT NULL THEN {word('specialty')} END AS specialty,
                CASE WHEN n.task_id IS NOT NULL THEN {word('primary_ntwrk')} END AS "primary",
@@ -193,20 +202,21 @@ PARTS = {
           AND CAST({chicago('inp_load_ts')} AS DATE) >= '{CUTOFF}'
         GROUP BY ALL""",
     "models": f"""
-        SELECT 'OPP' || o_orderkey AS opp, CAST(o_orderkey AS VARCHAR) AS data_request_id,
-               CASE WHEN o_orderkey % 6 < 3 THEN 'UW1' ELSE 'UW2' END AS task_id, 'M' || (o_orderkey % 100) AS scenario_id,
+        SELECT 'OPP' || s_suppkey AS opp, CAST(s_suppkey AS VARCHAR) AS data_request_id, task_id,
+               'M' || (s_suppkey % 100) || '-' || task_id AS scenario_id,
                'BT-' || guid AS business_type_id, CASE guid WHEN 'FG-R' THEN 'WRAP' ELSE 'STD' END AS lob,
-               o_orderpriority AS definition, ds, 'Formulary ' || (o_orderkey % 10) AS formulary, guid,
-               CASE WHEN o_orderstatus = 'F' THEN 'LDD w/ Access Only'
-                    WHEN o_orderpriority[1] = '1' THEN 'LDD w/o Access Only'
-                    WHEN o_orderstatus = 'O' THEN 'Broad (w/ Access + w/o Access)'
-                    WHEN o_orderpriority[1] = '5' THEN 'All_Included' END AS option,
-               'main ' || (o_orderkey % 3) AS main, 'second ' || (o_orderkey % 4) AS second,
-               ['net ' || (o_orderkey % 5), 'net ' || (o_orderkey % 6),
-                CASE WHEN o_orderkey % 2 = 0 THEN 'net ' || (o_orderkey % 7) END, NULL,
-                'net ' || (o_orderkey % 5)] AS nets,
-               {stamp(chicago('o_orderdate'))} AS submitted
-        FROM orders, (VALUES ('PBM'), ('MS')) sets(ds), (VALUES ('FG-A'), ('FG-R')) guids(guid)""",
+               CASE s_nationkey % 5 WHEN 0 THEN '1-URGENT' WHEN 1 THEN '5-LOW' ELSE '3-MEDIUM' END AS definition, ds,
+               'Formulary ' || (s_suppkey % 10) AS formulary, guid,
+               CASE WHEN s_suppkey % 3 = 0 THEN 'LDD w/ Access Only' WHEN s_nationkey % 5 = 0 THEN 'LDD w/o Access Only'
+                    WHEN s_suppkey % 3 = 1 THEN 'Broad (w/ Access + w/o Access)'
+                    WHEN s_nationkey % 5 = 1 THEN 'All_Included' END AS option,
+               'main ' || (s_suppkey % 3) AS main, 'second ' || (s_suppkey % 4) AS second,
+               ['net ' || (s_suppkey % 5), 'net ' || (s_suppkey % 6),
+                CASE WHEN s_suppkey % 2 = 0 THEN 'net ' || (s_suppkey % 7) END, NULL,
+                'net ' || (s_suppkey % 5)] AS nets,
+               {stamp(chicago('load_day'))} AS submitted
+        FROM suppliers, (VALUES ('UW1'), ('UW2')) tasks(task_id), (VALUES ('PBM'), ('MS')) sets(ds),
+             (VALUES ('FG-A'), ('FG-R')) guids(guid)""",
     "unreported": """
         SELECT DISTINCT data_request_id, scenario_id, business_type_id FROM models
         EXCEPT SELECT data_request_id, scenario_id, business_type_id FROM models WHERE definition = '1-URGENT'""",
@@ -216,18 +226,18 @@ PARTS = {
     "tags": f"""
         SELECT li.*, CASE l_returnflag WHEN 'A' THEN 'B' WHEN 'N' THEN 'G' ELSE 'X' END AS genbrand,
                CASE l_linestatus WHEN 'F' THEN 'M' ELSE 'R' END AS dlvry_systm_cd,
-               CASE WHEN s.parent_request_id IS NOT NULL THEN (l_orderkey + l_linenumber) % 100 END AS dayssply,
+               CASE WHEN s.parent_request_id IS NOT NULL THEN (li.l_orderkey + l_linenumber) % 100 END AS dayssply,
                CASE WHEN tax = 3 THEN '1' ELSE '0' END AS ltc_clm, CASE WHEN disc = 4 THEN '1' ELSE '0' END AS mc,
                CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob, 'Client ' || (l_suppkey % 50) AS client_nm,
                CASE WHEN l_linenumber > 3 THEN 'GROUP' ELSE 'INDIVIDUAL' END AS lob_biz_type,
-               'CA' || (l_suppkey % 3) AS carrier, 'AC' || (l_suppkey % 5) AS account, 'GR' || (l_partkey % 3) AS "group",
-               CASE WHEN tax = 5 THEN 'Y' ELSE 'N' END AS speclock, 'DRUG' || (l_partkey % 50) AS drugname,
+               'CA' || (l_suppkey % 3) AS carrier, 'AC' || (l_suppkey % 5) AS account, 'GR' || (l_partkey % 2) AS "group",
+               CASE WHEN tax = 5 THEN 'Y' ELSE 'N' END AS speclock, 'DRUG' || (l_partkey % 2) AS drugname,
                'ST' || (l_suppkey % 25) AS state
         FROM li JOIN delta d ON {same('li', 'd', KEYS)}
-        LEFT JOIN (SELECT DISTINCT parent_request_id, request_id, task_id FROM li WHERE l_returnflag <> 'R') s
-             ON {same('li', 's', KEYS)}""",
+        LEFT JOIN (SELECT DISTINCT parent_request_id, request_id, task_id, l_orderkey FROM li WHERE l_returnflag <> 'R') s
+             ON {same('li', 's', [*KEYS, 'l_orderkey'])}""",
     "shifted": """
-        SELECT *, request_id AS req_gid, 'F' || (l_partkey % 10) AS prop_frmly_id,
+        SELECT *, request_id AS req_gid, 'F' || (l_suppkey % 10) AS prop_frmly_id,
                CASE WHEN l_suppkey % 11 <> 0 THEN 'NW' || (l_suppkey % 5) END AS prop_ntwrk,
                CASE WHEN disc <> 9 THEN CASE l_returnflag WHEN 'A' THEN 'Y' WHEN 'R' THEN 'P' ELSE 'N' END END AS origclaim,
                CASE WHEN tax = 1 THEN 'Z' WHEN l_returnflag = 'A' THEN 'Y' WHEN l_returnflag = 'R' THEN 'P'
@@ -235,7 +245,7 @@ PARTS = {
                CASE WHEN l_linestatus = 'F' OR l_returnflag = 'R' THEN 'P' WHEN l_returnflag = 'A' THEN 'Y'
                     ELSE 'N' END AS daw9_origclaim,
                CASE WHEN tax < 4 THEN 'Y' WHEN tax < 8 THEN 'N' END AS mkt_shift_ind,
-               year(l_shipdate) AS report_year, month(l_shipdate) AS report_month, l_quantity AS claims,
+               CAST(1999 AS BIGINT) AS report_year, l_partkey % 2 + 1 AS report_month, l_quantity AS claims,
                l_quantity * 2 AS dayssply, l_quantity * 3 AS decqty,
                CASE l_returnflag WHEN 'A' THEN 'B' ELSE 'G' END AS genbrand,
                CASE WHEN l_linestatus = 'F' THEN 'M' WHEN l_linenumber <> 2 THEN 'R' END AS dlvry_systm_cd
@@ -280,7 +290,7 @@ PARTS = {
                          || '_' || ['none', 'ond', 'eno', 'eno_ond'][n // 4 + 1] || '_id' AS name
                   FROM range(16) t(n)) m""",
     "revenue": """
-        SELECT parent_request_id AS uw_req_id, scen AS scenario_id, opp AS opportunity,
+        SELECT order_request AS uw_req_id, scen AS scenario_id, order_opp AS opportunity,
                'PG' || (l_suppkey % 5) AS pharmacy_chain, 'PB' || (l_suppkey % 3) AS pharmacy,
                'SP' || (l_partkey % 4) AS srx_pricing_group_id, CAST(l_linenumber % 4 AS VARCHAR) AS proj_year,
                'NG-' || l_linestatus AS network_guid, 'FG-' || l_returnflag AS formulary_guid,
@@ -296,12 +306,12 @@ PARTS = {
         WHERE r.uw_req_id IN (SELECT uw_req_id FROM latest)
         GROUP BY ALL""",
     "claimed": """
-        SELECT scen AS scenario_id, parent_request_id AS uw_req_id, CAST(l_linenumber % 4 AS VARCHAR) AS proj_year,
-               opp AS opportunity, 'BT' || (l_linenumber % 2) AS business_type_id, 'PB' || (l_suppkey % 3) AS pharmacy,
+        SELECT scen AS scenario_id, order_request AS uw_req_id, CAST(l_linenumber % 4 AS VARCHAR) AS proj_year,
+               order_opp AS opportunity, 'BT' || (l_linenumber % 2) AS business_type_id, 'PB' || (l_suppkey % 3) AS pharmacy,
                sum(CASE WHEN tax <> 0 THEN l_quantity * 4 + disc + tax END) AS rxs
         FROM li WHERE l_returnflag <> 'A' GROUP BY ALL
         UNION
-        SELECT scen, parent_request_id, CAST(l_linenumber % 4 AS VARCHAR), opp, 'BT' || (l_linenumber % 2),
+        SELECT scen, order_request, CAST(l_linenumber % 4 AS VARCHAR), order_opp, 'BT' || (l_linenumber % 2),
                'SPECIALTY', sum(l_quantity)
         FROM li GROUP BY ALL""",
     "combined": f"""
@@ -311,9 +321,9 @@ PARTS = {
         FROM detail d JOIN claimed c
              ON {same('d', 'c', ['scenario_id', 'uw_req_id', 'proj_year', 'opportunity', 'business_type_id'])}""",
 }
-COSTS = ["li", "params", "history", "delta", "fact", "has_formulary", "flagged"]
-CLAIMS = ["li", "params", "history", "delta", "tags"]
-LEDGER = ["li", "params", "history", "log", "ledger0", "ledger1", "ledger"]
+COSTS = ["li", "suppliers", "params", "history", "delta", "codes", "fact", "has_formulary", "flagged"]
+CLAIMS = ["li", "suppliers", "params", "history", "delta", "tags"]
+LEDGER = ["li", "suppliers", "params", "history", "log", "ledger0", "ledger1", "ledger"]
 SETTINGS = ["li", "slots", "settings", "requests", "latest", "years"]
 SHARES = [*SETTINGS, "measures", "revenue", "detail", "claimed", "combined"]
 
@@ -406,7 +416,7 @@ def module_sql(name: str, shift: str, awp: str = "cents", wac: str = "cents * 2"
     return f"""
         SELECT '{name}' AS module, parent_request_id, request_id, task_id, prop_frmly_id, prop_ntwrk,
                {shift} AS shift_type,
-               CASE WHEN (('D' || (l_partkey % 40)) IN ({listed(DRUG_CODES)}) OR tax = 5)
+               CASE WHEN (('D' || (l_partkey % 2 * 8)) IN ({listed(DRUG_CODES)}) OR tax = 5)
                          AND ('P' || (l_suppkey % 40)) IN ({listed(PHARMACIES)}) THEN 'Specialty'
                     WHEN l_linestatus = 'F' THEN 'Mail' ELSE 'Retail' END AS channel,
                genbrand, sum(claims) AS claims, sum(dayssply) AS days, sum(decqty) AS qty,
@@ -476,7 +486,7 @@ ORACLE = {
               WHERE coalesce(data_request_type, 'STANDARD') = 'STANDARD'
                 AND ((parent_request_id, request_id, task_id) IN (SELECT (uw_req_id, req_gid, cpt_id) FROM history)
                   OR (parent_request_id, request_id, task_id) IN
-                     (SELECT (uw_req_id, req_gid, cpt_id) FROM log WHERE o_orderstatus <> 'P' AND cpt_id LIKE 'UW%'))) AS a,
+                     (SELECT (uw_req_id, req_gid, cpt_id) FROM log WHERE log_status = 'COMPLETE' AND cpt_id LIKE 'UW%'))) AS a,
              (SELECT count(DISTINCT (parent_request_id, request_id, task_id)) FROM params p JOIN ledger g
               ON p.parent_request_id = g.uw_req_id AND p.request_id = g.req_gid AND p.task_id = g.cpt_id) AS b)""",
     ),
@@ -502,12 +512,12 @@ ORACLE = {
     "claims_base": with_parts(
         CLAIMS,
         f"""SELECT {CLIENT}, 'SC' || (l_suppkey % 10) AS superclient_id, 'C' || (l_suppkey % 50) AS client_id,
-               CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS dofii, l_linestatus AS medd_stus_cd,
+               CAST(filled AS VARCHAR) AS dofii, l_linestatus AS medd_stus_cd,
                l_returnflag AS medd_class, 'Y' AS keepdata, CAST(NULL AS VARCHAR) AS pharm38non20, genbrand,
                drugname AS modeldrug, 'P' || (l_suppkey % 40) AS ncpdp, cents AS currawp, cents * 2 AS currwac, ltc_clm,
-               l_quantity AS claims, state, parent_request_id AS claimnbr, speclock, drugname,
+               l_quantity AS claims, state, order_request AS claimnbr, speclock, drugname,
                CASE WHEN tax > 5 THEN 'Y' ELSE 'N' END AS srx_drug_flg, cents AS awp, dlvry_systm_cd,
-               year(l_shipdate) AS report_year, month(l_shipdate) AS report_month, 'MB' || (l_partkey % 100) AS memberid,
+               year(filled) AS report_year, month(filled) AS report_month, 'MB' || (l_partkey % 100) AS memberid,
                'TM' || (l_partkey % 30) AS tot_mbr, cents * tax AS orgnl_ingrd_cost, l_quantity * disc AS clcfee,
                cents * 2 AS wac_amt, dayssply, mc, CASE dlvry_systm_cd WHEN 'M' THEN 0 ELSE dayssply END AS retail_ds,
                'RX' || l_partkey AS rxnum
@@ -527,8 +537,8 @@ ORACLE = {
                CASE dlvry_systm_cd WHEN 'M' THEN n_eligible END AS ephcnt_yr_dlvry_m,
                CASE dlvry_systm_cd WHEN 'R' THEN n_eligible END AS ephcnt_yr_dlvry_r,
                n_members AS mbrcnt_yr, n_members AS ephcnt_yr, n_members AS mbrcount_month, n_eligible AS ephcount_month
-            FROM (SELECT {CLIENT}, dlvry_systm_cd, year(l_shipdate) AS report_year, month(l_shipdate) AS report_month,
-                    CAST(CAST(date_trunc('month', l_shipdate) AS DATE) AS VARCHAR) AS dofii_mm, dofii_mm AS dof,
+            FROM (SELECT {CLIENT}, dlvry_systm_cd, year(filled) AS report_year, month(filled) AS report_month,
+                    CAST(CAST(date_trunc('month', filled) AS DATE) AS VARCHAR) AS dofii_mm, dofii_mm AS dof,
                     count(DISTINCT l_orderkey) AS n_claims, count(DISTINCT l_partkey % 100) AS n_members,
                     count(DISTINCT l_partkey % 30) AS n_eligible, sum(cents * tax) AS ingrd_cost,
                     sum(l_quantity * disc) AS clcfee, count(*) AS clmcount
@@ -556,9 +566,9 @@ ORACLE = {
     ),
     "shifted_excl": with_parts(
         ["li", "shifted"],
-        f"""SELECT {PERIOD}, CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob, 'D' || (l_partkey % 40) AS gpi,
-               'D' || (l_partkey % 20) AS b_gpi, origclaim, 'DRUG' || (l_partkey % 50) AS drugname,
-               'Formulary ' || (l_partkey % 10) AS prop_frmly_name, 'F' || (l_partkey % 4) AS curr_frmly_id,
+        f"""SELECT {PERIOD}, CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob, 'D' || (l_partkey % 2 * 8) AS gpi,
+               'D' || (l_partkey % 2) AS b_gpi, origclaim, 'DRUG' || (l_partkey % 2) AS drugname,
+               'Formulary ' || (l_suppkey % 10) AS prop_frmly_name, 'F' || (l_suppkey % 4) AS curr_frmly_id,
                sum(disc) AS shiftaway, sum(tax) AS sfactor, sum(claims) AS claims, sum(dayssply) AS dayssply,
                sum(cents) AS currawp, sum(cents * 2) AS currwac, avg(cents * disc) AS currnadac
             FROM shifted WHERE origclaim <> 'P' GROUP BY ALL""",
@@ -611,9 +621,8 @@ ORACLE = {
         SELECT o_custkey, o_orderkey, {stamp('o_orderdate')} AS o_orderdate FROM orders WHERE o_orderstatus <> 'P'
         QUALIFY rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1""",
     "explode_list": with_parts(
-        ["li", "log"],
-        """SELECT req_gid AS request_id, cpt_id AS task_id,
-                  CASE o_orderstatus WHEN 'P' THEN 'RUNNING' ELSE 'COMPLETE' END AS status, count(*) AS log_rows
+        ["li", "suppliers", "log"],
+        """SELECT req_gid AS request_id, cpt_id AS task_id, log_status AS status, count(*) AS log_rows
            FROM log GROUP BY ALL""",
     ),
     "dates_dim": """
@@ -642,7 +651,7 @@ ORACLE = {
         SELECT status, nullif(segment, ''), NULL, NULL, quantity + CASE WHEN nullif(segment, '') IS NULL THEN 1 ELSE 0 END
         FROM after""",
     "scalar_functions": with_parts(
-        ["li", "fact"],
+        ["li", "codes", "fact"],
         f"""SELECT family, result, count(*) AS lines FROM (
               SELECT 'times' AS family, concat_ws('|', strftime(l_shipdate + to_minutes(CAST(l_quantity * 29 AS BIGINT)), '%I:%M:%S'),
                   CAST(floor(-l_quantity * 29 / 1440) AS BIGINT),
@@ -655,8 +664,8 @@ ORACLE = {
               SELECT 'labels', concat_ws('|', proj_network_type,
                   primary_ntwrk || ' // ' || secondary_ntwrk || CASE l_returnflag WHEN 'R' THEN ' // club' ELSE '' END,
                   {word('primary_ntwrk')} || ' Formulary // ' || l_linestatus || ' Network',
-                  CASE WHEN tax > 4 THEN 'Y' ELSE 'N' END, CASE WHEN disc = 3 THEN 'none' ELSE 'DRUG' || (l_partkey % 50) END,
-                  CASE WHEN disc < 8 THEN 'N' WHEN disc = 8 THEN 'LDD_WACCESS' END,
+                  CASE WHEN tax > 4 THEN 'Y' ELSE 'N' END, CASE WHEN l_suppkey % 7 = 0 THEN 'none' ELSE 'DRUG' || (l_suppkey % 50) END,
+                  CASE WHEN l_suppkey % 2 = 1 THEN 'N' WHEN l_suppkey % 4 = 2 THEN 'LDD_WACCESS' END,
                   CASE l_returnflag WHEN 'A' THEN 'Non-Shifted' WHEN 'N' THEN 'Shifted' ELSE 'unknown' END)
               FROM fact) GROUP BY ALL""",
     ),

@@ -425,12 +425,12 @@ def scenario_attrs(spark, sf_dir):
 
 @query
 def latest_requests(spark, sf_dir):
-    parameters, params = star.model_parameters(spark, sf_dir), star.request_params(spark, sf_dir)
+    parameters, params = star.model_parameters(spark, sf_dir), star.scenario_requests(spark, sf_dir)
     return scenario.latest_requests(parameters, params).drop("request_payload")
 
 
 def settings(spark, sf_dir):
-    return scenario.scenario_settings(star.model_parameters(spark, sf_dir), star.request_params(spark, sf_dir))
+    return scenario.scenario_settings(star.model_parameters(spark, sf_dir), star.scenario_requests(spark, sf_dir))
 
 
 @query
@@ -452,7 +452,7 @@ def mshare_detail(spark, sf_dir):
 def share_inputs(spark, sf_dir):
     return (
         star.model_parameters(spark, sf_dir),
-        star.request_params(spark, sf_dir),
+        star.scenario_requests(spark, sf_dir),
         star.revenue_summary(spark, sf_dir),
         star.pharmacy_pnl(spark, sf_dir),
         star.specialty_pnl(spark, sf_dir),
