@@ -10,11 +10,12 @@ from reqmart.session import materialise
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for each node of the links (u, v): the component is its smallest node.
 
-    Each round ties every node to the smallest neighbour, first for its larger and then for its smaller neighbours; the links
-    become stars in a number of rounds that grows with the logarithm of the longest chain. Neighbours are never
-    gathered: a round is two grouped minima joined back to the links, written to the shared folder.
+    Each round ties every node to the smallest neighbour, first for its larger and then for its smaller neighbours;
+    the links become stars in a number of rounds that grows with the logarithm of the longest chain. Neighbours are
+    never gathered: a round is two grouped minima joined back to the links, written to the shared folder.
     """
-    links = materialise(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    directed = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    links = materialise(directed.distinct())
     before = None
     while (now := links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()) != before:
         before = now
@@ -22,9 +23,10 @@ def components(links: DataFrame) -> DataFrame:
         smallest = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
         large = both.where("v > u").join(smallest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = F.col("m").alias("v")
         tied = large.join(smallest, "u").select(
-            F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        )
+            F.explode(F.array(F.struct("u", least), F.struct(F.col("v").alias("u"), least)))
+        )
         links = materialise(tied.select("col.*").where("u <> v").distinct())
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -1,13 +1,14 @@
-"""Find benchmark items inside documents: MinHash containment search over size partitions, verified exactly. DataFrame functions only.
+"""Find benchmark items inside documents: MinHash containment search over size partitions, verified exactly. DataFrame
+functions only.
 
-A text is its distinct shingles of five words (runs of letters and digits, lower case). A document contains an item if it has at
-least ``PERCENT`` percent of the item's shingles, however long it is.
+A text is its distinct shingles of five words (runs of letters and digits, lower case). A document contains an item if
+it has at least ``PERCENT`` percent of the item's shingles, however long it is.
 
-Items are partitioned by size, in powers of two. The sketch of an item of n shingles holds its k smallest hashes, k being one more
-than it may miss: a document that contains the item has at least one of these hashes. The threshold of a partition is the
-largest hash in its sketches; the sketch of a document is its hashes up to the largest threshold of the partitions whose items
-are small enough to be contained in it. So the sketches miss nothing, and hashes above the thresholds, most of them, are never compared.
-Pairs whose sketches meet are verified on the shingles themselves.
+Items are partitioned by size, in powers of two. The sketch of an item of n shingles holds its k smallest hashes, k
+being one more than it may miss: a document that contains the item has at least one of these hashes. The threshold of
+a partition is the largest hash in its sketches; the sketch of a document is its hashes up to the largest threshold of
+the partitions whose items are small enough to be contained in it. So the sketches miss nothing, and hashes above the
+thresholds, most of them, are never compared. Pairs whose sketches meet are verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -74,9 +75,10 @@ def threshold(n_words: Column, sketches: DataFrame, percent: int) -> Column:
 def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs of a document and an item it contains: doc_id, item_id, item_size, shared, containment.
 
-    ``docs`` has doc_id and text, ``items`` item_id and text; no other column is read. Null and empty texts contain nothing and are
-    contained in nothing. An item of fewer than five words is found only in texts of the same words. Rows that repeat an id
-    count as one document (any of them may hold a shingle) or as one item; null ids count as an id. Empty tables give no pairs.
+    ``docs`` has doc_id and text, ``items`` item_id and text; no other column is read. Null and empty texts contain
+    nothing and are contained in nothing. An item of fewer than five words is found only in texts of the same words.
+    Rows that repeat an id count as one document (any of them may hold a shingle) or as one item; null ids count as an
+    id. Empty tables give no pairs.
     """
     read_items = items.select("item_id", words(F.col("text")).alias("words"))
     whole = materialise(

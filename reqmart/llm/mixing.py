@@ -1,13 +1,13 @@
 """Mix sources to target weights by systematic sampling. DataFrame functions only.
 
-Within a source every document has the same expected number of copies, target size / source size. The documents of
-a source stand in one line, by size; the expected copies are summed along the line, one random offset is added, and a
-document is emitted once for each whole number its stretch of the line crosses. As neighbours in the line have nearly the same size, the
-words taken come near the target.
+Within a source every document has the same expected number of copies, target size / source size. The documents of a
+source stand in one line, by size; the expected copies are summed along the line, one random offset is added, and a
+document is emitted once for each whole number its stretch of the line crosses. As neighbours in the line have nearly
+the same size, the words taken come near the target.
 
 No task needs a whole source. The line is cut into blocks (size class, then one of 256 salts taken from the id), whose
-counts are summed per source first: a few thousand rows whatever the size of the source. Only the place within its block is
-counted over documents.
+counts are summed per source first: a few thousand rows whatever the size of the source. Only the place within its
+block is counted over documents.
 """
 
 from __future__ import annotations
@@ -31,10 +31,10 @@ def word_count(text: Column) -> Column:
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_copies: int = 3) -> DataFrame:
     """One row per source with its target, from rows (source_key, no_source, source_size).
 
-    Sources are put in code point order, the null source last, and take the weights in turn. The sum of all sizes is shared
-    by weight, but no source gets more than ``most_copies`` times its size; what is above goes to the others by weight.
-    Sources in order of size / weight reach their bound one after the other, so running sums find the share per weight at
-    which the rest of the sources stays under theirs.
+    Sources are put in code point order, the null source last, and take the weights in turn. The sum of all sizes is
+    shared by weight, but no source gets more than ``most_copies`` times its size; what is above goes to the others by
+    weight. Sources in order of size / weight reach their bound one after the other, so running sums find the share
+    per weight at which the rest of the sources stays under theirs.
     """
     in_order = Window.orderBy("no_source", "source_key")
     place = (F.row_number().over(in_order) - 1) % len(weights) + 1
@@ -64,12 +64,13 @@ def with_copies(
     most_copies: int = 3,
     seed: int = 17,
 ) -> DataFrame:
-    """A row per document: the columns ``keep`` (default: all) in the struct ``doc``, size, source_size, target and copies.
+    """A row per document: the columns ``keep`` (default: all) in the struct ``doc``, size, source_size, target and
+    copies.
 
-    ``docs`` has doc_id, text and source; its other columns only travel in ``doc``, so their names can't clash. Null or empty
-    texts have size 0; a source of size 0 has target 0 and no copies. A null source is a source of its own. Null ids are
-    ordered first; repeated rows each get copies of their own. An empty table gives an empty one. The same rows give the
-    same copies in every run, except that rows with equal id and equal size may change places.
+    ``docs`` has doc_id, text and source; its other columns only travel in ``doc``, so their names can't clash. Null
+    or empty texts have size 0; a source of size 0 has target 0 and no copies. A null source is a source of its own.
+    Null ids are ordered first; repeated rows each get copies of their own. An empty table gives an empty one. The
+    same rows give the same copies in every run, except that rows with equal id and equal size may change places.
     """
     kept = docs.columns if keep is None else keep
     size = word_count(F.col("text"))
@@ -87,7 +88,8 @@ def with_copies(
         "salt", F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 2)
     )
 
-    counts = materialise(blocked.groupBy(*BLOCK).agg(F.count("*").alias("block_rows"), F.sum("size").alias("block_size")))
+    per_block = [F.count("*").alias("block_rows"), F.sum("size").alias("block_size")]
+    counts = materialise(blocked.groupBy(*BLOCK).agg(*per_block))
     line = Window.partitionBy("source_key", "no_source").orderBy("size_bits", "size_head", "salt")
     starts = counts.select(
         *BLOCK,

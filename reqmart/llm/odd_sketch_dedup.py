@@ -1,15 +1,16 @@
 """Near duplicates by MinHash bands, verified by odd sketches and then on full sets.
 
 A document's set is that of its five-word shingles. Documents with equal sets are one node. Nodes that share a band of
-MinHash values are candidates; those whose odd sketches (parity bitmaps of one-permutation MinHash samples) differ in few enough bits are compared
-on their full sets. Components of the confirmed links are the classes.
+MinHash values are candidates; those whose odd sketches (parity bitmaps of one-permutation MinHash samples) differ in
+few enough bits are compared on their full sets. Components of the confirmed links are the classes.
 
-Groups of near copies don't become all their pairs. First each node is compared with the hubs of its buckets, the nodes that share most
-bands with others, and linked with the one most like it if that is confirmed; the components of these links are taken. Then only pairs of
-different components are compared, and within a bucket only those with a member outside its largest component.
+Groups of near copies don't become all their pairs. First each node is compared with the hubs of its buckets, the
+nodes that share most bands with others, and linked with the one most like it if that is confirmed; the components of
+these links are taken. Then only pairs of different components are compared, and within a bucket only those with a
+member outside its largest component.
 
-Similarity, 0.85 here, is a share of whole numbers and confirmed exactly. The bands miss a pair of that similarity with a
-probability under 1e-5, and the sketches, which allow for about five standard deviations, under 1e-5.
+Similarity, 0.85 here, is a share of whole numbers and confirmed exactly. The bands miss a pair of that similarity
+with a probability under 1e-5, and the sketches, which allow for about five standard deviations, under 1e-5.
 """
 
 from __future__ import annotations
@@ -113,9 +114,10 @@ def differing() -> Column:
 def may_be_similar(percent: int) -> Column:
     """Whether sizes and sketches of the sides ``a`` and ``b`` leave room for that similarity s.
 
-    Of k bins the union of the sets hits some, and in a share of 1 - s of these its smallest hash is in one set only; then the samples differ in
-    that hash and in the other set's, if it has one in the bin. The more bins are hit twice, the more that count varies. Of B
-    bits, d differing samples leave about B/2 * (1 - exp(-2d / B)) set, give or take d * sqrt(2 / B). Five deviations of either are allowed.
+    Of k bins the union of the sets hits some, and in a share of 1 - s of these its smallest hash is in one set only;
+    then the samples differ in that hash and in the other set's, if it has one in the bin. The more bins are hit
+    twice, the more that count varies. Of B bits, d differing samples leave about B/2 * (1 - exp(-2d / B)) set, give
+    or take d * sqrt(2 / B). Five deviations of either are allowed.
     """
     small, large = F.least("a.n_shingles", "b.n_shingles"), F.greatest("a.n_shingles", "b.n_shingles")
     s, total = percent / 100, F.col("a.n_shingles") + F.col("b.n_shingles")
@@ -141,9 +143,9 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id linked, itself included) per document.
 
-    ``docs`` has doc_id and text; no other column is read. Null, empty and blank texts have an empty set and are linked with
-    nothing. Rows of one id are one document. A null id takes part with its text and never names a component; a component of such rows
-    only has the id null.
+    ``docs`` has doc_id and text; no other column is read. Null, empty and blank texts have an empty set and are
+    linked with nothing. Rows of one id are one document. A row without an id has the component of its text and never
+    names one; a text that only such rows have is linked with equal texts only, and its component is null.
     """
     digested = materialise(digests(docs))
     nodes = materialise(
@@ -193,9 +195,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     labelled = digested.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component", "node")
     firsts = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first"))
-    return labelled.join(firsts, "label", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first")).alias("component_id")
-    )
+    component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first"))
+    return labelled.join(firsts, "label", "left").select("doc_id", "n_shingles", component.alias("component_id"))
 
 
 def kept(component: str = "component_id") -> Column:

@@ -1,12 +1,13 @@
 """Quality grades by ordinal cumulative-link regression on hashed text.
 
-One score per text, a sum of weights shared by all grades, and ordered thresholds: P(grade <= k) is the logistic function
-of threshold k minus score. That gives the expected grade and the probability of a grade of at least k, by which documents
-are selected. Texts are hashed sets of words and punctuation runs, and three marks of shape (repetition, variety,
-capitals); whole texts count, whatever their length.
-
-The model is fitted on a bounded sample of the rated documents, ``SAMPLE`` at most, those with the smallest hash of their id; one
-task fits it, from hashed numbers, and the driver gets its few weights. Scoring is one pass over the documents without a shuffle.
+One score per text, a sum of weights shared by all grades, and ordered thresholds: P(grade <= k) is the logistic
+function of threshold k minus score. That gives the expected grade and the probability of a grade of at least k, by
+which documents are selected. Texts are hashed sets of words and punctuation runs, and three marks of shape
+(repetition, variety, capitals); whole texts count, whatever their length.
+
+The model is fitted on a bounded sample of the rated documents, ``SAMPLE`` at most, those with the smallest hash of
+their id; one task fits it, from hashed numbers, and the driver gets its few weights. Scoring is one pass over the
+documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -70,8 +71,9 @@ class OrdinalModel:
     def score(self, docs: DataFrame, at_least: int | None = None, keep: list[str] | None = None) -> DataFrame:
         """A row per document: the columns ``keep`` (default: all) in the struct ``doc``, expected_grade, tail.
 
-        ``tail`` is the probability of a grade of ``at_least`` (default: the best grade). ``docs`` has text; a null text
-        counts as empty, and an empty one has the score 0. Repeated rows are scored alike. Other columns only travel in ``doc``.
+        ``tail`` is the probability of a grade of ``at_least`` (default: the best grade). ``docs`` has text; a null
+        text counts as empty, and an empty one has the score 0. Repeated rows are scored alike. Other columns only
+        travel in ``doc``.
         """
         weights, thresholds, tails = self.weights, self.thresholds, self.tails
         chosen = len(thresholds) if at_least is None else at_least
@@ -103,9 +105,9 @@ class OrdinalModel:
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE) -> OrdinalModel:
     """Fit on at most ``sample`` rated documents.
 
-    ``ratings`` has doc_id and grade (0 to ``grades`` - 1); rows with a null in either, or a grade out of range, and documents
-    with a null text are left out. Of a document rated twice, each rating counts. Without ratings all weights are 0 and all
-    grades equally likely.
+    ``ratings`` has doc_id and grade (0 to ``grades`` - 1); rows with a null in either, or a grade out of range, and
+    documents with a null text are left out. Of a document rated twice, each rating counts. Without ratings all
+    weights are 0 and all grades equally likely.
     """
     rated = ratings.select("doc_id", F.col("grade").cast("int").alias("grade"))
     rated = rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
@@ -148,9 +150,9 @@ def learn(
 ) -> OrdinalModel:
     """Follow the regularised leader (per-coordinate steps, L1 for few weights) over shuffled batches.
 
-    With ``only_against`` no weight is above 0: a token can tell against a text, and a text without such tokens has the best
-    score, so that length earns nothing. Features of fewer than one in a thousand examples get no weight: in long texts the noise of many such would hide the
-    few words that tell.
+    With ``only_against`` no weight is above 0: a token can tell against a text, and a text without such tokens has
+    the best score, so that length earns nothing. Features of fewer than one in a thousand examples get no weight: in
+    long texts the noise of many such would hide the few words that tell.
     """
     found = np.bincount(np.concatenate([np.zeros(0, np.int64), *features]), minlength=DIMENSIONS)
     common = found >= max(2, len(features) // 1000)

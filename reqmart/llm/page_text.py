@@ -1,9 +1,9 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
-A page is cut at its block elements into flat blocks of text. Each has a word count and a link density (share of its words
-in links), which together with those of its neighbours and with what the enclosing elements say of themselves (their names, classes and
-ids) are the features of a decision tree. The tree is grown from the small table of labelled blocks below, when the operator is
-called; the blocks it takes for article text, in page order, are the page's text.
+A page is cut at its block elements into flat blocks of text. Each has a word count and a link density (share of its
+words in links), which together with those of its neighbours and with what the enclosing elements say of themselves
+(their names, classes and ids) are the features of a decision tree. The tree is grown from the small table of labelled
+blocks below, when the operator is called; the blocks it takes for article text, in page order, are the page's text.
 """
 
 from __future__ import annotations
@@ -121,9 +121,9 @@ def blocks_of(page: str) -> list[Block]:
             in_link = in_link and name not in ("li", "p")
         if name in STARTS:
             if closing:
-                places = [i for i, t in enumerate(open_tags) if t[0] == name]
-                if places:
-                    del open_tags[places[-1] :]
+                place = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
+                if place is not None:
+                    del open_tags[place:]
             elif not m["rest"].endswith("/"):
                 _, in_article, in_boilerplate = open_tags[-1] if open_tags else ("", False, False)
                 article, other = names_itself(name, m["rest"])
@@ -256,8 +256,8 @@ def main_text(page: str, tree: Tree) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text per page, from page_id, url and html; no other column is read.
 
-    The text has one line per block, its character references decoded and its white space (any) turned into single blanks. A null, empty or
-    textless page has an empty text. Repeated rows and null ids are kept as they are.
+    The text has one line per block, its character references decoded and its white space (any) turned into single
+    blanks. A null, empty or textless page has an empty text. Repeated rows and null ids are kept as they are.
     """
     tree = grow(*labelled_table())
 

@@ -1,14 +1,15 @@
 """Nearest neighbours by few stable projections, a kd-tree over them, and a chi-square stopping test.
 
-Vectors get one more component that gives all the same length, so that the largest inner product is the smallest distance, and are projected
-by ``PROJECTIONS`` Gaussian vectors. The squared projected distance over the squared true distance then follows the chi-square
-distribution. A search takes vectors in the order of their kd-tree leaves' projected distance, verifies them by their true
-inner product, and stops where a vector as near as the worst kept one would be projected this far with a probability of less than
-1 - ``SURE``.
-
-The upper levels of the kd-tree, fitted on a sample of at most ``SAMPLE`` rows, deal the rows out as cells; a task builds the lower
-levels over its block of a cell. Each query first searches its own cell, which bounds its radius, and then the other cells within the radius.
-Every row is indexed. Equal vectors are indexed once, with the smallest of their ids that can be among the nearest.
+Vectors get one more component that gives all the same length, so that the largest inner product is the smallest
+distance, and are projected by ``PROJECTIONS`` Gaussian vectors. The squared projected distance over the squared true
+distance then follows the chi-square distribution. A search takes vectors in the order of their kd-tree leaves'
+projected distance, verifies them by their true inner product, and stops where a vector as near as the worst kept one
+would be projected this far with a probability of less than 1 - ``SURE``.
+
+The upper levels of the kd-tree, fitted on a sample of at most ``SAMPLE`` rows, deal the rows out as cells; a task
+builds the lower levels over its block of a cell. Each query first searches its own cell, which bounds its radius, and
+then the other cells within the radius. Every row is indexed. Equal vectors are indexed once, with the smallest of
+their ids that can be among the nearest.
 """
 
 from __future__ import annotations
@@ -126,7 +127,8 @@ def search_block(
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each query its place, and the places and inner products of its best ``k`` vectors of the block.
 
-    ``worst`` is a squared distance that a query already has k vectors within (infinite if it hasn't). Ties go to smaller ids.
+    ``worst`` is a squared distance that a query already has k vectors within (infinite if it hasn't). Ties go to
+    smaller ids.
     """
     points = projection.rows(vectors)
     parts = leaves(points)
@@ -163,11 +165,13 @@ def usable(vectors: DataFrame, dimensions: int | None = None) -> DataFrame:
 
 
 def neighbours(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
-    """The ``k`` rows of largest inner product for each row whose id is divisible by ``every``: query_id, rank, id, score.
+    """The ``k`` rows of largest inner product for each row whose id is divisible by ``every``: query_id, rank, id,
+    score.
 
-    ``vectors`` has id and vector (array of numbers); no other column is read. A query is no candidate of its own. Equal scores are ranked
-    by id. Rows without an id, or whose vector is null, zero, holds a null or non-finite number, or differs in length from
-    most, take no part. Rows that repeat an id and its vector count once. Fewer rows than ``k`` give all; an empty table none.
+    ``vectors`` has id and vector (array of numbers); no other column is read. A query is no candidate of its own.
+    Equal scores are ranked by id. Rows without an id, or whose vector is null, zero, holds a null or non-finite
+    number, or differs in length from most, take no part. Rows that repeat an id and its vector count once. Fewer rows
+    than ``k`` give all; an empty table none.
     """
     spark = vectors.sparkSession
     plain = usable(vectors.select(F.col("id").cast("bigint"), F.col("vector").cast("array<double>")))

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reqmart.llm import decontaminate, mixing, odd_sketch_dedup, ordinal_quality as quality, page_text, projected_neighbours, secret_index, suffix_buckets, token_counts, token_files
+from reqmart.llm import (
+    decontaminate,
+    mixing,
+    odd_sketch_dedup,
+    ordinal_quality as quality,
+    page_text,
+    projected_neighbours,
+    secret_index,
+    suffix_buckets,
+    token_counts,
+    token_files,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,14 +95,17 @@ def op6_secret_index(spark, sf_dir):
     base = F.filter("spans", lambda s: s["kind"].isin(kinds))
 
     def joined(spans):
-        texts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
-        return F.array_join(texts, ",")
+        def text(s):
+            return F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+
+        return F.array_join(F.transform(spans, text), ",")
 
     def of_kind(kind):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
     counts = map(of_kind, kinds)
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    digest = F.sha2(joined(base), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), joined("spans").alias("spans"))
 
 
 @query

@@ -1,10 +1,10 @@
 """Scan texts for secrets with a trigram inverted index.
 
-From each rule's regular expression a Boolean query over trigrams is derived that every matching text satisfies. A task indexes a
-block of texts: postings, the texts of each trigram that any rule asks for, are intersected and united by the queries, and only the
-texts left are matched against the expression. A rule whose expression has no mandatory trigram is matched against all texts.
-Trigrams are bytes of the text with A to Z in lower case, so one index serves rules of either case. Whole texts are indexed and matched; nothing is
-shuffled.
+From each rule's regular expression a Boolean query over trigrams is derived that every matching text satisfies. A
+task indexes a block of texts: postings, the texts of each trigram that any rule asks for, are intersected and united
+by the queries, and only the texts left are matched against the expression. A rule whose expression has no mandatory
+trigram is matched against all texts. Trigrams are bytes of the text with A to Z in lower case, so one index serves
+rules of either case. Whole texts are indexed and matched; nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -222,10 +222,12 @@ def matches(rule: Rule, expression: re.Pattern, text: str) -> Iterator[tuple[int
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id and spans (kind, start, end in code points, the end exclusive) per document, by start, then in the rules' order.
+    """doc_id and spans (kind, start, end in code points, the end exclusive) per document, by start, then in the
+    rules' order.
 
-    ``docs`` has doc_id and text; no other column is read. Matches of one rule are the leftmost that don't overlap; those of different rules may.
-    Null and empty texts have no spans. Repeated rows are scanned alike; a null id stays null.
+    ``docs`` has doc_id and text; no other column is read. Matches of one rule are the leftmost that don't overlap;
+    those of different rules may. Null and empty texts have no spans. Repeated rows are scanned alike; a null id stays
+    null.
     """
     queries = [trigram_query(r.pattern) for r in rules]
     trigrams = sorted(set().union(*map(mandatory, queries)))

@@ -1,21 +1,24 @@
 """Remove repeated byte strings by refining buckets of sampled suffixes.
 
-A window is a string of ``LENGTH`` bytes of one text. A window that also starts earlier (in a smaller document, or earlier in
-the same one) is a repeat, and every byte that a repeat covers is removed.
+A window is a string of ``LENGTH`` bytes of one text. A window that also starts earlier (in a smaller document, or
+earlier in the same one) is a repeat, and every byte that a repeat covers is removed.
 
-Windows are sorted into buckets by the smallest hash of the q-grams they hold, at its first place: the anchor. Equal windows have the same anchor, at
-the same distance, so they meet in a bucket. Consecutive windows of one anchor make one row, which is what keeps the sort
-small: a row per 40 bytes or so in place of a suffix per byte. Within a bucket rows are sorted by the identity of all their bytes:
+Windows are sorted into buckets by the smallest hash of the q-grams they hold, at its first place: the anchor. Equal
+windows have the same anchor, at the same distance, so they meet in a bucket. Consecutive windows of one anchor make
+one row, which is what keeps the sort small: a row per 40 bytes or so in place of a suffix per byte. Within a bucket
+rows are sorted by the identity of all their bytes:
 
 - rows of equal bytes: all but the first are repeats,
-- the first rows, where bytes differ: some of their windows may still be equal. They are cut into pieces at fixed distances from
-  the anchor, whose buckets are named by the bytes that all windows of the piece share, and sorted again; then into single windows,
+- the first rows, where bytes differ: some of their windows may still be equal. They are cut into pieces at fixed
+  distances from the anchor, whose buckets are named by the bytes that all windows of the piece share, and sorted
+  again; then into single windows,
 - buckets of one kind of bytes are done.
 
-The rounds work on ever fewer rows. Buckets and bytes are told apart by two 64-bit hashes, of different tables.
-Each task sorts out the rows of its own texts first. Of equal rows only the first competes with those of other tasks, and where a block of text
-shows that a bucket holds several kinds of bytes, these rows are sorted by their bytes wherever they are, and the bucket gets one sign of them: so a
-string that a third of all texts share gathers in one task neither its copies nor its surroundings. Rows stream by in order.
+The rounds work on ever fewer rows. Buckets and bytes are told apart by two 64-bit hashes, of different tables. Each
+task sorts out the rows of its own texts first. Of equal rows only the first competes with those of other tasks, and
+where a block of text shows that a bucket holds several kinds of bytes, these rows are sorted by their bytes wherever
+they are, and the bucket gets one sign of them: so a string that a third of all texts share gathers in one task
+neither its copies nor its surroundings. Rows stream by in order.
 """
 
 from __future__ import annotations
@@ -141,8 +144,8 @@ def _rows(block, owner, start, count, to_anchor, slot, content) -> dict[str, np.
 def sorted_out(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
     """What a task can tell from its own rows.
 
-    Repeats get no bytes and no bucket in particular. Rows of a bucket with other bytes are open; their bucket is named by their bytes as well,
-    and a sign goes to the old one.
+    Repeats get no bytes and no bucket in particular. Rows of a bucket with other bytes are open; their bucket is
+    named by their bytes as well, and a sign goes to the old one.
     """
     order = np.lexsort((rows["place"], rows["tag"], rows["doc"], rows["bytes"], rows["slot"]))
     columns = [rows[c][order] for c in ("slot", "bytes", "doc", "tag", "place")]
@@ -233,8 +236,8 @@ def cut(docs: DataFrame, pending: DataFrame, size: int) -> DataFrame:
 def refined(rows: DataFrame) -> DataFrame:
     """The repeats (slot null) and the pending rows (slot given), from all rows of the buckets.
 
-    Rows come sorted by bucket, bytes and place and are sorted out as they stream by: in a run of equal bytes all but the first are
-    repeats; the first is pending if its bucket holds other bytes.
+    Rows come sorted by bucket, bytes and place and are sorted out as they stream by: in a run of equal bytes all but
+    the first are repeats; the first is pending if its bucket holds other bytes.
     """
 
     def sort_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,11 +321,12 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """A row per document: doc_id, kept (its remaining bytes), n_bytes, spans (what was removed, as maximal byte ranges).
+    """A row per document: doc_id, kept (its remaining bytes), n_bytes, spans (what was removed, as maximal byte
+    ranges).
 
     ``docs`` has doc_id and text; no other column is read. Null and empty texts have no bytes. A null id is the last
-    document. Rows that repeat an id are documents of their own if their texts differ (in the order of a hash of the text); equal ones count as one
-    document and come out alike. An empty table gives an empty one.
+    document. Rows that repeat an id are documents of their own if their texts differ (in the order of a hash of the
+    text); equal ones count as one document and come out alike. An empty table gives an empty one.
     """
     own = identified(docs)
     runs = repeated_windows(own).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n")).alias("runs"))

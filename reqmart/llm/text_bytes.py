@@ -52,7 +52,8 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """Sorted distinct hashes of each text's shingles of five words; a shorter text is one shingle, an empty one none."""
+    """Sorted distinct hashes of each text's shingles of five words; a shorter text is one shingle, an empty one none.
+    """
     words, counts = word_hashes(texts)
     ends = np.cumsum(counts)
     if len(words) >= SHINGLE:

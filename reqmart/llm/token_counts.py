@@ -1,10 +1,11 @@
 """Token counts of a unigram tokenizer, without its tokens.
 
 An Aho-Corasick automaton lists the vocabulary pieces that end at each character; dynamic programming keeps, per
-character, only the best score of a segmentation up to there and its number of pieces. The rules are those of the public unigram
-model: of equal scores the segmentation whose last piece is longest stays, a character that is no piece itself scores ten less than the worst piece, and
-counts as its bytes. Blanks become the mark that begins a word; no piece crosses such a mark or a line feed, so the parts
-between are counted one by one, and once each while a worker remembers them.
+character, only the best score of a segmentation up to there and its number of pieces. The rules are those of the
+public unigram model: of equal scores the segmentation whose last piece is longest stays, a character that is no piece
+itself scores ten less than the worst piece, and counts as its bytes. Blanks become the mark that begins a word; no
+piece crosses such a mark or a line feed, so the parts between are counted one by one, and once each while a worker
+remembers them.
 
 The vocabulary and its scores are those of a public tokenizer file, taken as they are.
 """

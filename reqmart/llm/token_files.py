@@ -1,14 +1,15 @@
 """Token ids in seekable files: independent zstandard frames with a seek table at the end.
 
-A file holds the ids of its documents, one after the other, as little-endian unsigned 32-bit integers, cut into frames of
-``FRAME_IDS`` ids that decompress on their own. Two skippable frames follow, so that any zstandard reader can read the whole
-file as well: the document index (id and token count of each document, zstandard-compressed) and the seek table in the public seekable
-format (compressed size, content size and low 32 bits of the content's xxh64, per frame). A reader fetches the two tables,
-then only the frames that hold the documents asked for, and checks each frame against its checksum.
+A file holds the ids of its documents, one after the other, as little-endian unsigned 32-bit integers, cut into frames
+of ``FRAME_IDS`` ids that decompress on their own. Two skippable frames follow, so that any zstandard reader can read
+the whole file as well: the document index (id and token count of each document, zstandard-compressed) and the seek
+table in the public seekable format (compressed size, content size and low 32 bits of the content's xxh64, per frame).
+A reader fetches the two tables, then only the frames that hold the documents asked for, and checks each frame against
+its checksum.
 
 Spark sorts the documents by id into ranges; each task encodes its range and writes one file. A task that is run again
-writes a file of another name, and the manifest (a table of one row per file, written by Spark) names those that count, so
-lost executors and repeated tasks do no harm.
+writes a file of another name, and the manifest (a table of one row per file, written by Spark) names those that
+count, so lost executors and repeated tasks do no harm.
 """
 
 from __future__ import annotations
@@ -81,8 +82,8 @@ class WordEncoder:
     """Ids of whole texts by way of their words.
 
     The tokenizer normalises character by character and never joins across white space, or across the end of a run of
-    letters, so a text's ids are those of its words in turn, and those of "word," are those of "word" and of ",". Each distinct
-    word goes through the tokenizers library once while it is kept.
+    letters, so a text's ids are those of its words in turn, and those of "word," are those of "word" and of ",". Each
+    distinct word goes through the tokenizers library once while it is kept.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -154,8 +155,9 @@ class WordEncoder:
 
 
 def worker_encoder(tokenizer_path: str) -> WordEncoder:
-    """The encoder of this worker process, which serves many tasks. It is kept with the tokenizers module, because functions
-    that travel by value get new globals in each task."""
+    """The encoder of this worker process, which serves many tasks. It is kept with the tokenizers module, because
+    functions that travel by value get new globals in each task.
+    """
     import tokenizers
 
     kept = vars(tokenizers).setdefault("_word_encoders", {})
@@ -165,7 +167,9 @@ def worker_encoder(tokenizer_path: str) -> WordEncoder:
 
 
 def split_mark(word: str) -> tuple[str, str]:
-    """The word and a full stop or comma right after its last letter; plain ASCII in lower case, as the tokenizer has it."""
+    """The word and a full stop or comma right after its last letter; plain ASCII in lower case, as the tokenizer has
+    it.
+    """
     mark = ""
     if word[-1] in ".," and word[-2:-1].isalpha():
         word, mark = word[:-1], word[-1]
@@ -272,10 +276,11 @@ def open_store(folder: str) -> tuple[fs.FileSystem, str]:
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 1, files: int | None = None, level: int = 3
 ) -> DataFrame:
-    """Write the ids of all texts below ``folder`` (shared by all executors) and return the manifest, one row per file.
+    """Write the ids of all texts below ``folder`` (shared by all executors) and return the manifest, one row per
+    file.
 
-    Files hold ascending ranges of doc_id: null ids first, equal ids by the text's hash. A null text gives ``end_id`` alone.
-    Only doc_id and text are read. An empty table gives an empty manifest.
+    Files hold ascending ranges of doc_id: null ids first, equal ids by the text's hash. A null text gives ``end_id``
+    alone. Only doc_id and text are read. An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -350,8 +355,8 @@ def crc32(chunks: Iterator[np.ndarray]) -> int:
 def token_table(docs: DataFrame, tokenizer_path: str, folder: str | None = None, **settings) -> DataFrame:
     """Write the token files of ``docs`` and read them back: doc_id, start, n_tokens, ids_crc32 per document.
 
-    ``start`` counts the ids of all documents before, over all files: a sum over the manifest's rows, one per file, and the
-    place that the file itself gives.
+    ``start`` counts the ids of all documents before, over all files: a sum over the manifest's rows, one per file,
+    and the place that the file itself gives.
     """
     folder = folder or f"{checkpoint_root(docs.sparkSession)}/token_files/{uuid.uuid4().hex}"
     manifest = write_token_files(docs, folder, tokenizer_path, **settings)
