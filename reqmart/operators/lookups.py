@@ -31,7 +31,7 @@ def unique_lookup(df: DataFrame, keys: list[str], values: list[str], by: str = "
     """
     if by == "entry":
         grouped = df.groupBy(*keys, *values).agg(F.count("*").alias("occurrences"))
-        return spread(grouped.where("occurrences = 1").select(*keys, *values))
+        return grouped.where("occurrences = 1").select(*keys, *values)  # grouped by more than the keys of a join
     if by != "key":
         raise ValueError(f"by must be 'key' or 'entry', not {by!r}")
     # With a single row in the group, any row's values are that row's.

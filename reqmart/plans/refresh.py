@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -42,6 +42,13 @@ class RefreshInputs:
     specialty_label: str = "Specialty"
     clock_from: str = fixed.CLOCK_TEXT_FROM
     drug_mix_since: str = fixed.DRUG_MIX_SINCE
+    _tagged: dict[int, DataFrame] = field(default_factory=dict, init=False, repr=False)
+
+    def claims_of(self, delta: DataFrame) -> DataFrame:
+        """Tagged claims of the delta's requests, computed once in a run for the four reports made of them."""
+        if id(delta) not in self._tagged:
+            self._tagged[id(delta)] = materialise(claims.claims_base(self.claims_tags, self.claims_preshift, delta))
+        return self._tagged[id(delta)]
 
 
 @dataclass
@@ -80,10 +87,6 @@ def _of_requests(df: DataFrame, delta: DataFrame) -> DataFrame:
     return restrict(df, delta, dict(zip(fixed.REPORT_KEYS, fixed.LEDGER_KEYS)))
 
 
-def _base(i: RefreshInputs, delta: DataFrame) -> DataFrame:
-    return claims.claims_base(i.claims_tags, i.claims_preshift, delta)
-
-
 def _strategy(i: RefreshInputs, delta: DataFrame) -> DataFrame:
     preshift = restrict(i.claims_preshift, delta, dict(zip(fixed.REQUEST_KEYS, fixed.LEDGER_KEYS)))
     facts = (i.formulary_shifted, i.house_shifted, i.dispensed_shifted, i.market_shifted)
@@ -95,10 +98,10 @@ CLAIMS = ["claims_tags", "claims_preshift"]
 SHIFTED = ["formulary_shifted", "house_shifted", "dispensed_shifted", "market_shifted"]
 
 REPORTS = [
-    Report("claims_top_drugs", CLAIMS, lambda i, d: claims.top_drugs(_base(i, d))),
-    Report("claims_states", CLAIMS, lambda i, d: claims.state_counts(_base(i, d))),
-    Report("claims_preshift", CLAIMS, lambda i, d: claims.preshift_monthly(_base(i, d))),
-    Report("claims_summary", CLAIMS, lambda i, d: claims.summary_metrics(_base(i, d))),
+    Report("claims_top_drugs", CLAIMS, lambda i, d: claims.top_drugs(i.claims_of(d))),
+    Report("claims_states", CLAIMS, lambda i, d: claims.state_counts(i.claims_of(d))),
+    Report("claims_preshift", CLAIMS, lambda i, d: claims.preshift_monthly(i.claims_of(d))),
+    Report("claims_summary", CLAIMS, lambda i, d: claims.summary_metrics(i.claims_of(d))),
     Report(
         "formulary_shifted", SHIFTED[:1],
         lambda i, d: shifted.shifted_by_flag(_of_requests(i.formulary_shifted, d), "origclaim"),
@@ -175,7 +178,10 @@ def refresh(store: ReportStore, inputs: RefreshInputs, replace: bool = True) ->
     Model deltas are taken after the base reports are written, since those feed them.
     """
     with run(store.spark):
-        return _refreshed(store, inputs, replace)
+        try:
+            return _refreshed(store, inputs, replace)
+        finally:
+            inputs._tagged.clear()
 
 
 def _refreshed(store: ReportStore, inputs: RefreshInputs, replace: bool) -> RefreshResult:

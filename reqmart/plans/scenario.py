@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reqmart.functions import fixed_values as fixed
 from reqmart.operators.aggregates import latest_per_key
+from reqmart.operators.keys import same_key
 from reqmart.operators.lookups import distinct_lookup
 from reqmart.operators.reshape import unpivot_groups
 
@@ -121,11 +122,17 @@ def latest_requests(parameters: DataFrame, params: DataFrame) -> DataFrame:
     """Parameters of each scenario's latest request that did not fail; ties all stay.
 
     A request joins once for each distinct load time, so equal rows of the request table (one per
-    request id of a parent) do not multiply the scenario.
+    request id of a parent) do not multiply the scenario. The winners are found on narrow columns;
+    payloads are fetched by one join.
     """
     loads = params.select(F.col("parent_request_id").alias("uw_req_id"), "inp_load_ts").distinct()
-    usable = parameters.where(F.col("status") != fixed.FAILED).join(loads, "uw_req_id")
-    return latest_per_key(usable, ["scenario_id"], ["inp_load_ts", "created_at"])
+    usable = parameters.where(F.col("status") != fixed.FAILED)
+    ids = ["uw_req_id", "scenario_id", "created_at"]
+    requests = usable.select(*ids).distinct().join(loads, "uw_req_id")
+    winners = latest_per_key(requests, ["scenario_id"], ["inp_load_ts", "created_at"])
+    winners = winners.withColumnsRenamed({c: f"won_{c}" for c in ids})
+    fetched = usable.join(winners, same_key(usable, winners, {c: f"won_{c}" for c in ids}))
+    return fetched.select(*(usable[c] for c in usable.columns), "inp_load_ts")
 
 
 def scenario_years(latest: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ No write overwrites what it reads, and each can be repeated after a lost executo
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from itertools import islice
 
@@ -13,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from reqmart.operators.keys import restrict, same_key
 from reqmart.session import materialise
 
-NEXT = "__next"
 DROPPED_AT_ONCE = 200
 
 
@@ -34,9 +34,6 @@ class ReportStore:
         return {t.name for t in self.spark.catalog.listTables(self.database) if not t.isTemporary}
 
     def exists(self, name: str) -> bool:
-        """Whether the table is there; completes a replacement that was broken off before its last step."""
-        if self.spark.catalog.tableExists(self.table(name + NEXT)):
-            self._put_in_place(name)
         return self.spark.catalog.tableExists(self.table(name))
 
     def read(self, name: str) -> DataFrame:
@@ -88,17 +85,33 @@ class ReportStore:
         present = restrict(stored, wanted, list(on)).union(
             stored.join(incomplete, same_key(stored, incomplete, {c: f"key_{c}" for c in on}), "left_semi")
         ).distinct()
-        written = rows.select(*(F.col(c).alias(f"new_{c}") for c in partition_by)).distinct()
-        stale = present.join(written, same_key(present, written, {c: f"new_{c}" for c in partition_by}), "left_anti")
-        self._drop_partitions(stale, name)
+        self._drop_partitions(self._without(present, rows, partition_by), name)
 
     def full_replace(self, df: DataFrame, name: str, partition_by: list[str] = ()) -> None:
-        """Write the rows as a new table and put it in the old one's place; ``df`` may read the old one."""
-        following = name + NEXT
-        self.drop(following)
-        self._clear_leftovers(following)
-        self._create(df, following, partition_by)
-        self._put_in_place(name)
+        """Make ``df``, which may read the table, its only rows; columns that only the table has become null.
+
+        The table is there at every moment. A plain one is written to a folder of its own, which the
+        catalog is then told of in one step: readers find the old rows or the new ones. Of a partitioned
+        one the new partitions are written first and those left without rows dropped after; a run that
+        breaks off in between is completed by its repetition. Only a table of another layout is dropped
+        before it is written.
+        """
+        rows = materialise(_as_stored(df, partition_by))
+        if self.exists(name) and self._partition_columns(name) != list(partition_by):
+            self.drop(name)
+        if not self.exists(name):
+            self._create(rows, name, partition_by)
+            return
+        self._grow(name, rows)
+        if partition_by:
+            self._overwrite_partitions(self._fit(rows, name), name)
+            present = self.read(name).select(*partition_by).distinct()
+            self._drop_partitions(self._without(present, rows, partition_by), name)
+            return
+        before, after = self._folder(name), f"{self._folder()}/{name}__{uuid.uuid4().hex}"
+        self._fit(rows, name).write.format(self.fmt).save(after)
+        self.spark.sql(f"ALTER TABLE {self.table(name)} SET LOCATION '{after}'")
+        self._remove(before)
 
     def write_once(self, df: DataFrame, name: str) -> None:
         if not self.exists(name):
@@ -122,24 +135,12 @@ class ReportStore:
         typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in declared))
         self.full_replace(typed, name, partition_by)
 
-    def _put_in_place(self, name: str) -> None:
-        """Let the completely written next table take the name.
+    def _create(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
+        """Write a new table. The rows are spread by partition, large partitions over several tasks.
 
-        A plain table is renamed. Partitions keep their old folders on a rename, so a partitioned
-        table is copied; the next table stays until the copy is there.
+        Files of a run that broke off before its table came into being are removed.
         """
-        following = name + NEXT
-        partition_by = self._partition_columns(following)
-        self.drop(name)
-        if partition_by:
-            self._clear_leftovers(name)
-            self._create(self.read(following), name, partition_by)
-            self.drop(following)
-        else:
-            self.spark.sql(f"ALTER TABLE {self.table(following)} RENAME TO {self.table(name)}")
-
-    def _create(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
-        """Write a new table. The rows are spread by partition, large partitions over several tasks."""
+        self._remove(f"{self._folder()}/{name}")
         stored = _as_stored(df, partition_by)
         spread = stored.hint("rebalance", *partition_by) if partition_by else stored
         writer = spread.write.format(self.fmt)
@@ -191,10 +192,22 @@ class ReportStore:
             specs = ", ".join(spec(row) for row in batch)
             self.spark.sql(f"ALTER TABLE {self.table(name)} DROP IF EXISTS {specs}")
 
-    def _clear_leftovers(self, name: str) -> None:
-        """Remove files of a replacement that was broken off before its table came into being."""
-        place = self.spark.sql(f"DESCRIBE DATABASE {self.database}").where("info_name = 'Location'")
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{place.first()['info_value']}/{name}")
+    @staticmethod
+    def _without(present: DataFrame, rows: DataFrame, partition_by: list[str]) -> DataFrame:
+        """Partitions that are present and got no rows."""
+        written = rows.select(*(F.col(c).alias(f"new_{c}") for c in partition_by)).distinct()
+        return present.join(written, same_key(present, written, {c: f"new_{c}" for c in partition_by}), "left_anti")
+
+    def _folder(self, name: str | None = None) -> str:
+        """Where the schema or one of its tables lies."""
+        if name is None:
+            place = self.spark.sql(f"DESCRIBE DATABASE {self.database}").where("info_name = 'Location'")
+            return place.first()["info_value"]
+        place = self.spark.sql(f"DESCRIBE EXTENDED {self.table(name)}").where("col_name = 'Location'")
+        return place.first()["data_type"]
+
+    def _remove(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from reqmart.session import checkpoint_root, materialise
 from reqmart.sources.readers import read_artifact, read_table, table_names
-from reqmart.sources.store import NEXT
 from tests.conftest import rows
 
 LAYOUT = ["p", "r"]
@@ -80,14 +79,47 @@ def test_full_replace_may_read_the_table(store, first, layout):
     assert store.names() == {"t"}
 
 
-@pytest.mark.parametrize("layout", [[], ["p"]])
-def test_broken_off_replacement_is_completed(store, first, layout):
-    """The next table was written, but did not take the name."""
-    store.append(first, "t", layout)
-    store.append(first.where("v > 2"), "t" + NEXT, layout)
-    assert store.exists("t")
-    assert rows(store.read("t"), "p", "v") == [("b", 3.0), ("c", 9.0)]
-    assert store.names() == {"t"}
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_fit", "_folder", "_remove"])
+def test_a_broken_off_replacement_leaves_the_old_or_the_new_rows(store, first, monkeypatch, step):
+    """Of a plain table, wherever it breaks; a repetition completes it."""
+    store.append(first, "t", [])
+    old, new = rows(store.read("t"), "p", "v"), [("b", 3.0), ("c", 9.0)]
+
+    def broken(*_):
+        raise Broken
+
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        patch.setattr(store, step, broken)
+        store.full_replace(first.where("v > 2"), "t", [])
+    assert rows(store.read("t"), "p", "v") == (new if step == "_remove" else old)
+    store.full_replace(first.where("v > 2"), "t", [])
+    assert rows(store.read("t"), "p", "v") == new and store.names() == {"t"}
+
+
+@pytest.mark.parametrize("step", ["_overwrite_partitions", "_drop_partitions"])
+def test_a_partitioned_table_is_there_throughout(store, first, monkeypatch, step):
+    store.append(first, "t", ["p"])
+
+    def broken(*_):
+        raise Broken
+
+    new = first.where("p <> 'a'").withColumn("v", F.lit(7.0))
+    with monkeypatch.context() as patch, pytest.raises(Broken):
+        patch.setattr(store, step, broken)
+        store.full_replace(new, "t", ["p"])
+    assert ("a", 1.0) in rows(store.read("t"), "p", "v")
+    store.full_replace(new, "t", ["p"])
+    assert rows(store.read("t"), "p", "v") == [("b", 7.0), ("c", 7.0)]
+
+
+def test_a_table_may_change_its_layout(store, first):
+    store.append(first, "t", [])
+    store.full_replace(store.read("t").withColumn("w", F.lit(1)), "t", ["r"])
+    assert rows(store.read("t"), "p", "w") == [("a", 1), ("a", 1), ("b", 1), ("c", 1)]
 
 
 def test_declared_table(spark, store):
