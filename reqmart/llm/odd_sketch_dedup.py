@@ -31,7 +31,7 @@ ROWS = 5
 SAMPLES = 4096
 SKETCH_BITS = 2048
 #: Texts hashed at a time.
-TEXTS = 500
+TEXTS = 100
 
 DIGESTS = "doc_id long, n_shingles long, node binary, bands array<long>, sketch array<long>"
 SETS = "node binary, shingles array<long>"
