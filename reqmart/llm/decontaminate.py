@@ -72,43 +72,54 @@ def threshold(n_words: Column, sketches: DataFrame, percent: int) -> Column:
     return chosen
 
 
-def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs of a document and an item it contains: doc_id, item_id, item_size, shared, containment.
-
-    ``docs`` has doc_id and text, ``items`` item_id and text; no other column is read. Null and empty texts contain
-    nothing and are contained in nothing. An item of fewer than five words is found only in texts of the same words.
-    Rows that repeat an id count as one document (any of them may hold a shingle) or as one item; null ids count as an
-    id. Empty tables give no pairs.
-    """
-    read_items = items.select("item_id", words(F.col("text")).alias("words"))
+def leaks(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """The pairs of ``contained_items``, with text_hash: doc_id and text_hash name a document, whatever its id."""
+    read_items = items.select("item_id", F.xxhash64("text").alias("item_hash"), words(F.col("text")).alias("words"))
+    item = ["item_id", "item_hash"]
+    runs = read_items.select(*item, F.array_distinct(shingles(F.col("words"), as_text)).alias("runs"))
     whole = materialise(
-        read_items.select("item_id", F.explode(shingles(F.col("words"), as_text)).alias("shingle")).distinct()
+        runs.select(*item, F.size("runs").cast("bigint").alias("item_size"), F.explode("runs").alias("shingle")).distinct()
     )
     sketches = materialise(item_sketches(read_items, percent))
     sketched = materialise(sketches.select("item_id", F.explode("sketch").alias("hash")).distinct())
 
-    read_docs = docs.select("doc_id", words(F.col("text")).alias("words"))
+    document = ["doc_id", "text_hash"]
+    read_docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
     worth = threshold(F.size("words"), sketches, percent)
     hashes = read_docs.withColumn("worth", worth).where("worth IS NOT NULL").select(
-        "doc_id", "worth", F.explode(shingles(F.col("words"), as_hash)).alias("hash")
+        *document, "worth", F.explode(shingles(F.col("words"), as_hash)).alias("hash")
     )
-    meeting = hashes.where("hash <= worth").join(sketched, "hash").select("doc_id", "item_id").distinct()
+    meeting = hashes.where("hash <= worth").join(sketched, "hash").select(*document, "item_id").distinct()
     candidates = materialise(meeting)
 
     # Only documents of some candidate are read as text again.
-    wanted = candidates.select("doc_id").distinct()
-    looked_at = read_docs.join(wanted, read_docs.doc_id.eqNullSafe(wanted.doc_id), "left_semi")
-    own = looked_at.select("doc_id", F.explode(F.array_distinct(shingles(F.col("words"), as_text))).alias("shingle"))
-    hits = own.join(whole, "shingle").select("doc_id", "item_id", "shingle").distinct()
-    counted = hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
-    sizes = whole.groupBy("item_id").agg(F.count("*").alias("item_size"))
-    same_item = counted.item_id.eqNullSafe(sizes.item_id)
-    return counted.join(sizes, same_item).where(F.col("shared") * 100 >= F.col("item_size") * percent).select(
-        "doc_id", counted.item_id, "item_size", "shared", (F.col("shared") / F.col("item_size")).alias("containment")
+    wanted = candidates.select(*document).distinct()
+    same = read_docs.doc_id.eqNullSafe(wanted.doc_id) & (read_docs.text_hash == wanted.text_hash)
+    looked_at = read_docs.join(wanted, same, "left_semi")
+    own = looked_at.select(*document, F.explode(F.array_distinct(shingles(F.col("words"), as_text))).alias("shingle"))
+    pair = [*document, *item, "item_size"]
+    hits = own.join(whole, "shingle").select(*pair, "shingle").distinct()
+    counted = hits.groupBy(*pair).agg(F.count("*").alias("shared"))
+    return counted.where(F.col("shared") * 100 >= F.col("item_size") * percent)
+
+
+def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs of a document and an item it contains: doc_id, item_id, item_size, shared, containment.
+
+    ``docs`` has doc_id and text, ``items`` item_id and text; no other column is read. Null and empty texts contain
+    nothing and are contained in nothing. An item of fewer than five words is found only in texts of the same words.
+    Rows with the same id and text count as one document or item; other texts of an id are documents or items of their
+    own, each with its pairs, and so are the texts of null ids. Empty tables give no pairs.
+    """
+    return leaks(docs, items, percent).select(
+        "doc_id", "item_id", "item_size", "shared", (F.col("shared") / F.col("item_size")).alias("containment")
     )
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that contain no item, with all their columns."""
-    found = contained_items(docs, items, percent).select("doc_id").distinct()
-    return docs.join(found, docs.doc_id.eqNullSafe(found.doc_id), "left_anti")
+    """The documents that contain no item, with all their columns. Other texts of the same id, or without one, stay."""
+    found = leaks(docs, items, percent).select(
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")
+    ).distinct()
+    same = docs.doc_id.eqNullSafe(found.found_id) & (F.xxhash64(docs.text) == found.found_hash)
+    return docs.join(found, same, "left_anti")

@@ -45,6 +45,28 @@ def test_items_in_awkward_documents(spark):
     )
 
 
+def test_texts_of_one_id_are_told_apart(spark):
+    """Neither null nor repeated ids pool the texts of documents or of items."""
+    words = [f"item{n}" for n in range(60)]
+    passage, other = " ".join(words), " ".join(f"other{n}" for n in range(60))
+    docs = [
+        (None, "before " + passage, "a"), (None, "a clean text that has no id at all", "a"), (None, None, "a"),
+        (None, " ".join(words[:34]), "b"), (None, " ".join(words[30:]), "b"), (7, passage + " after", "a"),
+        (7, "a clean text of a repeated id", "a"), (8, other, "c"), (9, " ".join(words[:34]), "c"), (9, " ".join(words[30:]), "c"),
+    ]
+    third = " ".join(f"third{n}" for n in range(60))
+    for ids in ((None, None, None), (1, 1, 1)):
+        items = spark.createDataFrame(list(zip(ids, (passage, other, third))), "item_id long, text string")
+        table = samples.documents(spark, docs)
+        found = decontaminate.contained_items(table, items).select("doc_id", "item_id", "item_size", "shared")
+        assert rows(found) == [(None, ids[0], 56, 56), (7, ids[0], 56, 56), (8, ids[0], 56, 56)]
+        clean = decontaminate.decontaminated(table, items).select("doc_id", "text")
+        leaky = {docs[0][1], docs[5][1], docs[7][1]}
+        assert rows(clean) == sorted(
+            [d[:2] for d in docs if d[1] not in leaky], key=lambda r: tuple((v is not None, str(v)) for v in r)
+        )
+
+
 def test_empty_tables(spark):
     docs, items = samples.documents(spark, samples.awkward()), spark.createDataFrame([], "item_id long, text string")
     none = samples.documents(spark, [])
