@@ -33,7 +33,7 @@ SKETCH_BITS = 2048
 #: Texts hashed at a time.
 TEXTS = 100
 
-DIGESTS = "doc_id long, n_shingles long, node binary, bands array<long>, sketch array<long>"
+DIGESTS = "doc_id long, row long, n_shingles long, node binary, bands array<long>, sketch array<long>"
 SETS = "node binary, shingles array<long>"
 
 
@@ -59,30 +59,37 @@ def digest(shingles: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
     return node, bands.view(np.int64), sketch.view(np.int64)
 
 
+def row_key(docs: DataFrame) -> Column:
+    """Hash of a row's id and text: names the row also where ids are null or repeat."""
+    return F.xxhash64(docs.doc_id.cast("bigint"), docs.text)
+
+
 def digests(docs: DataFrame) -> DataFrame:
-    """A row per document: doc_id, n_shingles, and for a set that isn't empty node, bands, sketch."""
+    """A row per document: doc_id, row (its key), n_shingles, and for a set that isn't empty node, bands, sketch."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 rows = []
-                for doc_id, shingles in zip(part.column(0).to_pylist(), shingle_sets(part.column(1).to_pylist())):
+                ids, keys = part.column(0).to_pylist(), part.column(2).to_pylist()
+                for doc_id, key, shingles in zip(ids, keys, shingle_sets(part.column(1).to_pylist())):
                     found = digest(shingles) if len(shingles) else (None, None, None)
-                    rows.append((doc_id, len(shingles), *found))
+                    rows.append((doc_id, key, len(shingles), *found))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), DIGEST_TYPES)], names=DIGEST_NAMES
                 )
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(compute, DIGESTS)
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text", row_key(docs).alias("row"))
+    return texts.mapInArrow(compute, DIGESTS)
 
 
-DIGEST_NAMES = ["doc_id", "n_shingles", "node", "bands", "sketch"]
-DIGEST_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+DIGEST_NAMES = ["doc_id", "row", "n_shingles", "node", "bands", "sketch"]
+DIGEST_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The full sets of nodes (node, doc_id), from the texts of their documents."""
+    """The full sets of nodes (node, row), from the texts of these rows."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,14 +97,14 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 part = batch.slice(at, TEXTS)
                 sets = shingle_sets(part.column(1).to_pylist())
                 wanted = part.column(0).to_pylist()
-                # An id may stand for several texts; only the one with this set counts.
+                # Another row may have the same key by chance; only the text with this set counts.
                 own = [(n, s.view(np.int64)) for n, s in zip(wanted, sets) if digest_name(s) == n]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([n for n, _ in own], pa.binary()), pa.array([s for _, s in own], pa.list_(pa.int64()))],
                     names=["node", "shingles"],
                 )
 
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(nodes, "doc_id")
+    texts = docs.select(row_key(docs).alias("row"), "text").join(nodes, "row")
     return texts.select("node", "text").mapInArrow(compute, SETS).dropDuplicates(["node"])
 
 
@@ -132,7 +139,7 @@ def may_be_similar(percent: int) -> Column:
 def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (u, v) whose full sets are similar enough."""
     ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = materialise(sets_of(docs, nodes.select("node", "doc_id").join(ends, "node")))
+    sets = materialise(sets_of(docs, nodes.select("node", "row").join(ends, "node")))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v"
     )
@@ -140,22 +147,27 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
     return both.where(shared * 100 >= (F.size("a") + F.size("b") - shared) * percent).select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest doc_id linked, itself included) per document.
+def smallest_row() -> Column:
+    """The row of the smallest id, null being the largest, and of its texts the one with the smallest key."""
+    return F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
 
-    ``docs`` has doc_id and text; no other column is read. Null, empty and blank texts have an empty set and are
-    linked with nothing. Rows of one id are one document. A row without an id has the component of its text and never
-    names one; a text that only such rows have is linked with equal texts only, and its component is null.
+
+def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The columns of ``near_duplicates`` with row (the key of id and text) and kept, whether the row stays.
+
+    One row of each class stays: that of the smallest id, or of the smallest text hash if no row of the class has an
+    id or if several have that id. Rows that are equal in id and text are one and marked alike. All texts without
+    words stay.
     """
     digested = materialise(digests(docs))
     nodes = materialise(
         digested.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
+        .agg(smallest_row()["row"].alias("row"), F.max("n_shingles").alias("n_shingles"))
     )
     # One row per node brings its bands and sketch; equal rows may repeat.
-    one_each = digested.where("node IS NOT NULL").select("node", "doc_id", "n_shingles", "bands", "sketch")
-    chosen = materialise(one_each.join(nodes.select("node", "doc_id"), ["node", "doc_id"]).dropDuplicates(["node"]))
+    one_each = digested.where("node IS NOT NULL").select("node", "row", "n_shingles", "bands", "sketch")
+    chosen = materialise(one_each.join(nodes.select("node", "row"), ["node", "row"]).dropDuplicates(["node"]))
     bands = chosen.select("node", F.explode("bands").alias("bucket"))
     shared = bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = materialise(bands.join(shared, "bucket"))
@@ -191,29 +203,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     more = confirmed(docs, nodes, materialise(pairs.distinct()), percent)
 
-    classes = components(links.union(more))
-    labelled = digested.select("doc_id", "n_shingles", "node").join(classes, "node", "left")
+    tied = components(links.union(more))
+    labelled = digested.select("doc_id", "row", "n_shingles", "node").join(tied, "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component", "node")
-    firsts = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("first"))
-    component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("first"))
-    return labelled.join(firsts, "label", "left").select("doc_id", "n_shingles", component.alias("component_id"))
+    firsts = labelled.where("label IS NOT NULL").groupBy("label").agg(smallest_row().alias("first"))
+    wordless = F.col("label").isNull()
+    return labelled.join(firsts, "label", "left").select(
+        "doc_id", "n_shingles", F.when(wordless, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        "row", (wordless | (F.col("row") == F.col("first.row"))).alias("kept"),
+    )
 
 
-def kept(component: str = "component_id") -> Column:
-    """Whether a document stays: the first of its class, and any without an id."""
-    return F.coalesce(F.col("doc_id") == F.col(component), F.col(component).isNull())
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest doc_id linked, itself included) per document.
+
+    ``docs`` has doc_id and text; no other column is read. Null, empty and blank texts have an empty set and are
+    linked with nothing. Texts are linked whether their rows have an id or not; the rows of one id are not linked by
+    it. A row without an id never names a component; that of a class that only such rows have is null.
+    """
+    return classes(docs, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each class, with all its columns: that of the smallest id; of equal rows of one id, one.
-
-    Documents without an id stay, but equal texts among them once.
+    """One document of each class, with all its columns: the one that ``classes`` keeps; of rows equal in id and text,
+    one. Texts without words stay, once per id.
     """
-    classes = near_duplicates(docs, percent).where(kept()).groupBy("doc_id").agg(F.count("*").alias("rows"))
-    classes = materialise(classes)
+    rows = materialise(classes(docs, percent).where("kept").groupBy("row").agg(F.count("*").alias("rows")))
 
-    def of(ids: DataFrame) -> DataFrame:
-        return docs.join(ids, docs.doc_id.eqNullSafe(ids.doc_id), "left_semi")
+    def of(kept: DataFrame) -> DataFrame:
+        return docs.join(kept, row_key(docs) == kept.row, "left_semi")
 
     alone = F.col("rows") == 1
-    return of(classes.where(alone)).union(of(classes.where(~alone)).dropDuplicates(["doc_id", "text"]))
+    return of(rows.where(alone)).union(of(rows.where(~alone)).dropDuplicates(["doc_id", "text"]))

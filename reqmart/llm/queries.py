@@ -77,8 +77,8 @@ def op5_ordinal_quality(spark, sf_dir):
 @query
 def op7_odd_sketch_dedup(spark, sf_dir):
     """Near-duplicate class of each document."""
-    classes = odd_sketch_dedup.near_duplicates(table(spark, sf_dir, "documents"))
-    return classes.select("doc_id", "n_shingles", "component_id", odd_sketch_dedup.kept().alias("kept"))
+    classes = odd_sketch_dedup.classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @query

@@ -36,6 +36,32 @@ def test_one_document_of_each_class_stays(spark):
     assert {1, 2, 3} <= set(ids)
 
 
+def test_rows_without_an_id_are_documents_too(spark):
+    """Texts that only rows without an id have are linked, link others, and stay once per class."""
+    words = [f"w{n}" for n in range(300)]
+    chain = [" ".join(words[at : at + 200]) for at in (0, 12, 24)]  # the first and the last are less alike than 85 %
+    loose = " ".join(f"v{n}" for n in range(200))
+    docs = [
+        (1, chain[0], "a"), (None, chain[1], "a"), (2, chain[2], "a"),
+        (None, loose, "b"), (None, loose + " and a tail", "b"), (None, loose, "c"),
+        (3, "a text of five words and more", "a"), (None, "a text of five words and more", "a"),
+        (None, "an only text that is like no other", "a"), (None, None, "a"), (None, "", "a"), (4, None, "a"),
+        (5, "one of the texts of id five", "a"), (5, "a text of five words and more", "a"),
+    ]
+    table = samples.documents(spark, docs)
+    got = rows(near.near_duplicates(table))
+    assert got == sorted(samples.near_classes([d[:2] for d in docs]), key=key)
+    assert {c for i, _, c in got if i in (1, 2)} == {1}
+    kept = rows(near.deduplicated(table), "doc_id", "text")
+    assert len(kept) == 8
+    loose_kept = [t for i, t in kept if i is None and t and t.startswith(loose)]
+    assert len(loose_kept) == 1
+    assert set(kept) == {
+        (1, chain[0]), (None, loose_kept[0]), (3, docs[6][1]), (None, docs[8][1]), (None, None), (None, ""), (4, None),
+        (5, docs[12][1]),
+    }
+
+
 def test_a_chain_of_links_is_one_class(spark):
     words = [f"w{n}" for n in range(400)]
     texts = [(n, " ".join(words[n * 12 : n * 12 + 200])) for n in range(16)]
