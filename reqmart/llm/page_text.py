@@ -4,6 +4,10 @@ A page is cut at its block elements into flat blocks of text. Each has a word co
 words in links), which together with those of its neighbours and with what the enclosing elements say of themselves
 (their names, classes and ids) are the features of a decision tree. The tree is grown from the small table of labelled
 blocks below, when the operator is called; the blocks it takes for article text, in page order, are the page's text.
+
+What encloses an article doesn't make it boilerplate, whatever its name ("layout-sidebar"): within <main> and <article>
+only the elements from there on count. Articles in an element of another kind (<aside>), within another article, or
+deeper in such names than others of the page are left to their names: they are comments and cards of other articles.
 """
 
 from __future__ import annotations
@@ -31,6 +35,8 @@ CONTAINERS = (
 ).split()
 BOILERPLATE_ELEMENTS = "aside dialog footer form header menu nav".split()
 ARTICLE_ELEMENTS = "article main".split()
+#: An article in one of these isn't the page's.
+OTHER_ELEMENTS = "aside dialog footer header menu nav".split()
 ARTICLE_WORDS = "article content entry main post prose story".split()
 BOILERPLATE_WORDS = (
     "ad ads adsense advert advertisement adverts alert banner breadcrumb breadcrumbs byline comment commentlist comments "
@@ -38,6 +44,12 @@ BOILERPLATE_WORDS = (
     "modal nav navbar navigation newsletter notice notification pagination popup promo promotion recommended related replies reply respond "
     "search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar trending widget"
 ).split()
+#: "has-sidebar" says what an element holds, not what it is.
+HOLDING_WORDS = "has no with without".split()
+#: The id of a section within an article may be its heading: these words are ordinary headings.
+HEADING_WORDS = "copyright disclaimer discussion navigation notice promotion search sharing".split()
+#: First words of the names of articles that aren't the page's.
+OTHER_ARTICLES = "ad ads advert advertisement comment comments promo recommended related reply sponsored".split()
 
 #: Comments, elements without text up to their end, and single tags. Quoted values may hold ">" but not "<".
 TAG = re.compile(
@@ -51,6 +63,8 @@ NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 BLOCKS, STARTS, BOILERPLATE = map(frozenset, (BLOCK_ELEMENTS, CONTAINERS, BOILERPLATE_WORDS))
+ARTICLE = frozenset(ARTICLE_WORDS)
+HEADINGS = BOILERPLATE - frozenset(HEADING_WORDS)
 FEATURES = [
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
     "in_article", "page_has_article", "in_boilerplate",
@@ -66,21 +80,83 @@ class Block:
     in_boilerplate: bool
 
 
-def names_itself(tag: str, rest: str) -> tuple[bool, bool]:
+@dataclass
+class Place:
+    """An <article> or <main>: how many names around it are boilerplate's, and whether those count for it."""
+
+    is_main: bool
+    others: int
+    outer: Place | None
+    may_be_main_text: bool
+    starts_anew: bool = False
+
+
+@dataclass
+class Open:
+    """An open element: whether it is in an article, and how many elements, itself included, are boilerplate by name."""
+
+    name: str = ""
+    in_article: bool = False
+    others: int = 0
+    in_other_element: bool = False
+    place: Place | None = None
+
+
+def name_parts(rest: str) -> Iterator[tuple[bool, list[str]]]:
+    """The words of each name that an element gives itself, and whether it is its id."""
+    for m in NAMES.finditer(rest) if "=" in rest else ():
+        for name in (m[1] or m[2] or m[3] or "").split():
+            yield m[0][:2].lower() == "id", [part.lower() for part in NAME_PARTS.findall(name)]
+
+
+def names_itself(tag: str, rest: str, within_article: bool = False) -> tuple[bool, bool]:
     """Whether an element calls itself an article, and whether it calls itself something else."""
     if tag in BOILERPLATE_ELEMENTS or tag in ARTICLE_ELEMENTS:
         return tag in ARTICLE_ELEMENTS, tag in BOILERPLATE_ELEMENTS
     if tag in ("body", "html") or "=" not in rest:
         return False, False
-    values = [m[1] or m[2] or m[3] or "" for m in NAMES.finditer(rest)]
-    found = {part.lower() for value in values for part in NAME_PARTS.findall(value)}
-    return not found.isdisjoint(ARTICLE_WORDS), not found.isdisjoint(BOILERPLATE)
+    names = [(is_id, parts) for is_id, parts in name_parts(rest) if parts and parts[0] not in HOLDING_WORDS]
+    is_section = within_article and (tag == "section" or any(parts == ["section"] for _, parts in names))
+    article = any(not ARTICLE.isdisjoint(parts) for _, parts in names)
+    return article, any(not (HEADINGS if is_id and is_section else BOILERPLATE).isdisjoint(p) for is_id, p in names)
+
+
+def opened(name: str, rest: str, outer: Open) -> Open:
+    article, other = names_itself(name, rest, outer.place is not None)
+    others, place = outer.others + other, outer.place
+    if name == "main" or name == "article" and (place is None or place.is_main):
+        others_article = any(parts and parts[0] in OTHER_ARTICLES for _, parts in name_parts(rest))
+        place = Place(name == "main", others, place, not outer.in_other_element and not others_article)
+    in_other = outer.in_other_element or name in OTHER_ELEMENTS
+    return Open(name, outer.in_article or article, others, in_other, place)
+
+
+def settle(places: list[Place]) -> None:
+    """Find the places around which names don't count: <main>, and of the articles those with fewest such names.
+
+    Several articles in one such element within <main> are cards, a single one is the page's.
+    """
+    for p in places:
+        p.starts_anew = p.is_main and p.may_be_main_text
+    articles = [p for p in places if not p.is_main and p.may_be_main_text]
+    least = min((p.others for p in articles), default=0)
+    first = [p for p in articles if p.others == least]
+    for p in first:
+        p.starts_anew = len(first) == 1 or p.outer is None or p.others == p.outer.others
+
+
+def is_boilerplate(others: int, place: Place | None) -> bool:
+    while place is not None and not place.starts_anew:
+        place = place.outer
+    return others > (place.others if place else 0)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Flat blocks of the page in order; a tag that is never closed ends with what encloses it."""
     blocks: list[Block] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # name, whether in an article, whether in boilerplate
+    open_tags = [Open()]
+    places: list[Place] = []
+    around: list[Open] = []  # the innermost element of each block
     text: list[str] = []
     linked: list[str] = []
     in_link, start, at = False, 0, 0
@@ -88,9 +164,9 @@ def blocks_of(page: str) -> list[Block]:
     def finish() -> None:
         words = html.unescape("".join(text)).split()
         if words:
-            _, in_article, in_boilerplate = open_tags[-1] if open_tags else ("", False, False)
             n_linked = len(html.unescape("".join(linked)).split())
-            blocks.append(Block(" ".join(words), start, min(n_linked, len(words)), in_article, in_boilerplate))
+            around.append(open_tags[-1])
+            blocks.append(Block(" ".join(words), start, min(n_linked, len(words)), open_tags[-1].in_article, False))
         text.clear()
         linked.clear()
 
@@ -121,13 +197,14 @@ def blocks_of(page: str) -> list[Block]:
             in_link = in_link and name not in ("li", "p")
         if name in STARTS:
             if closing:
-                place = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == name), None)
+                place = next((i for i in range(len(open_tags) - 1, 0, -1) if open_tags[i].name == name), None)
                 if place is not None:
                     del open_tags[place:]
             elif not m["rest"].endswith("/"):
-                _, in_article, in_boilerplate = open_tags[-1] if open_tags else ("", False, False)
-                article, other = names_itself(name, m["rest"])
-                open_tags.append((name, in_article or article, in_boilerplate or other))
+                inner = opened(name, m["rest"], open_tags[-1])
+                if inner.place is not open_tags[-1].place:
+                    places.append(inner.place)
+                open_tags.append(inner)
     rest = page[at:]
     if rest:
         if not text:
@@ -136,6 +213,9 @@ def blocks_of(page: str) -> list[Block]:
         if in_link:
             linked.append(rest)
     finish()
+    settle(places)
+    for block, inner in zip(blocks, around):
+        block.in_boilerplate = is_boilerplate(inner.others, inner.place)
     return blocks
 
 
@@ -232,6 +312,16 @@ LABELLED_PAGES: list[list[tuple[str, int]]] = [
     [(f"<article><p>{_words(12)}</p><p><a href=x>{_words(4)}</a></p><p>{_words(20)}</p><p>{_words(3)}</p>", 1),
      (f"<div class=share>{_words(4)}</div><div class=comments><p>{_words(64)}</p></div></article>", 0),
      (f"<div class=related>{_links(4, 8)}</div><div>{_words(30)}</div><p>{_words(50)}</p>", 0)],
+    [(f"<div class='page has-sidebar with-comments'><div class=sidebar>{_links(5)}</div>", 0),
+     (f"<article><h1>{_words(6)}</h1><p>{_words(80)}</p><section id=discussion><h2>{_words(1)}</h2>", 1),
+     (f"<p>{_words(65)}</p></section></article>", 1), (f"<section id=comments><p>{_words(40)}</p></section></div>", 0)],
+    [(f"<div class=layout-sidebar-right><header>{_words(3)}</header>", 0),
+     (f"<main><h1>{_words(9)}</h1><p>{_words(50)}</p><p>{_words(2)}</p>", 1),
+     (f"<div class=promo>{_words(30)}</div></main><div class=share>{_words(3)}</div></div>", 0)],
+    [(f"<form class=search-page><div id=header>{_words(5)}</div>", 0),
+     (f"<article><p>{_words(26)}</p><p>{_words(48)}</p></article>", 1),
+     (f"<div class=comments><article class=comment><p>{_words(35)}</p></article></div>", 0),
+     (f"<div class=related><article><p>{_words(20)}</p></article></div></form>", 0)],
 ]
 
 

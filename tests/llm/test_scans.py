@@ -38,6 +38,28 @@ def test_pages(spark):
     assert got[None] == "n"
 
 
+def test_names_around_an_article_do_not_count():
+    tree = page_text.grow(*page_text.labelled_table())
+    body = "<h1>title</h1><p>one two three</p><section id='discussion'><h2>Discussion</h2><p>four five</p></section>"
+    text = "title\none two three\nDiscussion\nfour five"
+    comments = "<div id=comments><article class='comment-body'><p>a comment of some words</p></article></div>"
+    cards = "<div class=related><article><p>first card</p></article><article><p>second card</p></article></div>"
+    for name in ("page has-sidebar", "with-comments", "layout-sidebar", "page noAds", "search-page"):
+        for page in (
+            f"<div class='{name}'><article>{body}</article></div>",
+            f"<div class='{name}'><div class=sidebar>x y</div><article>{body}</article>{comments}{cards}</div>",
+            f"<div class='{name}'><main>{body}<div class=promo>buy it</div></main><footer>end</footer></div>",
+            f"<main><div id='{name}'><article class='post has-comments'>{body}</article></div>{comments}</main>",
+            f"<form id='{name}'><main><article>{body}</article>{cards}</main></form>",
+            f"<main>{body}{cards}</main>",
+        ):
+            assert page_text.main_text(page, tree) == text, page
+    assert page_text.main_text(f"<article>{body}</article><aside><article><p>a b c</p></article></aside>", tree) == text
+    # A comment section stays out, within an article too, also as articles of their own.
+    page = f"<article>{body}<section id='readerComments'><article><p>a b c</p></article></section></article>"
+    assert page_text.main_text(page, tree) == text
+
+
 def test_articles_of_the_table(spark):
     got = QUERIES["op2_page_text"](spark, SF_DIR).collect()
     pages = dict(samples.table_rows(SF_DIR, "pages", "page_id, html"))
