@@ -41,6 +41,8 @@ FRAME_IDS = 65536
 KEPT_WORDS = 600_000
 #: ASCII characters that Python's split() takes for white space and the tokenizer does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
+#: Added tokens begin with this; the tokenizer tells their case.
+ADDED = "<|"
 
 MANIFEST = "path string, first_id long, first_hash long, documents long, tokens long"
 DOCUMENTS = "path string, start_in_file long, doc_id long, n_tokens long, ids_crc32 long"
@@ -168,12 +170,12 @@ def worker_encoder(tokenizer_path: str) -> WordEncoder:
 
 def split_mark(word: str) -> tuple[str, str]:
     """The word and a full stop or comma right after its last letter; plain ASCII in lower case, as the tokenizer has
-    it.
+    it, but for words that may hold an added token, which it looks for before that.
     """
     mark = ""
     if word[-1] in ".," and word[-2:-1].isalpha():
         word, mark = word[:-1], word[-1]
-    return (word.lower() if word.isascii() else word), mark
+    return (word.lower() if word.isascii() and ADDED not in word else word), mark
 
 
 def words_of(text: str) -> list[str]:

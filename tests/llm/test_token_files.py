@@ -51,6 +51,13 @@ def test_awkward_documents(spark, encode):
     assert token_files.token_table(samples.documents(spark, []), PATH).count() == 0
 
 
+@pytest.mark.parametrize("token", ["<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|x|>"])
+def test_added_tokens_are_told_by_case(encode, token):
+    texts = [token, f"One {token} two", f"One{token}Two, {token}, {token}. A<|B", f"{token.lower()} {token.upper()}"]
+    ids, lengths = token_files.WordEncoder(PATH).ids_of(texts, 1)
+    assert ids.tolist() == [i for t in texts for i in encode(t)] and lengths.tolist() == [len(encode(t)) for t in texts]
+
+
 class Counting(io.BytesIO):
     fetched = 0
 
