@@ -66,3 +66,46 @@ ORACLE["op1_decontaminate"] = f"""
 WITH docs AS (SELECT doc_id, text FROM documents), {LEAKS}
 SELECT doc_id, item_id, item_size, shared, shared / item_size AS containment FROM leaks
 """
+
+ORACLE["op11_target_resampling"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+grams AS (
+  SELECT 0 AS side, row, unnest(words) AS word FROM docs
+  UNION ALL
+  SELECT 1, 0, unnest(regexp_extract_all(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+distinct_words AS (SELECT word, hex(encode(word)) AS bytes FROM grams GROUP BY word),
+crc_table AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)),
+           lambda c, _: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY n) AS crcs
+  FROM range(256) AS r(n)),
+bucketed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(bytes), 2),
+           lambda i: ('0x' || bytes[i + 1:i + 2])::BIGINT)),
+           lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM distinct_words, crc_table),
+counted AS (
+  SELECT bucket, count(*) FILTER (side = 0) AS s, count(*) FILTER (side = 1) AS t
+  FROM grams JOIN bucketed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(((t + 1) * (sum(s) OVER () + 10000))::DOUBLE
+           / ((s + 1) * (sum(t) OVER () + 10000))::DOUBLE))::BIGINT AS gain
+  FROM counted),
+weighed AS (
+  SELECT row, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM grams JOIN bucketed USING (word) JOIN gains USING (bucket) WHERE side = 0 GROUP BY row),
+scored AS (
+  SELECT row, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))
+           ::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (row)),
+ranked AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20
+              ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) END AS place,
+         count(*) FILTER (n_features >= 20) OVER () * 10 // 100 AS draws
+  FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= draws THEN place END AS rank FROM ranked
+"""

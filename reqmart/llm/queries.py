@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reqmart.llm import (
     decontaminate,
     mixing,
+    ngram_join,
     odd_sketch_dedup,
     ordinal_quality as quality,
     page_text,
+    periodic_runs,
     projected_neighbours,
     secret_index,
     suffix_buckets,
+    target_resampling,
     token_counts,
     token_files,
 )
@@ -138,3 +141,36 @@ def op4_suffix_buckets(spark, sf_dir):
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op11_target_resampling(spark, sf_dir):
+    """Importance weight of each document for the benchmark's words, and its place in the draw of a tenth."""
+    return target_resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    """Periodic runs of each document's words, some of which are made to repeat: number, longest run, digests."""
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), synthetic=True)
+
+    def line(r):
+        return F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period")))
+
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"], r["period"])))
+    run = F.struct(first["start"].alias("start"), (-first["shorter"]).alias("length"), first["period"].alias("period"))
+    return found.select("doc_id", "runs", "collapsed", run.alias("run")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "run.start", "run.length", "run.period",
+        F.floor(F.expr("run.length * 1000 div run.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op13_ngram_join(spark, sf_dir):
+    """Set size and class of each document by links of four-word shingle sets."""
+    return ngram_join.linked(table(spark, sf_dir, "documents"))

@@ -25,7 +25,6 @@ def numbers(n: int, seed: int) -> np.ndarray:
 
 
 BYTE_VALUES = mix(numbers(256, 11))
-SHINGLE_FACTORS = numbers(SHINGLE, 23)
 
 
 def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,20 +50,21 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.add.reduceat(values, offsets) + lengths.astype(np.uint64)), counts
 
 
-def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
-    """Sorted distinct hashes of each text's shingles of five words; a shorter text is one shingle, an empty one none.
+def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct hashes of each text's shingles of ``size`` words; a shorter text is one shingle, an empty one none.
     """
     words, counts = word_hashes(texts)
+    factors = numbers(size, 23)
     ends = np.cumsum(counts)
-    if len(words) >= SHINGLE:
-        n = len(words) - SHINGLE + 1
-        shingles = mix(sum(words[j : j + n] * SHINGLE_FACTORS[j] for j in range(SHINGLE)))
+    if len(words) >= size:
+        n = len(words) - size + 1
+        shingles = mix(sum(words[j : j + n] * factors[j] for j in range(size)))
     sets = []
     for start, end in zip((ends - counts).tolist(), ends.tolist()):
-        if end - start >= SHINGLE:
-            sets.append(np.unique(shingles[start : end - SHINGLE + 1]))
+        if end - start >= size:
+            sets.append(np.unique(shingles[start : end - size + 1]))
         elif end > start:
-            short = (words[start:end] * SHINGLE_FACTORS[: end - start]).sum(dtype=np.uint64)
+            short = (words[start:end] * factors[: end - start]).sum(dtype=np.uint64)
             sets.append(mix(np.array([short + np.uint64(end - start)], dtype=np.uint64)))
         else:
             sets.append(np.zeros(0, dtype=np.uint64))

@@ -36,14 +36,18 @@ def table_rows(sf_dir, name, columns):
     return duckdb.connect().execute(f"SELECT {columns} FROM '{sf_dir}/{name}.parquet' ORDER BY 1").fetchall()
 
 
-def shingles(text):
+def sort_key(row):
+    return tuple((v is not None, str(v)) for v in row)
+
+
+def shingles(text, size=5):
     words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(UPPER))
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def near_classes(rows, percent=85):
+def near_classes(rows, percent=85, size=5):
     """Component and set size of each (doc_id, text), all pairs compared."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, size) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(i):
