@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -46,14 +48,14 @@ def run(spark: SparkSession) -> Iterator[SparkSession]:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
         for path in _written_by_runs.pop():
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+            remove(spark, path)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for cut lineage: the cluster's own, or one in the warehouse if none is named.
 
-    A warehouse that is a folder of one machine serves a local session only.
+    A named folder is taken at its word, whatever its scheme: ``file:`` may be a mount that all machines share. A
+    warehouse that is a folder of one machine serves a local session only.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -65,16 +67,47 @@ def checkpoint_root(spark: SparkSession) -> str:
     return warehouse + "/_checkpoints"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme; one without is of the file system that Spark takes by default."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).makeQualified(path).toString()
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+_removed_at_exit: set[str] = set()
+
+
+def _remove_at_exit(spark: SparkSession, folder: str) -> None:
+    try:
+        remove(spark, folder)
+    except (Py4JError, OSError):  # the session's JVM has ended before
+        pass
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new name in the shared folder. Within a run it is removed with the run, elsewhere as the application exits."""
+    of_application = f"{checkpoint_root(spark)}/reqmart/{spark.sparkContext.applicationId}"
+    if of_application not in _removed_at_exit:
+        _removed_at_exit.add(of_application)
+        atexit.register(_remove_at_exit, spark, of_application)
+    path = f"{of_application}/{uuid.uuid4().hex}"
+    if _written_by_runs:
+        _written_by_runs[-1].append(path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
     Later steps then neither repeat the lineage nor see tables that changed meanwhile, and the
     written size lets Spark decide soundly whether the result may be broadcast. Within a run the
-    rows go when it ends; elsewhere the folder of an application may be removed once it has ended.
+    rows go when it ends, elsewhere as the application exits.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/reqmart/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    if _written_by_runs:
-        _written_by_runs[-1].append(path)
+    path = scratch_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

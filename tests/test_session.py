@@ -42,3 +42,22 @@ def test_no_folder_of_one_machine_on_a_cluster(master, warehouse, ok):
     else:
         with pytest.raises(ValueError):
             checkpoint_root(session)
+
+
+def test_scratch_folders_lie_below_the_application_and_go_with_it(spark, tmp_path):
+    from reqmart import session
+
+    path = session.scratch_folder(spark)
+    of_application = os.path.dirname(path)
+    assert of_application in session._removed_at_exit and of_application.endswith(spark.sparkContext.applicationId)
+    folder = f"file:{tmp_path}/gone"
+    spark.range(3).write.parquet(folder)
+    session._remove_at_exit(spark, folder)
+    assert not os.path.exists(tmp_path / "gone")
+
+
+def test_folders_without_a_scheme_are_of_the_default_file_system(spark, tmp_path):
+    from reqmart.session import qualified
+
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    assert qualified(spark, f"file://{tmp_path}").startswith("file:/")
