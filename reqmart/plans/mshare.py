@@ -11,6 +11,7 @@ from reqmart.operators.keys import restrict
 from reqmart.operators.lookups import distinct_lookup
 from reqmart.operators.reshape import conditional_sums, pick_by_name, unpivot_measures
 from reqmart.plans.scenario import MEASURE_NAMES, SPECIALTY_SETTINGS, scenario_settings, unreported
+from reqmart.session import materialise
 
 REVENUE_KEYS = {
     "uw_req_id": "uw_req_id",
@@ -129,10 +130,14 @@ def mshare_increment(
     specialty_bucket: str,
     reported: DataFrame,
 ) -> DataFrame:
-    """Market share of the scenarios that ``reported`` lacks."""
-    fresh = unreported(parameters, reported)
-    scenarios = distinct_lookup(fresh, ["scenario_id"])
-    settings = scenario_settings(fresh, params)
+    """Market share of the scenarios that ``reported`` lacks.
+
+    Which those are is asked once and stored, a row per scenario. Payloads and revenue are then read by
+    them alone, and the settings that the payloads give are stored as well, before revenue meets them.
+    """
+    scenarios = materialise(distinct_lookup(unreported(parameters, reported), ["scenario_id"]))
+    fresh = restrict(parameters.where(F.col("status") != fixed.FAILED), scenarios, ["scenario_id"])
+    settings = materialise(scenario_settings(fresh, params))
     revenue, buckets, specialty = (
         restrict(table, scenarios, ["scenario_id"]) for table in (revenue, buckets, specialty)
     )

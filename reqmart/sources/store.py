@@ -6,13 +6,14 @@ No write overwrites what it reads, and each can be repeated after a lost executo
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from reqmart.operators.keys import restrict, same_key
-from reqmart.session import materialise
+from reqmart.session import materialise, remove
 
 DROPPED_AT_ONCE = 200
 
@@ -63,56 +64,75 @@ class ReportStore:
 
         ``on`` maps the table's key columns to those of ``keys``. Where the key columns are partition
         columns, only the partitions of these keys are touched: those that get new rows are replaced
-        in one write, those that get none are dropped. Otherwise the table is written anew. A table
+        in one write, those that get none are dropped. The rows are computed and written once, straight
+        into the table; partitions that still hold a file from before got none. Otherwise the table is
+        written anew: then a run costs as much as the whole table, whatever the number of keys. A table
         keeps a blank text of a partition column as null, so blank and null are one value there.
         """
         if not self.exists(name):
             self._create(df, name, partition_by)
             return
+        wanted = keys.select(*(F.col(theirs).alias(ours) for ours, theirs in on.items()))
         if not set(on) <= set(partition_by):
-            kept = self.read(name).join(
-                keys.select(*(F.col(theirs).alias(ours) for ours, theirs in on.items())), list(on), "left_anti"
-            )
+            kept = self.read(name).join(wanted, list(on), "left_anti")
             self.full_replace(kept.unionByName(df, allowMissingColumns=True), name, partition_by)
             return
-        rows = materialise(_as_stored(df, partition_by))
-        self._grow(name, rows)
-        self._overwrite_partitions(self._fit(rows, name), name)
-        wanted = _as_stored(keys.select(*(F.col(theirs).alias(ours) for ours, theirs in on.items())), list(on))
+        wanted = _as_stored(wanted, list(on))
         incomplete = wanted.where(reduce(Column.__or__, (F.col(c).isNull() for c in on))).distinct()
         incomplete = incomplete.withColumnsRenamed({c: f"key_{c}" for c in on})
-        stored = self.read(name).select(*partition_by)
-        present = restrict(stored, wanted, list(on)).union(
-            stored.join(incomplete, same_key(stored, incomplete, {c: f"key_{c}" for c in on}), "left_semi")
-        ).distinct()
-        self._drop_partitions(self._without(present, rows, partition_by), name)
+
+        def of_keys(stored: DataFrame) -> DataFrame:
+            complete = restrict(stored, wanted, list(on))
+            condition = same_key(stored, incomplete, {c: f"key_{c}" for c in on})
+            return complete.union(stored.join(incomplete, condition, "left_semi"))
+
+        self._replace_partitions(_as_stored(df, partition_by), name, of_keys)
 
     def full_replace(self, df: DataFrame, name: str, partition_by: list[str] = ()) -> None:
         """Make ``df``, which may read the table, its only rows; columns that only the table has become null.
 
-        The table is there at every moment. A plain one is written to a folder of its own, which the
-        catalog is then told of in one step: readers find the old rows or the new ones. Of a partitioned
-        one the new partitions are written first and those left without rows dropped after; a run that
-        breaks off in between is completed by its repetition. Only a table of another layout is dropped
-        before it is written.
+        The table is there at every moment, and the rows are computed and written once. A plain one is written
+        to a folder of its own, which the catalog is then told of in one step: readers find the old rows or the
+        new ones. Of a partitioned one the new partitions are written first and those left without rows
+        dropped after, so readers may meanwhile see old and new partitions side by side; a run that breaks
+        off in between is completed by its repetition. Only a table of another layout is dropped before it is
+        written; its new rows are computed before that.
         """
-        rows = materialise(_as_stored(df, partition_by))
+        rows = _as_stored(df, partition_by)
         if self.exists(name) and self._partition_columns(name) != list(partition_by):
+            rows = materialise(rows)
             self.drop(name)
         if not self.exists(name):
             self._create(rows, name, partition_by)
             return
-        self._grow(name, rows)
         if partition_by:
-            self._overwrite_partitions(self._fit(rows, name), name)
-            present = self.read(name).select(*partition_by).distinct()
-            self._drop_partitions(self._without(present, rows, partition_by), name)
+            self._replace_partitions(rows, name, lambda stored: stored)
             return
+        self._grow(name, rows)
         before, after = self._folder(name), f"{self._folder()}/{name}__{uuid.uuid4().hex}"
         self._fit(rows, name).write.format(self.fmt).save(after)
         self.spark.sql(f"ALTER TABLE {self.table(name)} SET LOCATION '{after}'")
         self._remove(before)
 
+    def _replace_partitions(self, rows: DataFrame, name: str, affected: Callable[[DataFrame], DataFrame]) -> None:
+        """Write the rows over their partitions and drop the affected ones that got none.
+
+        ``affected`` picks rows of the stored partition columns. A partition that was written holds new files
+        only, so one that still holds a file from before got no rows.
+        """
+        partition_by = self._partition_columns(name)
+
+        def files() -> DataFrame:
+            """A row per file of the affected partitions; no column of the files is read."""
+            stored = self.read(name).select(*partition_by, F.col("_metadata.file_path").alias("file_path"))
+            return affected(stored).distinct()
+
+        before = materialise(files())
+        self._grow(name, rows)
+        self._overwrite_partitions(self._fit(rows, name), name)
+        left = files().join(before.select("file_path"), "file_path", "left_semi")
+        self._drop_partitions(left.select(*partition_by).distinct(), name)
+
     def write_once(self, df: DataFrame, name: str) -> None:
         if not self.exists(name):
             self._create(df, name, [])
@@ -192,12 +212,6 @@ class ReportStore:
             specs = ", ".join(spec(row) for row in batch)
             self.spark.sql(f"ALTER TABLE {self.table(name)} DROP IF EXISTS {specs}")
 
-    @staticmethod
-    def _without(present: DataFrame, rows: DataFrame, partition_by: list[str]) -> DataFrame:
-        """Partitions that are present and got no rows."""
-        written = rows.select(*(F.col(c).alias(f"new_{c}") for c in partition_by)).distinct()
-        return present.join(written, same_key(present, written, {c: f"new_{c}" for c in partition_by}), "left_anti")
-
     def _folder(self, name: str | None = None) -> str:
         """Where the schema or one of its tables lies."""
         if name is None:
@@ -207,8 +221,7 @@ class ReportStore:
         return place.first()["data_type"]
 
     def _remove(self, folder: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        remove(self.spark, folder)
 
 
 def _as_stored(df: DataFrame, partition_by: list[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reqmart.plans.scenario import MEASURE_NAMES
 
 CUTOFF = "1998-01-01"
+LATE = "1998-06-01"
 CLOCK_FROM = "1999-01-01 00:00:00"
 REGULAR = "STANDARD"
 SPECIALTY_LABEL = "Specialty"

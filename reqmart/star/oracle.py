@@ -7,7 +7,7 @@ settings straight from the order lines, never by way of JSON.
 
 from __future__ import annotations
 
-from reqmart.star.inputs import CLOCK_FROM, CUTOFF, DRUG_CODES, PHARMACIES
+from reqmart.star.inputs import CLOCK_FROM, CUTOFF, DRUG_CODES, LATE, PHARMACIES
 
 KEYS = ["parent_request_id", "request_id", "task_id"]
 
@@ -372,6 +372,37 @@ FINE_SUMS = """sum(cents) AS sum_currawp, sum(cents * 2) AS sum_currwac, sum(cen
                avg(dayssply) AS avg_days_supply"""
 
 
+EXCLUDED = f"""SELECT {PERIOD}, CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob, 'D' || (l_partkey % 2 * 8) AS gpi,
+               'D' || (l_partkey % 2) AS b_gpi, origclaim, 'DRUG' || (l_partkey % 2) AS drugname,
+               'Formulary ' || (l_suppkey % 10) AS prop_frmly_name, 'F' || (l_suppkey % 4) AS curr_frmly_id,
+               sum(disc) AS shiftaway, sum(tax) AS sfactor, sum(claims) AS claims, sum(dayssply) AS dayssply,
+               sum(cents) AS currawp, sum(cents * 2) AS currwac, avg(cents * disc) AS currnadac
+            FROM shifted WHERE origclaim <> 'P' GROUP BY ALL"""
+
+
+def step_sql(step: str, written: bool, known: str = "true") -> str:
+    """Rows and requests of the reports that a run leaves which knows the requests ``known`` holds for."""
+    parts = {name: PARTS[name] for name in LEDGER} | {"shifted": PARTS["shifted"]}
+    parts["params"] = f"SELECT * FROM ({PARTS['params']}) AS given WHERE {known}"
+    requests = "parent_request_id, req_gid, task_id"
+    reports = {
+        "formulary_shifted": by_flag_sql("origclaim", "origclaim", "origclaim"),
+        "formulary_shifted_excl": EXCLUDED,
+        "generic_launches": "SELECT * FROM shifted",
+        "process_time": "SELECT uw_req_id AS parent_request_id, req_gid, cpt_id AS task_id FROM ledger",
+        "request_params": """SELECT parent_request_id, request_id AS req_gid, task_id FROM params p JOIN ledger g
+                             ON parent_request_id = uw_req_id AND request_id = req_gid AND task_id = cpt_id""",
+    }
+    # The parameters are stored of requests whose client the ledger does not know, too.
+    reported = f"WHERE ({requests}) IN (SELECT (uw_req_id, req_gid, cpt_id) FROM ledger WHERE client_description IS NOT NULL)"
+    counts = [
+        f"""SELECT '{step}' AS step, '{name}' AS report, '{str(written).lower()}' AS written, count(*) AS stored_rows,
+                   count(DISTINCT ({requests})) AS requests FROM ({rows}) AS r {'' if name == 'request_params' else reported}"""
+        for name, rows in reports.items()
+    ]
+    return f"SELECT * FROM (WITH {', '.join(f'{n} AS ({q})' for n, q in parts.items())} {' UNION ALL '.join(counts)})"
+
+
 def by_flag_sql(flag: str, label: str, name: str) -> str:
     """Counts per request and flag by correlated grouping, spread over three pairs of columns."""
     spread = ", ".join(
@@ -566,12 +597,7 @@ ORACLE = {
     ),
     "shifted_excl": with_parts(
         ["li", "shifted"],
-        f"""SELECT {PERIOD}, CASE l_returnflag WHEN 'R' THEN 'WRAP' ELSE 'STD' END AS lob, 'D' || (l_partkey % 2 * 8) AS gpi,
-               'D' || (l_partkey % 2) AS b_gpi, origclaim, 'DRUG' || (l_partkey % 2) AS drugname,
-               'Formulary ' || (l_suppkey % 10) AS prop_frmly_name, 'F' || (l_suppkey % 4) AS curr_frmly_id,
-               sum(disc) AS shiftaway, sum(tax) AS sfactor, sum(claims) AS claims, sum(dayssply) AS dayssply,
-               sum(cents) AS currawp, sum(cents * 2) AS currwac, avg(cents * disc) AS currnadac
-            FROM shifted WHERE origclaim <> 'P' GROUP BY ALL""",
+        EXCLUDED,
     ),
     "generic_launches": with_parts(
         ["li", "shifted"],
@@ -636,6 +662,33 @@ ORACLE = {
         FROM (SELECT unnest(range(least((SELECT min(l_shipdate) FROM lineitem), (SELECT min(o_orderdate) FROM orders)),
                  greatest((SELECT max(l_shipdate) FROM lineitem), (SELECT max(o_orderdate) FROM orders)) + to_days(1),
                  to_days(1))) AS d)""",
+    "newest_requests": with_parts(
+        LEDGER,
+        f"""SELECT p.* EXCLUDE (inp_load_ts, project_start_year), {stamp('p.inp_load_ts')} AS inp_load_ts,
+                   CAST(project_start_year AS VARCHAR) AS project_start_year,
+                   {stamp(chicago('p.inp_load_ts'))} AS inp_load_ts_cst
+            FROM params p JOIN ledger g ON p.parent_request_id = g.uw_req_id AND p.request_id = g.req_gid
+                 AND p.task_id = g.cpt_id
+            ORDER BY p.inp_load_ts DESC, parent_request_id, request_id, p.task_id LIMIT 100""",
+    ),
+    "store_tables": """
+        WITH counted AS (
+            SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS orders, max(o_totalprice) AS price
+            FROM orders GROUP BY ALL),
+        urgent AS (SELECT * FROM counted WHERE priority = '1-URGENT')
+        SELECT 'plain' AS stored, status, priority, orders + 1 AS orders, price FROM counted WHERE status <> 'P'
+        UNION ALL SELECT 'parted', status, priority, orders + 2, NULL FROM counted WHERE status <> 'P'
+        UNION ALL SELECT 'declared', status, priority, orders, price FROM urgent
+        UNION ALL SELECT 'declared', status, priority, orders, price FROM urgent
+        UNION ALL SELECT 'refreshed', status, priority, 7, 12.5 FROM urgent
+        UNION ALL SELECT 'emptied', * FROM urgent
+        UNION ALL SELECT 'once', * FROM urgent""",
+    "refresh_steps": " UNION ALL ".join(
+        [
+            step_sql("1 first", True, f"inp_load_ts < '{LATE}'"), step_sql("2 grown", True),
+            step_sql("3 quiet", False), step_sql("4 reset", True),
+        ]
+    ),
     "replace_keys": """
         WITH report AS (
             SELECT o_orderstatus AS status, o_orderkey, o_totalprice,

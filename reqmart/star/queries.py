@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reqmart.functions import fixed_values as fixed, labels, times
 from reqmart.operators import aggregates, checks, keys, lookups, reshape
-from reqmart.plans import claims, cogs, dates, gpi, ledger, model, mshare, scenario, shifted
+from reqmart.plans import claims, cogs, dates, gpi, ledger, model, mshare, refresh, scenario, shifted
 from reqmart.session import configure, materialise
 from reqmart.sources.store import ReportStore
 from reqmart.star import inputs as star
@@ -338,13 +338,103 @@ def dates_dim(spark, sf_dir):
         F.min("calendar_date").alias("first"), F.max("calendar_date").alias("last")
     )
     shipped = lines.groupBy("calendar_date").agg(F.count("*").alias("lines_shipped"))
+    days = bounds.first()
     return (
-        dates.dates_between(bounds, "first", "last")
+        dates.dates_dim(spark, str(days["first"]), str(days["last"]))
         .join(shipped, "calendar_date", "left")
         .fillna(0, ["lines_shipped"])
     )
 
 
+@query
+def newest_requests(spark, sf_dir):
+    """The hundred requests loaded last, of the parameters sorted as they are stored."""
+    params = star.request_params(spark, sf_dir)
+    return ledger.newest_first(ledger.request_params(params, ledger_of(spark, sf_dir))).limit(100)
+
+
+@query
+def store_tables(spark, sf_dir):
+    """Tables written in each way there is: replaced in full, declared, inserted by position, emptied, written once.
+
+    Every run stores them in a database of its own and returns what they hold in the end.
+    """
+    store = ReportStore(spark, f"tables_{uuid.uuid4().hex}")
+    orders = star.table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"), "o_totalprice"
+    )
+    counted = orders.groupBy("status", "priority").agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("price"))
+    urgent = counted.where("priority = '1-URGENT'")
+
+    def grown(name: str) -> DataFrame:
+        """What the table holds, but for one status, and one order more of each kind."""
+        return store.read(name).where("status <> 'P'").withColumn("orders", F.col("orders") + 1)
+
+    store.append(counted, "plain")
+    store.full_replace(grown("plain"), "plain")
+    store.append(counted, "parted", ["status"])
+    store.full_replace(grown("parted"), "parted", ["status"])
+    store.full_replace(grown("parted").drop("price"), "parted", ["status"])
+
+    for _ in range(2):
+        store.create_declared("declared", "priority string, price double, orders bigint, status string", ["status"])
+        store.insert_declared(urgent.select("status", "orders", "price", "priority"), "declared")
+    declared = urgent.select("priority", "status", F.lit(7).alias("orders"), F.lit("12.5").alias("price"))
+    store.replace_declared(declared, "refreshed", "orders bigint, price double, priority string, status string", ["status"])
+
+    store.append(counted, "emptied")
+    store.delete_rows("emptied")
+    store.append(urgent, "emptied")
+    store.append(counted, "dropped")
+    store.drop("dropped")
+    store.write_once(urgent, "once")
+    store.write_once(counted, "once")
+
+    columns = ["status", "priority", "orders", "price"]
+    return aggregates.union_all(
+        [store.read(name).select(F.lit(name).alias("stored"), *columns) for name in sorted(store.names())]
+    )
+
+
+@query
+def refresh_steps(spark, sf_dir):
+    """Rows and requests of the stored reports after each of four runs, and whether the run wrote them.
+
+    The first run knows the requests loaded before a day, the second all; for the third nothing is due; before the
+    fourth, what was seen is forgotten. Every query stores them in a database of its own, which it drops.
+    """
+    store = ReportStore(spark, f"refreshed_{uuid.uuid4().hex}")
+    shifted_claims, params = star.shifted_claims(spark, sf_dir), star.request_params(spark, sf_dir)
+    history, log = star.activity_history(spark, sf_dir), star.activity_log(spark, sf_dir)
+
+    def inputs(known: DataFrame) -> refresh.RefreshInputs:
+        return refresh.RefreshInputs(
+            history, log, known, star.REGULAR, formulary_shifted=shifted_claims, generic_launches=shifted_claims,
+            clock_from=star.CLOCK_FROM,
+        )
+
+    early = inputs(params.where(F.col("inp_load_ts") < F.lit(star.LATE).cast("timestamp")))
+    runs = {
+        "1 first": lambda: refresh.refresh(store, early),
+        "2 grown": lambda: refresh.refresh(store, inputs(params)),
+        "3 quiet": lambda: refresh.refresh(store, inputs(params)),
+        "4 reset": lambda: refresh.reset_and_refresh(store, inputs(params)),
+    }
+    steps = []
+    for step, run in runs.items():
+        written = run().written
+        for name in sorted(store.names() - {refresh.DATES}):
+            report = store.read(name)
+            request = [c for own in (fixed.REPORT_KEYS, fixed.REQUEST_KEYS, fixed.LEDGER_KEYS) for c in own]
+            named = [c for c in dict.fromkeys(request) if c in report.columns]
+            counts = report.agg(F.count("*").alias("stored_rows"), F.count_distinct(*named).alias("requests"))
+            steps.append(
+                materialise(counts.select(F.lit(step).alias("step"), F.lit(name).alias("report"), F.lit(name in written).alias("written"), "*"))
+            )
+    spark.sql(f"DROP DATABASE {store.database} CASCADE")
+    return aggregates.union_all(steps)
+
+
 @query
 def replace_keys(spark, sf_dir):
     """A stored report whose late customers' rows give way to new ones, with a column it lacked; one status is dropped.
