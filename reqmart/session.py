@@ -23,9 +23,18 @@ SETTINGS = {
     # Where every shuffled partition of a join's smaller side is this small, hash it instead of
     # sorting both sides. Measured at run time, partition by partition.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
+    # Groups that a task hashes before it sorts, where a request's few settings are gathered.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
 }
 
 
+#: An execution's shuffle files go when it ends, not when the driver happens to collect its garbage.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Rows of a table of any size are kept from a join's shuffle by a Bloom filter of the other side, if that is small
+#: (Spark's bound, 10 MB) and filtered by some comparison.
+FILTER_BEFORE_JOIN = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings above. The broadcast threshold stays the session's own."""
     for name, value in SETTINGS.items():
@@ -33,6 +42,19 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while; those from before are back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 _written_by_runs: list[list[str]] = []
 
 
@@ -40,13 +62,11 @@ _written_by_runs: list[list[str]] = []
 def run(spark: SparkSession) -> Iterator[SparkSession]:
     """A run with the settings above. Afterwards the session's own are back, and the rows that the run
     materialised are removed, whether it ended well or not."""
-    before = {name: spark.conf.get(name, None) for name in SETTINGS}
     _written_by_runs.append([])
     try:
-        yield configure(spark)
+        with settings(spark, SETTINGS):
+            yield spark
     finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
         for path in _written_by_runs.pop():
             remove(spark, path)
 
@@ -105,9 +125,11 @@ def materialise(df: DataFrame) -> DataFrame:
 
     Later steps then neither repeat the lineage nor see tables that changed meanwhile, and the
     written size lets Spark decide soundly whether the result may be broadcast. Within a run the
-    rows go when it ends, elsewhere as the application exits.
+    rows go when it ends, elsewhere as the application exits. Its shuffles are of no use once the
+    rows are written; their files go with the job.
     """
     spark = df.sparkSession
     path = scratch_folder(spark)
-    df.write.parquet(path)
+    with settings(spark, FREE_SHUFFLES):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
