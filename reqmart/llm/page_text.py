@@ -1,9 +1,10 @@
 """Main text of web pages: flat text blocks, classified by a decision tree.
 
 A page is cut at its block elements into flat blocks of text. Each has a word count and a link density (share of its
-words in links), which together with those of its neighbours and with what the enclosing elements say of themselves
-(their names, classes and ids) are the features of a decision tree. The tree is grown from the small table of labelled
-blocks below, when the operator is called; the blocks it takes for article text, in page order, are the page's text.
+words in links), which together with those of its neighbours and with what the nearest elements say of themselves (their
+names, classes and ids) are the features of a decision tree. The tree is grown from the small table of labelled blocks
+below, when the operator is called; the blocks it takes for article text, in page order, are the page's text. Names are
+weak or strong: a long text without links in an element of a weak name ("market-share") is the article's.
 
 What encloses an article doesn't make it boilerplate, whatever its name ("layout-sidebar"): within <main> and <article>
 only the elements from there on count. Articles in an element of another kind (<aside>), within another article, or
@@ -44,6 +45,11 @@ BOILERPLATE_WORDS = (
     "modal nav navbar navigation newsletter notice notification pagination popup promo promotion recommended related replies reply respond "
     "search share sharing sidebar signup social sponsor sponsored subscribe tags toolbar trending widget"
 ).split()
+#: Of those, the ones that are ordinary words of other names, too.
+WEAK_WORDS = (
+    "alert banner copyright disclaimer discussion header menu notice notification promotion related replies reply respond "
+    "search share sharing social subscribe tags trending"
+).split()
 #: "has-sidebar" says what an element holds, not what it is.
 HOLDING_WORDS = "has no with without".split()
 #: The id of a section within an article may be its heading: these words are ordinary headings.
@@ -65,9 +71,10 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 BLOCKS, STARTS, BOILERPLATE = map(frozenset, (BLOCK_ELEMENTS, CONTAINERS, BOILERPLATE_WORDS))
 ARTICLE = frozenset(ARTICLE_WORDS)
 HEADINGS = BOILERPLATE - frozenset(HEADING_WORDS)
+STRONG = BOILERPLATE - frozenset(WEAK_WORDS)
 FEATURES = [
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-    "in_article", "page_has_article", "in_boilerplate",
+    "in_article", "page_has_article", "boilerplate_name",
 ]
 
 
@@ -77,7 +84,7 @@ class Block:
     offset: int
     linked_words: int
     in_article: bool
-    in_boilerplate: bool
+    boilerplate_name: int = 0
 
 
 @dataclass
@@ -86,6 +93,7 @@ class Place:
 
     is_main: bool
     others: int
+    strong: int
     outer: Place | None
     may_be_main_text: bool
     starts_anew: bool = False
@@ -93,11 +101,14 @@ class Place:
 
 @dataclass
 class Open:
-    """An open element: whether it is in an article, and how many elements, itself included, are boilerplate by name."""
+    """An open element: whether it is in an article, and how many elements, itself included, are boilerplate by name, and
+    by a strong one.
+    """
 
     name: str = ""
     in_article: bool = False
     others: int = 0
+    strong: int = 0
     in_other_element: bool = False
     place: Place | None = None
 
@@ -109,26 +120,29 @@ def name_parts(rest: str) -> Iterator[tuple[bool, list[str]]]:
             yield m[0][:2].lower() == "id", [part.lower() for part in NAME_PARTS.findall(name)]
 
 
-def names_itself(tag: str, rest: str, within_article: bool = False) -> tuple[bool, bool]:
-    """Whether an element calls itself an article, and whether it calls itself something else."""
+def names_itself(tag: str, rest: str, within_article: bool = False) -> tuple[bool, int]:
+    """Whether an element calls itself an article, and how clearly something else: 0 not, 1 by a weak name, 2."""
     if tag in BOILERPLATE_ELEMENTS or tag in ARTICLE_ELEMENTS:
-        return tag in ARTICLE_ELEMENTS, tag in BOILERPLATE_ELEMENTS
+        return tag in ARTICLE_ELEMENTS, 2 * (tag in BOILERPLATE_ELEMENTS)
     if tag in ("body", "html") or "=" not in rest:
-        return False, False
+        return False, 0
     names = [(is_id, parts) for is_id, parts in name_parts(rest) if parts and parts[0] not in HOLDING_WORDS]
     is_section = within_article and (tag == "section" or any(parts == ["section"] for _, parts in names))
     article = any(not ARTICLE.isdisjoint(parts) for _, parts in names)
-    return article, any(not (HEADINGS if is_id and is_section else BOILERPLATE).isdisjoint(p) for is_id, p in names)
+    told = {p for is_id, parts in names for p in parts if p in (HEADINGS if is_id and is_section else BOILERPLATE)}
+    # A single weak word is the whole name ("share"); within a longer one it may be anything ("market-share").
+    whole = any(len(parts) == 1 and parts[0] in told for _, parts in names)
+    return article, 2 if whole or not STRONG.isdisjoint(told) else int(bool(told) and not article)
 
 
 def opened(name: str, rest: str, outer: Open) -> Open:
     article, other = names_itself(name, rest, outer.place is not None)
-    others, place = outer.others + other, outer.place
+    others, strong, place = outer.others + (other > 0), outer.strong + (other == 2), outer.place
     if name == "main" or name == "article" and (place is None or place.is_main):
         others_article = any(parts and parts[0] in OTHER_ARTICLES for _, parts in name_parts(rest))
-        place = Place(name == "main", others, place, not outer.in_other_element and not others_article)
+        place = Place(name == "main", others, strong, place, not outer.in_other_element and not others_article)
     in_other = outer.in_other_element or name in OTHER_ELEMENTS
-    return Open(name, outer.in_article or article, others, in_other, place)
+    return Open(name, outer.in_article or article, others, strong, in_other, place)
 
 
 def settle(places: list[Place]) -> None:
@@ -145,10 +159,13 @@ def settle(places: list[Place]) -> None:
         p.starts_anew = len(first) == 1 or p.outer is None or p.others == p.outer.others
 
 
-def is_boilerplate(others: int, place: Place | None) -> bool:
+def boilerplate_name(inner: Open) -> int:
+    """How clearly the elements from the page's article on are named otherwise: 0 not, 1 by weak names, 2."""
+    place = inner.place
     while place is not None and not place.starts_anew:
         place = place.outer
-    return others > (place.others if place else 0)
+    others, strong = (place.others, place.strong) if place else (0, 0)
+    return 2 if inner.strong > strong else int(inner.others > others)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -160,13 +177,14 @@ def blocks_of(page: str) -> list[Block]:
     text: list[str] = []
     linked: list[str] = []
     in_link, start, at = False, 0, 0
+    paragraph: Open | None = None  # a named block element that holds no others
 
     def finish() -> None:
         words = html.unescape("".join(text)).split()
         if words:
             n_linked = len(html.unescape("".join(linked)).split())
-            around.append(open_tags[-1])
-            blocks.append(Block(" ".join(words), start, min(n_linked, len(words)), open_tags[-1].in_article, False))
+            around.append(paragraph or open_tags[-1])
+            blocks.append(Block(" ".join(words), start, min(n_linked, len(words)), open_tags[-1].in_article))
         text.clear()
         linked.clear()
 
@@ -195,13 +213,20 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCKS:
             finish()
             in_link = in_link and name not in ("li", "p")
+            paragraph = None
+            if name not in STARTS and not closing and "=" in m["rest"]:
+                paragraph = opened(name, m["rest"], open_tags[-1])
         if name in STARTS:
             if closing:
                 place = next((i for i in range(len(open_tags) - 1, 0, -1) if open_tags[i].name == name), None)
                 if place is not None:
+                    if open_tags[-1].strong > open_tags[place - 1].strong:
+                        finish()
                     del open_tags[place:]
             elif not m["rest"].endswith("/"):
                 inner = opened(name, m["rest"], open_tags[-1])
+                if inner.strong > open_tags[-1].strong:
+                    finish()  # an inline element that names itself ("advert") is a block of its own
                 if inner.place is not open_tags[-1].place:
                     places.append(inner.place)
                 open_tags.append(inner)
@@ -215,7 +240,7 @@ def blocks_of(page: str) -> list[Block]:
     finish()
     settle(places)
     for block, inner in zip(blocks, around):
-        block.in_boilerplate = is_boilerplate(inner.others, inner.place)
+        block.boilerplate_name = boilerplate_name(inner)
     return blocks
 
 
@@ -236,10 +261,10 @@ def features_of(blocks: list[Block]) -> np.ndarray:
         return np.concatenate([np.zeros(1), x[:-1]]) if by > 0 else np.concatenate([x[1:], np.zeros(1)])
 
     has_article = np.full(len(blocks), float(in_article.any()))
-    in_boilerplate = np.array([b.in_boilerplate for b in blocks], dtype=float)
+    named = np.array([b.boilerplate_name for b in blocks], dtype=float)
     return np.stack(
         [words, density, shifted(words, 1), shifted(density, 1), shifted(words, -1), shifted(density, -1),
-         in_article, has_article, in_boilerplate],
+         in_article, has_article, named],
         axis=1,
     )
 
@@ -263,7 +288,7 @@ class Tree:
         return out
 
 
-def grow(features: np.ndarray, labels: np.ndarray, depth: int = 5, least: int = 2) -> Tree:
+def grow(features: np.ndarray, labels: np.ndarray, depth: int = 9, least: int = 2) -> Tree:
     """Split by the feature and bound that lower the Gini impurity most; of equal ones by the first."""
     tree = Tree(float(labels.mean()))
     if depth == 0 or len(labels) < 2 * least or labels.min() == labels.max():
@@ -322,6 +347,44 @@ LABELLED_PAGES: list[list[tuple[str, int]]] = [
      (f"<article><p>{_words(26)}</p><p>{_words(48)}</p></article>", 1),
      (f"<div class=comments><article class=comment><p>{_words(35)}</p></article></div>", 0),
      (f"<div class=related><article><p>{_words(20)}</p></article></div></form>", 0)],
+    # Pages whose elements have no names: densities and neighbours tell.
+    [(f"<div><a href=x>{_words(1)}</a><a href=x>{_words(2)}</a></div><ul>{_links(6)}</ul>", 0),
+     (f"<div><h1>{_words(4)}</h1><p>{_words(50)}</p><p>{_words(1)}</p><p>{_words(3)}</p><p>{_words(40)}</p></div>", 1),
+     (f"<div><a href=x>{_words(2)}</a> <a href=x>{_words(2)}</a></div><div>{_words(4)}</div><div><a href=x>{_words(1)}</a></div>", 0)],
+    [(f"<ul>{_links(5, 2)}</ul>", 0),
+     (f"<div><h2>{_words(3)}</h2><p>{_words(24)} <a href=x>{_words(8)}</a></p><p>{_words(2)}</p><p>{_words(31)}</p>", 1),
+     (f"<p>{_words(9)}</p><p>{_words(1)}</p><p>{_words(66)}</p></div>", 1),
+     (f"<div><p><a href=x>{_words(10)}</a></p><p><a href=x>{_words(12)}</a></p><p><a href=x>{_words(9)}</a></p></div>", 0)],
+    [(f"<div><div><a href=x>{_words(22)}</a></div><div><a href=x>{_words(30)}</a></div><div><a href=x>{_words(19)}</a></div></div>", 0),
+     (f"<div>{_words(2)}</div><div><a href=x>{_words(25)}</a></div><div><a href=x>{_words(40)}</a></div>", 0)],
+    [(f"<p>{_words(6)}</p><p>{_words(9)}</p><p>{_words(4)}</p><p>{_words(12)}</p><p>{_words(1)}</p><p>{_words(7)}</p>", 1)],
+    [(f"<h1>{_words(3)}</h1><div>{_words(11)}</div><div>{_words(5)}</div><div>{_words(15)}</div>", 1)],
+    [(f"<div>{_links(8)}</div><div>{_words(2)}</div><div>{_links(5, 3)}</div>", 0),
+     (f"<div><p>{_words(38)}</p><p>{_words(5)}</p></div>", 1),
+     (f"<div><a href=x>{_words(3)}</a></div><div>{_words(5)}</div><div>{_links(6, 2)}</div>", 0)],
+    # Weak names within an article, and names of paragraphs and inline elements.
+    [(f"<article><h1>{_words(5)}</h1><div class=market-share><p>{_words(45)}</p><p>{_words(30)}</p></div><p>{_words(4)}</p>", 1),
+     (f"<div class=share-bar>{_words(3)}</div><p class=advert>{_words(20)}</p><p><span class=sponsored>{_words(12)}</span>", 0),
+     (f"<p>{_words(25)}</p></article>", 1)],
+    [(f"<article><div class=social-science><p>{_words(38)}</p><p>{_words(52)}</p></div><p>{_words(11)}</p>", 1),
+     (f"<div class=related-links>{_links(3, 4)}</div><div class=tags-list><a href=x>{_words(2)}</a> {_words(1)}</div></article>", 0)],
+    [(f"<nav>{_links(1)}</nav>", 0), (f"<article><p>{_words(3)}</p><p><a href=x>{_words(2)}</a></p><p>{_words(9)}</p></article>", 1),
+     (f"<footer><a href=x>{_words(1)}</a></footer>", 0)],
+    [(f"<header><a href=x>{_words(2)}</a></header><nav>{_links(1, 2)}</nav>", 0),
+     (f"<main><p>{_words(14)}</p><p><a href=x>{_words(5)}</a></p><p>{_words(41)}</p></main>", 1), (f"<div><a href=x>{_words(3)}</a></div>", 0)],
+    [(f"<ul>{_links(4, 20)}</ul>", 0), (f"<p>{_words(50)}</p>", 1)],
+    [(f"<div><a href=x>{_words(2)}</a> <a href=x>{_words(1)}</a></div>", 0), (f"<div>{_words(26)}</div>", 1),
+     (f"<div><a href=x>{_words(4)}</a></div>", 0)],
+    [(f"<ul>{_links(6, 3)}</ul>", 0), (f"<p>{_words(80)}</p>", 1), (f"<ul>{_links(3, 6)}</ul><div>{_words(6)}</div>", 0)],
+    # Single link bars, short pages, and what follows an article in elements without names.
+    [(f"<div><a href=x>{_words(10)}</a> <a href=x>{_words(10)}</a> <a href=x>{_words(10)}</a></div>", 0)],
+    [(f"<div><a href=x>{_words(3)}</a> <a href=x>{_words(4)}</a></div>", 0)],
+    [(f"<p>{_words(2)}</p><p>{_words(3)}</p><p>{_words(1)}</p>", 1)],
+    [(f"<p>{_words(1)}</p><p>{_words(5)}</p><p>{_words(2)}</p><p>{_words(2)}</p><p>{_words(14)}</p>", 1)],
+    [(f"<div>{_words(2)}</div>", 0), (f"<article><h1>{_words(3)}</h1><p>{_words(22)}</p><p>{_words(1)}</p><p>{_words(2)}</p>", 1),
+     (f"<p>{_words(1)}</p><p>{_words(2)}</p></article>", 1), (f"<div><p>{_words(40)}</p><p>{_words(3)}</p></div><p>{_words(12)}</p>", 0)],
+    [(f"<p>{_words(60)}</p><div>{_words(7)}</div>", 0),
+     (f"<article><p>{_words(5)}</p><p>{_words(2)}</p><p>{_words(8)}</p></article>", 1), (f"<p>{_words(33)}</p>", 0)],
 ]
 
 
@@ -347,7 +410,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and text per page, from page_id, url and html; no other column is read.
 
     The text has one line per block, its character references decoded and its white space (any) turned into single
-    blanks. A null, empty or textless page has an empty text. Repeated rows and null ids are kept as they are.
+    blanks. A null, empty or textless page has an empty text. Repeated rows and null ids are kept as they are, an empty
+    table gives an empty one, and a page of any length is read whole. Of two equal splits the tree takes the first.
     """
     tree = grow(*labelled_table())
 

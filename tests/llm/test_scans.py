@@ -71,12 +71,43 @@ def test_articles_of_the_table(spark):
         assert r["n_chars"] == len(r["text"])
 
 
-def test_the_tree_fits_its_table_and_uses_densities():
+def used(tree):
+    return set() if tree.feature < 0 else {page_text.FEATURES[tree.feature]} | used(tree.low) | used(tree.high)
+
+
+def test_the_tree_goes_by_densities_and_neighbours():
     features, labels = page_text.labelled_table()
     tree = page_text.grow(features, labels)
-    assert (tree.takes(features) == labels).all()
-    links = "".join(f"<li><a href=x>{'w ' * 30}</a></li>" for _ in range(4))
-    assert page_text.main_text(f"<div>{links}</div>", tree) in ("", "\n".join([" ".join(["w"] * 30)] * 4))
+    assert (tree.takes(features) == labels).mean() > 0.98
+    assert page_text.FEATURES[tree.feature] == "link_density"
+    assert used(tree) & {"words_before", "link_density_before", "words_after", "link_density_after"}
+
+
+W20, W50 = " ".join(f"w{n}" for n in range(20)), " ".join(f"v{n}" for n in range(50))
+UNNAMED = [
+    (f"<div><h1>My title</h1><p>{W50}</p><p>Yes.</p></div>", f"My title\n{W50}\nYes."),
+    ("<p>one two</p><p>three four five</p><p>six</p>", "one two\nthree four five\nsix"),
+    (f"<div>{''.join(f'<p><a href=x>link {n} {W20}</a></p>' for n in range(3))}</div>", ""),
+    (f"<ul>{''.join(f'<li><a href=x>{W20}</a></li>' for _ in range(4))}</ul><p>{W50}</p>", W50),
+    (f"<div><a href=x>{W20}</a> <a href=x>{W20}</a></div>", ""),
+    (f"<article><div class='post-content social-science'><p>{W20}</p><p>Yes.</p></div></article>", f"{W20}\nYes."),
+    (f"<article><p>{W20}</p><div class='market-share'><p>{W50}</p></div></article>", f"{W20}\n{W50}"),
+    (f"<article><p>{W20}</p><p class='advert'>{W50}</p><div class=share>a b</div></article>", W20),
+    (f"<article><p>{W20} <span class='sponsored'>{W50}</span></p></article>", W20),
+    (f"<article><p>{W20}</p></article><div><p>{W50}</p></div>", W20),
+]
+
+
+@pytest.mark.parametrize("page, text", UNNAMED)
+def test_pages_that_names_do_not_tell(page, text):
+    assert page_text.main_text(page, page_text.grow(*page_text.labelled_table())) == text
+
+
+def test_repeated_pages_and_an_empty_table(spark):
+    kind = "page_id long, url string, html string"
+    data = [(1, "u", "<p>a b</p>"), (1, "u", "<p>a b</p>"), (None, None, None)]
+    assert rows(page_text.extract(spark.createDataFrame(data, kind))) == [(None, None, ""), (1, "u", "a b"), (1, "u", "a b")]
+    assert page_text.extract(spark.createDataFrame([], kind)).count() == 0
 
 
 def unigram():
