@@ -43,6 +43,7 @@ TABLES = (mix(numbers(256, 101)), mix(numbers(256, 103)))
 FACTOR = 0x9E3779B97F4A7C15
 #: Stands for a null id: it is the last document.
 NO_ID = 2**63 - 1
+NULL_TAG = 2**62
 #: The place of a row that only tells its bucket of other bytes.
 SIGN = -1
 
@@ -164,7 +165,7 @@ def sorted_out(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
             pa.array(np.concatenate([content, content[signs]]).view(np.int64), mask=np.append(repeat, np.zeros(n, dtype=bool))),
             pa.array(np.append(still, np.zeros(n, dtype=bool))),
             pa.array(np.append(doc, np.full(n, -(2**63)))),  # before all documents
-            pa.array(np.append(tag, tag[signs])),
+            pa.array(np.append(tag, np.full(n, -1))),
             pa.array(np.append(place, np.full(n, SIGN))),
         ],
         names=["slot", "bytes", "open", "doc", "tag", "place"],
@@ -292,28 +293,24 @@ def _judged(doc: np.ndarray, tag: np.ndarray, place: np.ndarray, slot: np.ndarra
         yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(tag), pa.array(place), slots], names=["doc", "tag", "place", "slot"])
 
 
-def release(spark) -> None:
-    """Let the driver notice shuffles that nothing needs any more, so that their files go before the next one's come."""
-    spark._jvm.System.gc()
-
-
 def identified(docs: DataFrame) -> DataFrame:
-    """doc (the id), tag (a hash of the text where several rows have that id, else 0) and text."""
-    ids = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("doc"), "text")
+    """doc (the id), tag (a hash of the text where several rows have that id, else 0; ``NULL_TAG`` more for a null id)
+    and text.
+    """
+    given = F.col("doc_id").cast("bigint")
+    ids = docs.select(F.coalesce(given, F.lit(NO_ID)).alias("doc"), given.isNull().alias("no_id"), "text")
     several = materialise(ids.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc", F.lit(1).alias("several")))
-    tag = F.when(F.col("several").isNull(), F.lit(0)).otherwise(F.xxhash64("text"))
+    text_hash = F.xxhash64("text").bitwiseAND(F.lit(NULL_TAG - 1))
+    tag = F.when(F.col("no_id"), text_hash + NULL_TAG).when(F.col("several").isNull(), F.lit(0)).otherwise(text_hash)
     return ids.join(several, "doc", "left").select("doc", tag.cast("bigint").alias("tag"), "text")
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """Runs of windows that start earlier too: doc, tag, first window and number of windows."""
-    spark = docs.sparkSession
     state = materialise(refined(initial_buckets(docs)))
-    release(spark)
     repeats = state.where("slot IS NULL")
     for size in PIECES:
         state = materialise(refined(cut(docs, state.where("slot IS NOT NULL"), size)))
-        release(spark)
         repeats = repeats.union(state.where("slot IS NULL"))
     return repeats.select(
         "doc", "tag", F.expr("shiftright(place, 14)").alias("start"), F.expr("(shiftright(place, 7) & 127) + 1").alias("n")
@@ -326,7 +323,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     ``docs`` has doc_id and text; no other column is read. Null and empty texts have no bytes. A null id is the last
     document. Rows that repeat an id are documents of their own if their texts differ (in the order of a hash of the
-    text); equal ones count as one document and come out alike. An empty table gives an empty one.
+    text); equal ones count as one document and come out alike. An empty table gives an empty one. Texts of any length
+    are read whole, in blocks.
     """
     own = identified(docs)
     runs = repeated_windows(own).groupBy("doc", "tag").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
@@ -334,7 +332,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, found in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, tag, text, found in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 spans = union_of(found or [])
                 kept, at = [], 0
@@ -343,14 +341,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                     at = end
                 kept.append(data[at:])
                 rows.append(
-                    (None if doc == NO_ID else doc, b"".join(kept), len(data), [{"start": s, "end": e} for s, e in spans])
+                    (None if tag >= NULL_TAG else doc, b"".join(kept), len(data), [{"start": s, "end": e} for s, e in spans])
                 )
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows), CLEANED_TYPES)] if rows else [pa.array([], t) for t in CLEANED_TYPES],
                 names=["doc_id", "kept", "n_bytes", "spans"],
             )
 
-    joined = own.join(runs, ["doc", "tag"], "left").select("doc", "text", "runs")
+    joined = own.join(runs, ["doc", "tag"], "left").select("doc", "tag", "text", "runs")
     return joined.mapInArrow(
         compute, "doc_id long, kept binary, n_bytes long, spans array<struct<start:long,end:long>>"
     )
