@@ -8,9 +8,9 @@ search until it reaches its own T or cannot.
 
 Spark brings together the sets that such a search has to see:
 
-1. Equal sets are one node. Of each node a sample is taken, its smallest hashes, about twice as many as it may miss. If
+1. Equal sets are one node. Of each node a sample is taken, its smallest hashes, half as many more as it may miss. If
    more of them occur in no other node's sample than the node may miss, it is linked with nothing. Most documents go
-   here, at the cost of a third of their shingles.
+   here, at the cost of a quarter of their shingles. The rest is counted once more without those that went.
 2. The remaining nodes' whole sets are counted. A node's rarest shingles, one more than it may miss, are its key
    shingles; linked nodes share one. Components of shared key shingles are families; a link never leaves its family.
 3. Each family is searched. One that is larger than ``FAMILY_SHINGLES`` is cut by size of set and by hash into parts,
@@ -34,12 +34,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reqmart.llm.components import components
 from reqmart.llm.text_bytes import mix, numbers, shingle_sets
 from reqmart.operators.spread import spread
-from reqmart.session import materialise
+from reqmart.session import FILTER_BEFORE_JOIN, materialise, settings
 
 WORDS = 4
 PERCENT = 85
-#: Shingles of a family, or of a part of one, that a task searches at once. Bounds memory only.
-FAMILY_SHINGLES = 2_000_000
+#: Shingles of a family, or of a part of one, that a task searches at once. Bounds its time and memory only.
+FAMILY_SHINGLES = 250_000
+#: Rounds in which nodes that meet too few others are left out, by their samples.
+ROUNDS = 2
 #: Texts hashed at a time.
 TEXTS = 100
 #: How much a long list costs to look up, against one that is merged (DivideSkip's constant).
@@ -60,6 +62,10 @@ def may_miss(n: Column | int, percent: int) -> Column | int:
     return n - F.ceil(n * percent / F.lit(100)) if isinstance(n, Column) else n - -(-n * percent // 100)
 
 
+def sample_size(n: int, percent: int) -> int:
+    return 3 * may_miss(n, percent) // 2 + 1
+
+
 def node_name(shingles: np.ndarray) -> bytes:
     """Two hashes of the set."""
     return b"".join(int(mix(shingles * x).sum(dtype=np.uint64)).to_bytes(8, "big") for x in numbers(2, 43))
@@ -78,7 +84,7 @@ def digests(docs: DataFrame, percent: int) -> DataFrame:
             for at in range(0, batch.num_rows, TEXTS):
                 part = batch.slice(at, TEXTS)
                 sets = shingle_sets(part.column(1).to_pylist(), WORDS)
-                samples = [s[: 2 * may_miss(len(s), percent) + 1].view(np.int64) if len(s) else None for s in sets]
+                samples = [s[: sample_size(len(s), percent)].view(np.int64) if len(s) else None for s in sets]
                 columns = [
                     part.column(0), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([node_name(s) if len(s) else None for s in sets], pa.binary()),
@@ -106,25 +112,19 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     names=["node", "shingles"],
                 )
 
-    texts = docs.select(row_key(docs).alias("row"), "text").join(spread(nodes), "row")
+    texts = docs.select(row_key(docs).alias("row"), "text").join(nodes, "row")
     return texts.select("node", "text").mapInArrow(compute, SETS).dropDuplicates(["node"])
 
 
-def frequencies(postings: DataFrame) -> DataFrame:
-    """(shingle, df) of the shingles that more than one row of the postings (node, shingle) has."""
-    return postings.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+def met(postings: DataFrame) -> DataFrame:
+    """Those of the postings (a node, shingle) whose shingle others have too, with df, how many do."""
+    frequencies = postings.groupBy("shingle").agg(F.count("*").alias("df")).where("df > 1")
+    return postings.join(spread(frequencies), "shingle")
 
 
-def met_often_enough(nodes: DataFrame, column: str, percent: int) -> DataFrame:
-    """(node, n, open) of the nodes of whose shingles in that column few enough are in no other node's; open are the
-    others, as structs (df, shingle), rarest first.
-    """
-    postings = nodes.select("node", F.explode(column).alias("shingle"))
-    met = postings.join(spread(frequencies(postings)), "shingle")
-    opened = met.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("open"))
-    sizes = nodes.select("node", "n", F.size(column).alias("looked_at"))
-    alone = F.col("looked_at") - F.size("open")
-    return sizes.join(opened, "node").where(alone <= may_miss(F.col("n"), percent)).drop("looked_at")
+def few_alone(looked_at: Column, opened: Column, percent: int) -> Column:
+    """Whether few enough of the shingles looked at are in no other node, for a link to be possible."""
+    return looked_at - opened <= may_miss(F.col("n"), percent)
 
 
 def families(nodes: DataFrame, percent: int) -> DataFrame:
@@ -140,7 +140,7 @@ def families(nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def dealt(sets: DataFrame, percent: int) -> DataFrame:
-    """The sets (node, shingles, family) with the searches each goes into: columns family, search, side.
+    """The rows of sets (node, shingles, family, any others) with the searches each goes into: columns search, side.
 
     A family within bounds is one search (null). A larger one is cut by size into bands, so that linked sets are in one
     band or in neighbouring ones, and each band by hash into parts. A search takes one part, or two, of which it only
@@ -162,10 +162,10 @@ def dealt(sets: DataFrame, percent: int) -> DataFrame:
     here, there = F.concat_ws(".", "band", "part"), F.concat_ws(".", "other_band", "other")
     search = F.when(is_first, F.concat_ws(":", here, there)).otherwise(F.concat_ws(":", there, here))
     side = F.when(here != there, is_first.cast("int"))
-    cut = met.select("node", "shingles", "family", search.alias("search"), side.alias("side"))
+    cut = met.select(*sets.columns, search.alias("search"), side.alias("side"))
     nothing = F.lit(None)
     whole = sets.join(spread(large), "family", "left_anti").select(
-        "node", "shingles", "family", nothing.cast("string").alias("search"), nothing.cast("int").alias("side")
+        *sets.columns, nothing.cast("string").alias("search"), nothing.cast("int").alias("side")
     )
     return whole.union(cut)
 
@@ -293,15 +293,26 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     digested = materialise(digests(docs, percent))
     has_words = F.col("node").isNotNull()
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
-    nodes = materialise(
-        digested.where(has_words).groupBy("node").agg(first["row"].alias("row"), F.max("n_shingles").alias("n"))
+    one_each = digested.where(has_words).groupBy("node").agg(
+        first["row"].alias("row"), F.max("n_shingles").alias("n"), F.first("sample").alias("sample")
+    )
+    # A hash of the name serves to count; two nodes of one hash would only be counted as met too often.
+    nodes = materialise(one_each.withColumn("name", F.xxhash64("node")))
+    wanted = nodes
+    for _ in range(ROUNDS):
+        opened = met(wanted.select("name", F.explode("sample").alias("shingle"))).groupBy("name").agg(
+            F.count("*").alias("opened")
+        )
+        enough = few_alone(F.size("sample"), F.col("opened"), percent)
+        wanted = materialise(wanted.join(opened, "name").where(enough).drop("opened"))
+    # That comparison holds for all; Spark filters the texts by a side that has one.
+    with settings(docs.sparkSession, FILTER_BEFORE_JOIN):
+        sets = materialise(sets_of(docs, wanted.where("n > 0").select("node", "row")))
+    found = met(sets.select("node", F.explode("shingles").alias("shingle"))).groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("open")
     )
-    # One row of each node brings the sample; equal rows may repeat.
-    samples = digested.where(has_words).select("node", "row", "sample").join(nodes, ["node", "row"])
-    sampled = samples.select("node", "n", "sample").dropDuplicates(["node"])
-    wanted = met_often_enough(sampled, "sample", percent).select("node")
-    sets = materialise(sets_of(docs, nodes.join(wanted, "node").select("node", "row")))
-    whole = materialise(met_often_enough(sets.withColumn("n", F.size("shingles")), "shingles", percent))
+    rarest_first = sets.select("node", F.size("shingles").alias("n")).join(found, "node")
+    whole = materialise(rarest_first.where(few_alone(F.col("n"), F.size("open"), percent)))
     members = families(whole, percent)
     links = searched(dealt(sets.join(members, "node"), percent), percent)
     tied = components(links)

@@ -6,8 +6,9 @@ few enough bits are compared on their full sets. Components of the confirmed lin
 
 Groups of near copies don't become all their pairs. First each node is compared with the hubs of its buckets, the
 nodes that share most bands with others, and linked with the one most like it if that is confirmed; the components of
-these links are taken. Then only pairs of different components are compared, and within a bucket only those with a
-member outside its largest component.
+these links are taken. What is still apart within a bucket is searched in tasks: buckets that share nodes make a family,
+whose bands, sketches and full sets a task compares (large families in parts, two at a time). A task returns one link for
+each two nodes that it finds to be connected, so neither copies nor near copies that stay apart become rows of pairs.
 
 Similarity, 0.85 here, is a share of whole numbers and confirmed exactly. The bands miss a pair of that similarity
 with a probability under 1e-5, and the sketches, which allow for about five standard deviations, under 1e-5.
@@ -22,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reqmart.llm.components import components
+from reqmart.llm.ngram_join import dealt
 from reqmart.llm.text_bytes import mix, numbers, shingle_sets
-from reqmart.session import materialise
+from reqmart.operators.spread import spread
+from reqmart.session import FILTER_BEFORE_JOIN, materialise, settings
 
 BANDS = 24
 ROWS = 5
@@ -108,6 +111,14 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(compute, SETS).dropDuplicates(["node"])
 
 
+def full_sets(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The full sets of the wanted ones of the nodes (node, row, n_shingles), stored."""
+    rows = materialise(nodes.join(wanted, "node"))
+    # That comparison holds for all; Spark filters the texts by a side that has one.
+    with settings(docs.sparkSession, FILTER_BEFORE_JOIN):
+        return materialise(sets_of(docs, rows.where("n_shingles > 0").select("node", "row")))
+
+
 def digest_name(shingles: np.ndarray) -> bytes:
     a, b = numbers(2, 41)
     return b"".join(int(mix(shingles * x).sum(dtype=np.uint64)).to_bytes(8, "big") for x in (a, b))
@@ -118,28 +129,33 @@ def differing() -> Column:
     return sum(F.bit_count(F.col("a.sketch")[i].bitwiseXOR(F.col("b.sketch")[i])) for i in range(SKETCH_BITS // 64))
 
 
-def may_be_similar(percent: int) -> Column:
-    """Whether sizes and sketches of the sides ``a`` and ``b`` leave room for that similarity s.
+def bits_allowed(n_a, n_b, percent: int, exp, sqrt):
+    """Bits in which the sketches of sets of these sizes may differ if the sets are that similar.
 
     Of k bins the union of the sets hits some, and in a share of 1 - s of these its smallest hash is in one set only;
     then the samples differ in that hash and in the other set's, if it has one in the bin. The more bins are hit
     twice, the more that count varies. Of B bits, d differing samples leave about B/2 * (1 - exp(-2d / B)) set, give
     or take d * sqrt(2 / B). Five deviations of either are allowed.
     """
-    small, large = F.least("a.n_shingles", "b.n_shingles"), F.greatest("a.n_shingles", "b.n_shingles")
-    s, total = percent / 100, F.col("a.n_shingles") + F.col("b.n_shingles")
+    s, total = percent / 100, n_a + n_b
     union = total / (1 + s)
-    hit = SAMPLES * (1 - F.exp(-union / SAMPLES))
-    each = 2 - F.exp(-total / (2.0 * SAMPLES))
-    most = each * (hit * (1 - s) + 5 * F.sqrt(hit * s * (1 - s) * (1 - hit / union)))
-    bits = SKETCH_BITS / 2 * (1 - F.exp(-2 * most / SKETCH_BITS)) + 5 * most * (2 / SKETCH_BITS) ** 0.5 + 2
-    return (small * 100 >= large * percent) & (differing() <= bits)
+    hit = SAMPLES * (1 - exp(-union / SAMPLES))
+    each = 2 - exp(-total / (2.0 * SAMPLES))
+    most = each * (hit * (1 - s) + 5 * sqrt(hit * s * (1 - s) * (1 - hit / union)))
+    return SKETCH_BITS / 2 * (1 - exp(-2 * most / SKETCH_BITS)) + 5 * most * (2 / SKETCH_BITS) ** 0.5 + 2
+
+
+def may_be_similar(percent: int) -> Column:
+    """Whether sizes and sketches of the sides ``a`` and ``b`` leave room for that similarity."""
+    n_a, n_b = F.col("a.n_shingles"), F.col("b.n_shingles")
+    sizes = F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
+    return sizes & (differing() <= bits_allowed(n_a, n_b, percent, F.exp, F.sqrt))
 
 
 def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (u, v) whose full sets are similar enough."""
     ends = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = materialise(sets_of(docs, nodes.select("node", "row").join(ends, "node")))
+    sets = full_sets(docs, nodes, ends)
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(
         sets.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v"
     )
@@ -147,17 +163,65 @@ def confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int)
     return both.where(shared * 100 >= (F.size("a") + F.size("b") - shared) * percent).select("u", "v")
 
 
+def links_among(
+    components: list, sides: list[int | None], bands: np.ndarray, sketches: np.ndarray, sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of places that connect all nodes that share a band and are similar enough, but for those of one component
+    already. The sets are in ascending order of size; a set of one side meets those of the other only, if it has one.
+    """
+    _, label = np.unique(np.array(components, dtype=object), return_inverse=True)
+    side = np.array([-1 if s is None else s for s in sides])
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    found = []
+    for x, n in enumerate(sizes.tolist()):
+        upto = int(np.searchsorted(sizes, n * 100 // percent, side="right"))
+        others = np.arange(x + 1, upto)
+        others = others[(label[others] != label[x]) & ((side[others] != side[x]) | (side[x] < 0))]
+        others = others[(bands[others] == bands[x]).any(axis=1)]
+        differ = np.bitwise_count(sketches[others] ^ sketches[x]).sum(axis=1, dtype=np.int64)
+        for y in others[differ <= bits_allowed(n, sizes[others], percent, np.exp, np.sqrt)].tolist():
+            if label[x] != label[y]:
+                shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if shared * 100 >= (n + len(sets[y]) - shared) * percent:
+                    label[label == label[y]] = label[x]
+                    found.append((x, y))
+    return found
+
+
+def searched(parts: DataFrame, percent: int) -> DataFrame:
+    """Links (u, v) that connect the nodes of each search that are similar enough and were not connected before."""
+
+    def lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        values = column.combine_chunks()
+        return values.offsets.to_numpy(), values.values.to_numpy()
+
+    def search(table: pa.Table) -> pa.Table:
+        nodes = table.column("node").to_pylist()
+        offsets, flat = lists(table.column("shingles"))
+        sizes = np.diff(offsets)
+        order = sorted(range(len(nodes)), key=lambda i: (sizes[i], nodes[i]))
+        bands = lists(table.column("bands"))[1].reshape(-1, BANDS)[order]
+        sketches = lists(table.column("sketch"))[1].view(np.uint64).reshape(-1, SKETCH_BITS // 64)[order]
+        known, sides = table.column("component").to_pylist(), table.column("side").to_pylist()
+        sets = [flat[offsets[i] : offsets[i + 1]] for i in order]
+        pairs = links_among([known[i] for i in order], [sides[i] for i in order], bands, sketches, sets, percent)
+        u, v = ([nodes[order[pair[k]]] for pair in pairs] for k in (0, 1))
+        return pa.table({"u": pa.array(u, pa.binary()), "v": pa.array(v, pa.binary())})
+
+    return parts.groupBy("family", "search").applyInArrow(search, "u binary, v binary")
+
+
 def smallest_row() -> Column:
     """The row of the smallest id, null being the largest, and of its texts the one with the smallest key."""
     return F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
 
 
 def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """The columns of ``near_duplicates`` with row (the key of id and text) and kept, whether the row stays.
+    """The columns of ``near_duplicates`` with row (the key of id and text), kept and stays.
 
-    One row of each class stays: that of the smallest id, or of the smallest text hash if no row of the class has an
-    id or if several have that id. Rows that are equal in id and text are one and marked alike. All texts without
-    words stay.
+    ``kept`` says whether the row has its component's id, and is null without one. ``stays`` is true for one row of each
+    class: that of the smallest id, or of the smallest text hash if no row of the class has an id or if several have
+    that id. Rows that are equal in id and text are one and marked alike. All texts without words stay.
     """
     digested = materialise(digests(docs))
     nodes = materialise(
@@ -184,34 +248,33 @@ def classes(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     best = near.groupBy("node").agg(F.min(F.struct("unlike", "hub"))["hub"].alias("hub"))
     first = materialise(best.select(F.col("node").alias("u"), F.col("hub").alias("v")))
-    links = materialise(confirmed(docs, nodes, first, percent))
+    tied = materialise(components(confirmed(docs, nodes, first, percent)))
 
-    tied = components(links)
-    placed = buckets.join(tied, "node", "left").select(
+    placed = buckets.join(spread(tied), "node", "left").select(
         "bucket", "node", F.coalesce("component", "node").alias("component")
     )
     several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-    sizes = placed.join(several.select("bucket"), "bucket").groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("most"))
-    open_rows = materialise(
-        placed.join(largest.select("bucket", F.col("most.component").alias("largest")), "bucket").join(sketches, "node")
-    )
-    a, b = open_rows.where("component <> largest").alias("a"), open_rows.alias("b")
-    crossing = (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.component") != F.col("b.component"))
-    pairs = a.join(b, crossing & may_be_similar(percent)).select(
-        F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")
+    apart = materialise(placed.join(spread(several.select("bucket")), "bucket"))
+    leads = apart.groupBy("bucket").agg(F.min("node").alias("lead"))
+    stars = apart.join(spread(leads), "bucket").where("node <> lead")
+    families = components(stars.select(F.col("node").alias("u"), F.col("lead").alias("v")))
+    members = materialise(
+        families.withColumnRenamed("component", "family").join(apart.select("node", "component").distinct(), "node")
     )
-    more = confirmed(docs, nodes, materialise(pairs.distinct()), percent)
+    sets = full_sets(docs, nodes, members.select("node"))
+    whole = materialise(sets.join(members, "node").join(chosen.select("node", "bands", "sketch"), "node"))
+    more = searched(dealt(whole, percent), percent)
 
-    tied = components(links.union(more))
-    labelled = digested.select("doc_id", "row", "n_shingles", "node").join(tied, "node", "left")
+    tied = components(tied.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more))
+    labelled = digested.select("doc_id", "row", "n_shingles", "node").join(spread(tied), "node", "left")
     labelled = labelled.withColumn("label", F.coalesce("component", "node")).drop("component", "node")
     firsts = labelled.where("label IS NOT NULL").groupBy("label").agg(smallest_row().alias("first"))
     wordless = F.col("label").isNull()
-    return labelled.join(firsts, "label", "left").select(
+    named = labelled.join(spread(firsts), "label", "left").select(
         "doc_id", "n_shingles", F.when(wordless, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
-        "row", (wordless | (F.col("row") == F.col("first.row"))).alias("kept"),
+        "row", (wordless | (F.col("row") == F.col("first.row"))).alias("stays"),
     )
+    return named.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -219,16 +282,17 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 
     ``docs`` has doc_id and text; no other column is read. Null, empty and blank texts have an empty set and are
     linked with nothing. Texts are linked whether their rows have an id or not; the rows of one id are not linked by
-    it. A row without an id never names a component; that of a class that only such rows have is null.
+    it. A row without an id never names a component; that of a class that only such rows have is null. Repeated rows
+    each come back, alike; an empty table gives an empty one; texts of any length are read whole.
     """
     return classes(docs, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def deduplicated(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One document of each class, with all its columns: the one that ``classes`` keeps; of rows equal in id and text,
-    one. Texts without words stay, once per id.
+    """One document of each class, with all its columns: the one that ``classes`` lets stay; of rows equal in id and
+    text, one. Texts without words stay, once per id.
     """
-    rows = materialise(classes(docs, percent).where("kept").groupBy("row").agg(F.count("*").alias("rows")))
+    rows = materialise(classes(docs, percent).where("stays").groupBy("row").agg(F.count("*").alias("rows")))
 
     def of(kept: DataFrame) -> DataFrame:
         return docs.join(kept, row_key(docs) == kept.row, "left_semi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from reqmart.llm import odd_sketch_dedup as near, suffix_buckets as suffix
@@ -62,6 +64,35 @@ def test_rows_without_an_id_are_documents_too(spark):
     }
 
 
+def test_kept_is_told_by_the_id_alone(spark):
+    text = " ".join(f"w{n}" for n in range(90))
+    docs = [(1, text, "a"), (1, text + " tail", "a"), (2, text, "b"), (None, text, "b"), (None, None, "b"), (3, "", "c")]
+    got = near.classes(samples.documents(spark, docs))
+    assert rows(got, "doc_id", "component_id", "kept") == sorted(
+        [(1, 1, True), (1, 1, True), (2, 1, False), (None, 1, None), (None, None, None), (3, 3, True)], key=key
+    )
+    assert sum(r["stays"] for r in got.collect()) == 3
+
+
+@pytest.mark.parametrize("bound", [2_000_000, 3000])
+def test_near_copies_that_stay_apart(spark, monkeypatch, bound):
+    """They are compared within tasks: the search gives fewer links than there are documents, however it is cut."""
+    from reqmart.llm import ngram_join
+
+    monkeypatch.setattr(ngram_join, "FAMILY_SHINGLES", bound)
+    draw = random.Random(9)
+    base = [f"b{n}" for n in range(150)]
+    docs = [(n, " ".join(w if draw.random() > 0.02 else f"x{n}" for w in base)) for n in range(300)]
+    counted = []
+    searched = near.searched
+    monkeypatch.setattr(near, "searched", lambda *a: counted.append(searched(*a).cache()) or counted[-1])
+    got = rows(near.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")))
+    expected = samples.near_classes(docs)
+    assert got == sorted(expected, key=key)
+    assert 100 < len({c for _, _, c in expected}) < 290
+    assert counted[0].count() < len(docs)
+
+
 def test_a_chain_of_links_is_one_class(spark):
     words = [f"w{n}" for n in range(400)]
     texts = [(n, " ".join(words[n * 12 : n * 12 + 200])) for n in range(16)]
@@ -69,12 +100,15 @@ def test_a_chain_of_links_is_one_class(spark):
     assert {r[2] for r in got.collect()} == {0}
 
 
+@pytest.mark.parametrize("at_once", [200_000, 4])
 @pytest.mark.parametrize("links, expected", [
     ([], {}),
     ([(1, 2), (2, 3), (5, 4), (7, 7)], {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}),
     ([(n, n + 1) for n in range(30)], {n: 0 for n in range(31)}),
 ])
-def test_components(spark, links, expected):
+def test_components(spark, monkeypatch, links, expected, at_once):
+    """In one task, or in many that leave rounds to do."""
+    monkeypatch.setattr("reqmart.llm.components.TIED_AT_ONCE", at_once)
     found = components(spark.createDataFrame(links, "u long, v long"))
     assert dict(map(tuple, found.collect())) == expected
 
@@ -111,6 +145,17 @@ def test_a_null_id_is_the_last_document(spark):
     assert {r["doc_id"]: len(r["kept"]) for r in got.collect()} == {5: len(text), None: 0}
 
 
+def test_any_id_is_told_from_none(spark):
+    low, high = -(2**63), 2**63 - 1
+    shared, alone = (" ".join(f"{w}{n}" for n in range(40)) for w in ("word", "other"))
+    data = [(None, shared), (high, shared), (None, alone), (high, "x"), (low, alone), (low, "y" * 99)]
+    got = suffix.without_repeats(spark.createDataFrame(data, "doc_id long, text string"))
+    lengths = sorted((str(r["doc_id"]), len(r["kept"])) for r in got.collect())
+    assert lengths == sorted([
+        ("None", 0), (str(high), len(shared)), ("None", 0), (str(high), 1), (str(low), len(alone)), (str(low), 99)
+    ])
+
+
 def test_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near.near_duplicates(empty).count() == 0
