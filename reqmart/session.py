@@ -123,7 +123,7 @@ def scratch_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into a parquet table in the shared folder and read it back.
 
-    Later steps then neither repeat the lineage nor see tables that changed meanwhile, and the
+    Later steps then neither repeat the lineage nor see tables that are not the same any more, and the
     written size lets Spark decide soundly whether the result may be broadcast. Within a run the
     rows go when it ends, elsewhere as the application exits. Its shuffles are of no use once the
     rows are written; their files go with the job.

@@ -64,7 +64,7 @@ def test_cost_reports(spark, report, claims):
 
 
 @pytest.mark.parametrize("doubled", [False, True])
-def test_repeated_parameters_change_no_sum(spark, doubled):
+def test_repeated_parameters_alter_no_sum(spark, doubled):
     params = star.request_params(spark, SF_DIR)
     lookups = [f(spark, SF_DIR) for f in (star.formulary_list, star.request_network, star.request_formulary, star.specialty_master)]
     twice = params.unionAll(params) if doubled else params

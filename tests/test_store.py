@@ -116,7 +116,7 @@ def test_a_partitioned_table_is_there_throughout(store, first, monkeypatch, step
     assert rows(store.read("t"), "p", "v") == [("b", 7.0), ("c", 7.0)]
 
 
-def test_a_table_may_change_its_layout(store, first):
+def test_a_table_may_take_another_layout(store, first):
     store.append(first, "t", [])
     store.full_replace(store.read("t").withColumn("w", F.lit(1)), "t", ["r"])
     assert rows(store.read("t"), "p", "w") == [("a", 1), ("a", 1), ("b", 1), ("c", 1)]
