@@ -25,12 +25,19 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def shingles(words: Column, of) -> Column:
-    """``of`` each run of five words; a shorter text is one run, an empty one has none."""
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1))), lambda i: of(F.slice(words, i, SHINGLE))
-    )
-    return F.when(F.size(words) > 0, runs).otherwise(F.array().cast(runs_type(of)))
+def runs_of(words: Column, length: int, of) -> Column:
+    places = F.sequence(F.lit(1), F.greatest(F.size(words) - length + 1, F.lit(1)))
+    return F.transform(places, lambda i: of(F.slice(words, i, length)))
+
+
+def shingles(words: Column, of, shorter: list[int] = []) -> Column:
+    """``of`` each run of five words; a shorter text is one run, an empty one has none. Runs of the ``shorter`` lengths
+    come besides.
+    """
+    none = F.array().cast(runs_type(of))
+    runs = F.when(F.size(words) > 0, runs_of(words, SHINGLE, of)).otherwise(none)
+    others = [F.when(F.size(words) >= n, runs_of(words, n, of)).otherwise(none) for n in shorter]
+    return F.concat(runs, *others) if others else runs
 
 
 def runs_type(of) -> str:
@@ -72,9 +79,11 @@ def threshold(n_words: Column, sketches: DataFrame, percent: int) -> Column:
     return chosen
 
 
-def leaks(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, percent: int, least_words: int) -> DataFrame:
     """The pairs of ``contained_items``, with text_hash: doc_id and text_hash name a document, whatever its id."""
     read_items = items.select("item_id", F.xxhash64("text").alias("item_hash"), words(F.col("text")).alias("words"))
+    short = read_items.select(F.size("words").alias("n")).where(F.col("n").between(least_words, SHINGLE - 1))
+    shorter = sorted(row["n"] for row in short.distinct().collect()) if least_words < SHINGLE else []  # four at most
     item = ["item_id", "item_hash"]
     runs = read_items.select(*item, F.array_distinct(shingles(F.col("words"), as_text)).alias("runs"))
     whole = materialise(
@@ -87,7 +96,7 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     read_docs = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("words"))
     worth = threshold(F.size("words"), sketches, percent)
     hashes = read_docs.withColumn("worth", worth).where("worth IS NOT NULL").select(
-        *document, "worth", F.explode(shingles(F.col("words"), as_hash)).alias("hash")
+        *document, "worth", F.explode(shingles(F.col("words"), as_hash, shorter)).alias("hash")
     )
     meeting = hashes.where("hash <= worth").join(sketched, "hash").select(*document, "item_id").distinct()
     candidates = materialise(meeting)
@@ -96,29 +105,34 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     wanted = candidates.select(*document).distinct()
     same = read_docs.doc_id.eqNullSafe(wanted.doc_id) & (read_docs.text_hash == wanted.text_hash)
     looked_at = read_docs.join(wanted, same, "left_semi")
-    own = looked_at.select(*document, F.explode(F.array_distinct(shingles(F.col("words"), as_text))).alias("shingle"))
+    own = looked_at.select(*document, F.explode(F.array_distinct(shingles(F.col("words"), as_text, shorter))).alias("shingle"))
     pair = [*document, *item, "item_size"]
     hits = own.join(whole, "shingle").select(*pair, "shingle").distinct()
     counted = hits.groupBy(*pair).agg(F.count("*").alias("shared"))
     return counted.where(F.col("shared") * 100 >= F.col("item_size") * percent)
 
 
-def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+def contained_items(
+    docs: DataFrame, items: DataFrame, percent: int = PERCENT, least_words: int = SHINGLE
+) -> DataFrame:
     """The pairs of a document and an item it contains: doc_id, item_id, item_size, shared, containment.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; no other column is read. Null and empty texts contain
-    nothing and are contained in nothing. An item of fewer than five words is found only in texts of the same words.
-    Rows with the same id and text count as one document or item; other texts of an id are documents or items of their
+    nothing and are contained in nothing. An item of fewer than five words is one run; from ``least_words`` on it is
+    found within longer texts, below only in texts of the same words, since a word or two are in any text. Other columns
+    may have any names; texts of any length are read whole. Rows with the same id and text count as one document or item; other texts of an id are documents or items of their
     own, each with its pairs, and so are the texts of null ids. Empty tables give no pairs.
     """
-    return leaks(docs, items, percent).select(
+    return leaks(docs, items, percent, least_words).select(
         "doc_id", "item_id", "item_size", "shared", (F.col("shared") / F.col("item_size")).alias("containment")
     )
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
+def decontaminated(
+    docs: DataFrame, items: DataFrame, percent: int = PERCENT, least_words: int = SHINGLE
+) -> DataFrame:
     """The documents that contain no item, with all their columns. Other texts of the same id, or without one, stay."""
-    found = leaks(docs, items, percent).select(
+    found = leaks(docs, items, percent, least_words).select(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")
     ).distinct()
     same = docs.doc_id.eqNullSafe(found.found_id) & (F.xxhash64(docs.text) == found.found_hash)

@@ -5,8 +5,8 @@ source stand in one line, by size; the expected copies are summed along the line
 document is emitted once for each whole number its stretch of the line crosses. As neighbours in the line have nearly
 the same size, the words taken come near the target.
 
-No task needs a whole source. The line is cut into blocks (size class, then one of 256 salts taken from the id), whose
-counts are summed per source first: a few thousand rows whatever the size of the source. Only the place within its
+No task needs a whole source. The line is cut into blocks (size class, then one of 256 salts taken from the id, or from
+the text where there is none), whose counts are summed per source first: a few thousand rows whatever the size of the source. Only the place within its
 block is counted over documents.
 """
 
@@ -29,7 +29,8 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most_copies: int = 3) -> DataFrame:
-    """One row per source with its target, from rows (source_key, no_source, source_size).
+    """One row per source with its target, from rows (source_key, no_source, source_size), in one task: sources are
+    named by those who gather them, thousands, and don't grow with the documents.
 
     Sources are put in code point order, the null source last, and take the weights in turn. The sum of all sizes is
     shared by weight, but no source gets more than ``most_copies`` times its size; what is above goes to the others by
@@ -69,8 +70,9 @@ def with_copies(
 
     ``docs`` has doc_id, text and source; its other columns only travel in ``doc``, so their names can't clash. Null
     or empty texts have size 0; a source of size 0 has target 0 and no copies. A null source is a source of its own.
-    Null ids are ordered first; repeated rows each get copies of their own. An empty table gives an empty one. The
-    same rows give the same copies in every run, except that rows with equal id and equal size may change places.
+    Null ids are ordered first, rows of one size and id by a hash of the text; repeated rows each get copies of their
+    own. An empty table gives an empty one. Texts of any length are read whole. The same rows give the same copies in
+    every run.
     """
     kept = docs.columns if keep is None else keep
     size = word_count(F.col("text"))
@@ -80,13 +82,14 @@ def with_copies(
         F.coalesce(F.col("source"), F.lit("")).alias("source_key"),
         F.col("source").isNull().alias("no_source"),
         size.alias("size"),
+        F.xxhash64("text").alias("tie"),
+        F.when(F.col("doc_id").isNull(), F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("named_by"),
     )
     classed = sized.withColumn("size_bits", F.length(F.bin("size"))).withColumn(
         "size_head", F.expr("shiftright(size, greatest(size_bits - 6, 0))")
     )
-    blocked = classed.withColumn(
-        "salt", F.substring(F.md5(F.coalesce(F.col("id").cast("string"), F.lit(""))), 1, 2)
-    )
+    salt = F.substring(F.coalesce(F.md5(F.col("id").cast("string")), "named_by"), 1, 2)
+    blocked = classed.withColumn("salt", salt).drop("named_by")
 
     per_block = [F.count("*").alias("block_rows"), F.sum("size").alias("block_size")]
     counts = materialise(blocked.groupBy(*BLOCK).agg(*per_block))
@@ -106,7 +109,7 @@ def with_copies(
     offset = F.conv(F.substring(F.md5(named), 1, 4), 16, 10).cast("double") / OFFSET_STEPS
     blocks = starts.join(targets.withColumn("offset", offset), ["source_key", "no_source"])
 
-    in_block = Window.partitionBy(*BLOCK).orderBy("size", "id")
+    in_block = Window.partitionBy(*BLOCK).orderBy("size", "id", "tie")
     placed = blocked.withColumn("place", F.row_number().over(in_block)).join(blocks, BLOCK)
     reached = F.col("block_start") + F.col("place")
     crossed = F.floor(F.col("offset") + F.col("step") * reached) - F.floor(

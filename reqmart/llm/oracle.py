@@ -10,7 +10,7 @@ sized AS (
   FROM docs),
 blocked AS (
   SELECT *, length(bin(size)) AS size_bits, size >> greatest(length(bin(size)) - 6, 0) AS size_head,
-         substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 2) AS salt
+         substr(md5(coalesce(doc_id::VARCHAR, text, '')), 1, 2) AS salt
   FROM sized),
 totals AS (
   SELECT source_key, no_source, sum(size)::BIGINT AS source_size FROM blocked GROUP BY ALL),

@@ -103,11 +103,12 @@ class OrdinalModel:
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE) -> OrdinalModel:
-    """Fit on at most ``sample`` rated documents.
+    """Fit on at most ``sample`` rated documents, the same ones in every run.
 
     ``ratings`` has doc_id and grade (0 to ``grades`` - 1); rows with a null in either, or a grade out of range, and
-    documents with a null text are left out. Of a document rated twice, each rating counts. Without ratings all
-    weights are 0 and all grades equally likely.
+    documents with a null text are left out. Of a document rated twice, each rating counts; of an id with several
+    texts, each text. Rows of those beyond the sample are left out in the order of hashes of id and text. Without
+    ratings or documents all weights are 0 and all grades equally likely. Texts of any length are read whole.
     """
     rated = ratings.select("doc_id", F.col("grade").cast("int").alias("grade"))
     rated = rated.where(F.col("doc_id").isNotNull() & F.col("grade").between(0, grades - 1))
@@ -115,8 +116,10 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
     texts = docs.select("doc_id", "text").where("text IS NOT NULL")
     # At most ``sample`` rows of two numbers are sent to the executors.
     examples = texts.join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "grade", F.pandas_udf(hashed_sets, "array<int>")("text").alias("features")
+        "doc_id", "grade", F.xxhash64("text").alias("text_hash"),
+        F.pandas_udf(hashed_sets, "array<int>")("text").alias("features"),
     )
+    in_order = [F.xxhash64("doc_id"), "doc_id", "text_hash", "grade"]
 
     def fit_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [r for batch in batches for r in zip(batch["doc_id"], batch["grade"], batch["features"])]
@@ -126,7 +129,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE)
         yield pd.DataFrame(numbers, columns=["key", "value"])
 
     # The limit leaves one task, which has at most ``sample`` rows.
-    numbers = dict(map(tuple, examples.limit(sample).mapInPandas(fit_all, "key long, value double").collect()))
+    numbers = dict(map(tuple, examples.orderBy(*in_order).limit(sample).mapInPandas(fit_all, "key long, value double").collect()))
     if not numbers:
         return learn([], np.zeros(0, dtype=int), grades)
     thresholds = [numbers.pop(-1 - k) for k in range(grades - 1)]

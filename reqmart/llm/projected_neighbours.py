@@ -171,7 +171,7 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     ``vectors`` has id and vector (array of numbers); no other column is read. A query is no candidate of its own.
     Equal scores are ranked by id. Rows without an id, or whose vector is null, zero, holds a null or non-finite
     number, or differs in length from most, take no part. Rows that repeat an id and its vector count once. Fewer rows
-    than ``k`` give all; an empty table none.
+    than ``k`` give all; an empty table none. Vectors of any length are projected whole.
     """
     spark = vectors.sparkSession
     plain = usable(vectors.select(F.col("id").cast("bigint"), F.col("vector").cast("array<double>")))
@@ -208,7 +208,6 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     # A cell that came out larger than the sample foretold is cut into blocks.
     blocks = celled.groupBy("cell").agg(F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("blocks"))
     dealt = celled.join(blocks, "cell").withColumn("block", F.expr("pmod(xxhash64(name), blocks)").cast("int"))
-    chunks = math.ceil(max(asked.count(), 1) / QUERY_ROWS)
 
     bound = chi_square_bound(SURE)
 
@@ -234,11 +233,15 @@ def neighbours(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     def searched(asking: DataFrame, first: bool) -> DataFrame:
         routed = asking.withColumn("cell", F.explode(visits(first)("vector", "worst"))).join(blocks, "cell")
-        routed = routed.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-        routed = routed.withColumn("chunk", F.expr(f"pmod(xxhash64(name), {chunks})").cast("int"))
-        left = routed.select("cell", "block", "chunk", F.col("name").alias("query"), "vector", "worst")
-        right = dealt.select(
-            "cell", "block", F.explode(F.expr(f"sequence(0, {chunks - 1})")).alias("chunk"), "name", "vector",
+        routed = materialise(routed.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))))
+        # Only where more queries meet a block than a task takes are its rows copied, once for each part of them.
+        parts = routed.groupBy("cell", "block").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("chunks"))
+        left = routed.join(parts, ["cell", "block"]).select(
+            "cell", "block", F.expr("pmod(xxhash64(name), chunks)").cast("int").alias("chunk"),
+            F.col("name").alias("query"), "vector", "worst",
+        )
+        right = dealt.join(parts, ["cell", "block"]).select(
+            "cell", "block", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), "name", "vector",
             F.col("ids")[0].alias("least"),
         )
         keys = ["cell", "block", "chunk"]

@@ -2,7 +2,7 @@
 
 A file holds the ids of its documents, one after the other, as little-endian unsigned 32-bit integers, cut into frames
 of ``FRAME_IDS`` ids that decompress on their own. Two skippable frames follow, so that any zstandard reader can read
-the whole file as well: the document index (id and token count of each document, zstandard-compressed) and the seek
+the whole file as well: the document index (id, token count and whether the id is null, per document, zstandard-compressed) and the seek
 table in the public seekable format (compressed size, content size and low 32 bits of the content's xxh64, per frame).
 A reader fetches the two tables, then only the frames that hold the documents asked for, and checks each frame against
 its checksum.
@@ -28,7 +28,7 @@ import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from reqmart.session import checkpoint_root
+from reqmart.session import qualified, scratch_folder
 
 # Fixed values of the seekable format.
 INDEX_MAGIC = 0x184D2A50
@@ -38,16 +38,14 @@ HAS_CHECKSUMS = 0x80
 
 FRAME_IDS = 65536
 #: Words whose ids a worker keeps; beyond it starts anew. Bounds memory only.
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: ASCII characters that Python's split() takes for white space and the tokenizer does not.
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
 #: Added tokens begin with this; the tokenizer tells their case.
 ADDED = "<|"
 
 MANIFEST = "path string, first_id long, first_hash long, documents long, tokens long"
-DOCUMENTS = "path string, start_in_file long, doc_id long, n_tokens long, ids_crc32 long"
-#: Stands for a null id within a file; it sorts first, as null does.
-NULL_ID = -(2**63)
+DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 class Numbered(dict):
@@ -192,8 +190,9 @@ class SeekableWriter:
         self.out, self.compressor = out, zstandard.ZstdCompressor(level=level)
         self.pending, self.pending_ids, self.frames, self.index = [], 0, [], []
 
-    def add(self, doc_ids: np.ndarray, n_tokens: np.ndarray, ids: np.ndarray) -> None:
-        self.index.append(np.stack([doc_ids, n_tokens]).astype("<i8"))
+    def add(self, doc_ids: list[int | None], n_tokens: np.ndarray, ids: np.ndarray) -> None:
+        no_id = [i is None for i in doc_ids]
+        self.index.append(np.array([[i or 0 for i in doc_ids], n_tokens, no_id], dtype="<i8"))
         self.pending.append(ids)
         self.pending_ids += len(ids)
         if self.pending_ids >= FRAME_IDS:
@@ -211,7 +210,7 @@ class SeekableWriter:
 
     def close(self) -> None:
         self._flush(whole_frames=False)
-        index = np.concatenate([np.zeros((2, 0), "<i8"), *self.index], axis=1).astype("<i8")
+        index = np.concatenate([np.zeros((3, 0), "<i8"), *self.index], axis=1).astype("<i8")
         packed = self.compressor.compress(index.tobytes())
         self.out.write(struct.pack("<II", INDEX_MAGIC, len(packed)) + packed)
         table = b"".join(struct.pack("<III", *f) for f in self.frames)
@@ -234,8 +233,8 @@ class SeekableReader:
         self.offsets = np.concatenate([[0], np.cumsum(table[:, 0])])
         self.frames = table[:-1]
         packed = self._bytes(int(self.offsets[-2]) + 8, int(table[-1, 0]) - 8)
-        index = np.frombuffer(self.decompressor.decompress(packed), "<i8").reshape(2, -1)
-        self.doc_ids, self.n_tokens = index
+        index = np.frombuffer(self.decompressor.decompress(packed), "<i8").reshape(3, -1)
+        self.doc_ids, self.n_tokens, self.no_id = index
         self.starts = np.concatenate([[0], np.cumsum(self.n_tokens)])
         self.at, self.content = -1, np.zeros(0, "<u4")
 
@@ -267,9 +266,7 @@ class SeekableReader:
 
 
 def open_store(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system and path of a folder; a plain path is a local one."""
-    if "://" not in folder and not folder.startswith("file:"):
-        return fs.LocalFileSystem(), folder
+    """The file system and path of a folder with a scheme."""
     if folder.startswith("file:"):
         return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
     return fs.FileSystem.from_uri(folder)
@@ -282,9 +279,11 @@ def write_token_files(
     file.
 
     Files hold ascending ranges of doc_id: null ids first, equal ids by the text's hash. A null text gives ``end_id``
-    alone. Only doc_id and text are read. An empty table gives an empty manifest.
+    alone. Only doc_id and text are read. An empty table gives an empty manifest. Texts of any length are encoded whole
+    and may span any number of frames. A folder without a scheme is one of Spark's default file system.
     """
     spark = docs.sparkSession
+    folder = qualified(spark, folder)
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,12 +299,12 @@ def write_token_files(
                 encoder = worker_encoder(tokenizer_path)
                 store.create_dir(place, recursive=True)
                 writer = SeekableWriter(store.open_output_stream(path, compression=None), level)
-            doc_ids = batch.column(0).fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            doc_ids = batch.column(0).to_pylist()
             for at in range(0, batch.num_rows, 1024):
                 ids, n_tokens = encoder.ids_of(batch.column(2)[at : at + 1024].to_pylist(), end_id)
                 writer.add(doc_ids[at : at + 1024], n_tokens, ids)
                 documents, tokens = documents + len(n_tokens), tokens + len(ids)
-            first = first or (int(doc_ids[0]), batch.column(1)[0].as_py())
+            first = first or (doc_ids[0], batch.column(1)[0].as_py())
         if writer is not None:
             writer.close()
             writer.out.close()
@@ -321,30 +320,35 @@ def write_token_files(
 
 
 def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
-    """Per document what the files hold: path, start within the file, doc_id, n_tokens, crc32 of its ids."""
-    files = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Per document what the files hold: doc_id, start (the ids of all documents before it, over all files), n_tokens,
+    crc32 of its ids.
+
+    Each file is told where it starts before it is read, by a sum over the manifest, a row per file.
+    """
+    spark = manifest.sparkSession
+    folder, files = qualified(spark, folder), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = Window.orderBy("first_id", "first_hash").rowsBetween(Window.unboundedPreceding, -1)
+    placed = manifest.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("file_start"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, file_start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 store, _ = open_store(folder)
                 with store.open_input_file(path) as file:
                     reader = SeekableReader(file)
                     for at in range(0, len(reader.doc_ids), 10_000):
                         places = range(at, min(at + 10_000, len(reader.doc_ids)))
-                        doc_ids = reader.doc_ids[at : at + 10_000]
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([path] * len(places)),
-                                pa.array(reader.starts[at : at + len(places)]),
-                                pa.array(doc_ids, mask=doc_ids == NULL_ID),
+                                pa.array(reader.doc_ids[at : at + 10_000], mask=reader.no_id[at : at + 10_000] == 1),
+                                pa.array(file_start + reader.starts[at : at + len(places)]),
                                 pa.array(reader.n_tokens[at : at + 10_000]),
                                 pa.array([crc32(reader.chunks(p)) for p in places], pa.int64()),
                             ],
-                            names=["path", "start_in_file", "doc_id", "n_tokens", "ids_crc32"],
+                            names=["doc_id", "start", "n_tokens", "ids_crc32"],
                         )
 
-    return manifest.select("path").repartition(files, "path").mapInArrow(read, DOCUMENTS)
+    return placed.repartition(files, "path").mapInArrow(read, DOCUMENTS)
 
 
 def crc32(chunks: Iterator[np.ndarray]) -> int:
@@ -357,13 +361,7 @@ def crc32(chunks: Iterator[np.ndarray]) -> int:
 def token_table(docs: DataFrame, tokenizer_path: str, folder: str | None = None, **settings) -> DataFrame:
     """Write the token files of ``docs`` and read them back: doc_id, start, n_tokens, ids_crc32 per document.
 
-    ``start`` counts the ids of all documents before, over all files: a sum over the manifest's rows, one per file,
-    and the place that the file itself gives.
+    Without a folder the files are intermediate ones, which go when the run or the application ends.
     """
-    folder = folder or f"{checkpoint_root(docs.sparkSession)}/token_files/{uuid.uuid4().hex}"
-    manifest = write_token_files(docs, folder, tokenizer_path, **settings)
-    before = Window.orderBy("first_id", "first_hash").rowsBetween(Window.unboundedPreceding, -1)
-    starts = manifest.select("path", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("file_start"))
-    return read_token_files(manifest, folder).join(starts, "path").select(
-        "doc_id", (F.col("file_start") + F.col("start_in_file")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    folder = folder or scratch_folder(docs.sparkSession)
+    return read_token_files(write_token_files(docs, folder, tokenizer_path, **settings), folder)

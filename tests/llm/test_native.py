@@ -120,3 +120,29 @@ def test_a_hot_source_is_placed_in_many_blocks(spark):
     assert mix.agg({"copies": "sum"}).first()[0] == 4000
     plan = mix._jdf.queryExecution().toString()
     assert "salt" in plan and rows(mix.select("target").distinct()) == [(16000.0,)]
+
+
+def test_rows_without_an_id_are_taken_alike_in_every_run(spark):
+    """They are spread and ordered by their texts."""
+    docs = spark.range(3000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('two w', id) AS text", "if(id % 3 = 0, 'a', 'b') AS source")
+    taken = [
+        rows(mixing.with_copies(docs.repartition(n), keep=["text"]), "doc.text", "copies") for n in (1, 6)
+    ]
+    assert taken[0] == taken[1] and len({c for _, c in taken[0]}) > 1
+
+
+def test_items_of_few_words_within_long_texts(spark):
+    long = "lorem " * 30
+    docs = [(1, f"{long} alpha beta {long}"), (2, f"{long} beta alpha"), (3, "Gamma"), (4, f"alpha. {long}one two three four"),
+            (5, "one two three"), (6, None), (7, "")]
+    items = [(10, "Alpha beta"), (11, "gamma"), (12, "one two three four"), (13, "two three"), (14, None), (15, "one two three")]
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+
+    def pairs(least):
+        return rows(decontaminate.contained_items(docs, items, least_words=least), "doc_id", "item_id")
+
+    whole = [(3, 11), (5, 15)]
+    assert pairs(5) == whole
+    assert pairs(3) == sorted([*whole, (4, 12), (4, 15)])
+    assert pairs(1) == sorted([*whole, (1, 10), (4, 12), (4, 13), (4, 15), (5, 13)])
+    assert rows(decontaminate.decontaminated(docs, items, least_words=2), "doc_id") == [(2,), (6,), (7,)]

@@ -205,6 +205,75 @@ def test_quality_of_awkward_documents(spark):
     assert graded(samples.documents(spark, []), labels).count() == 0
 
 
+def plain_fit(examples, n_grades, passes=20, batch=64, step=1.0, l1=20.0, l2=0.01):
+    """The regression, one example and one weight at a time."""
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-min(max(x, -35), 35)))
+
+    seen = {}
+    for features, _ in examples:
+        for f in features:
+            seen[f] = seen.get(f, 0) + 1
+    least = max(2, len(examples) // 1000)
+    data = [(sorted(f for f in features if seen[f] >= least), grade) for features, grade in examples]
+    shares = [(sum(g == k for _, g in data) + 1) / (len(data) + n_grades) for k in range(n_grades)]
+    below = [sum(shares[: k + 1]) for k in range(n_grades - 1)]
+    thresholds = [math.log(b / (1 - b)) for b in below]
+    weights, sums, squares = {}, {}, {}
+    order = np.random.default_rng(7)
+    for _ in range(passes):
+        for rows_ in np.array_split(order.permutation(len(data)), max(1, len(data) // batch)):
+            edges = [-math.inf, *thresholds, math.inf]
+            gradient, moves = {}, [0.0] * (n_grades - 1)
+            for i in rows_:
+                features, grade = data[i]
+                score = sum(weights.get(f, 0.0) for f in features)
+                upper, lower = sigmoid(edges[grade + 1] - score), sigmoid(edges[grade] - score)
+                for f in features:
+                    gradient[f] = gradient.get(f, 0.0) + 1 - upper - lower
+                share = max(upper - lower, 1e-6)
+                if grade < n_grades - 1:
+                    moves[grade] += upper * (1 - upper) / share
+                if grade > 0:
+                    moves[grade - 1] -= lower * (1 - lower) / share
+            for f, g in gradient.items():
+                grown = squares.get(f, 0.0) + g * g
+                w = weights.get(f, 0.0)
+                sums[f] = sums.get(f, 0.0) + g - (math.sqrt(grown) - math.sqrt(squares.get(f, 0.0))) / step * w
+                squares[f] = grown
+                shrunk = math.copysign(max(abs(sums[f]) - l1, 0.0), sums[f])
+                weights[f] = min(-shrunk / ((1 + math.sqrt(grown)) / step + l2), 0.0)
+            moved = [t + 0.02 * min(max(m, -5.0), 5.0) + 1e-3 * k for k, (t, m) in enumerate(zip(thresholds, moves))]
+            thresholds = [max(moved[: k + 1]) for k in range(len(moved))]
+    return weights, thresholds
+
+
+def test_grades_equal_those_of_a_plain_fit(spark):
+    """Fit and scores of the query, document by document."""
+    texts = dict(samples.table_rows(SF_DIR, "documents", "doc_id, text"))
+    labels = samples.table_rows(SF_DIR, "labels", "doc_id, quality, toxic")
+    rated = sorted(
+        (doc, 0 if q == 0 else 1 if t == 1 else 2) for doc, q, t in labels if texts.get(doc) is not None and (q == 0 or t is not None)
+    )
+    tokens = {doc: {quality.hashed(t) for t in quality.tokens_of(text or "")} for doc, text in texts.items()}
+    weights, thresholds = plain_fit([(tokens[doc], grade) for doc, grade in rated], 3)
+    got = {r["doc_id"]: r for r in QUERIES["op5_ordinal_quality"](spark, SF_DIR).collect()}
+    assert set(got) == set(texts) and any(weights.values())
+    for doc, text in texts.items():
+        score = sum(weights.get(quality.hashed(t), 0.0) for t in sorted(quality.tokens_of(text or "")))
+        tails = [1 - 1 / (1 + math.exp(-(t - score))) for t in thresholds]
+        assert got[doc]["expected_grade"] == pytest.approx(sum(tails), abs=1e-5), doc
+        assert got[doc]["p_best"] == pytest.approx(tails[1], abs=1e-5) and got[doc]["kept"] == (round(tails[1], 6) >= 0.8)
+
+
+def test_the_sample_is_the_same_in_every_run(spark):
+    """Also where an id has many texts, more than the sample holds."""
+    docs = spark.createDataFrame([(n % 7, f"text number {n} " + "good " * (n % 5) + "bad " * (n % 3)) for n in range(300)], "doc_id long, text string")
+    ratings = spark.createDataFrame([(n, n % 2) for n in range(7)], "doc_id long, grade int")
+    models = [quality.fit(docs.repartition(n), ratings, 2, sample=50) for n in (1, 5)]
+    assert models[0].weights == models[1].weights and (models[0].thresholds == models[1].thresholds).all()
+
+
 def nearest(vectors, k=20, every=20):
     ids = np.array([i for i, _ in vectors])
     matrix = np.array([v for _, v in vectors], dtype=float)
@@ -236,6 +305,20 @@ def test_neighbours_in_many_cells(spark, monkeypatch):
     assert len(found & expected) >= 0.9 * len(expected)
 
 
+def test_rows_are_copied_only_where_many_queries_meet(spark, monkeypatch):
+    for name, value in (("CELL_ROWS", 64), ("QUERY_ROWS", 256)):
+        monkeypatch.setattr(near, name, value)
+    routed, stored = [], near.materialise
+    monkeypatch.setattr(near, "materialise", lambda df: routed.append(stored(df)) or routed[-1])
+    random = np.random.default_rng(8)
+    vectors = [(n, random.standard_normal(8).tolist()) for n in range(1024)]
+    near.neighbours(spark.createDataFrame(vectors, "id long, vector array<double>"), k=3, every=2)
+    at_home = [df for df in routed if "block" in df.columns][0]
+    per_block = at_home.groupBy("cell", "block").count()
+    assert at_home.count() == 512 > near.QUERY_ROWS
+    assert per_block.agg({"count": "max"}).first()[0] <= near.QUERY_ROWS
+
+
 def test_awkward_vectors(spark):
     good = [(n, [float(n % 5), 1.0, 0.5]) for n in range(30)] + [(60, [4.0, 1.0, 0.5])]
     bad = [(100, None), (120, [0.0, 0.0, 0.0]), (140, [1.0, None, 0.0]), (160, [math.nan, 1.0, 0.0]), (180, [math.inf, 1.0, 0.0]),

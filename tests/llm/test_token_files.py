@@ -51,6 +51,30 @@ def test_awkward_documents(spark, encode):
     assert token_files.token_table(samples.documents(spark, []), PATH).count() == 0
 
 
+def test_any_id_is_told_from_none(spark, encode):
+    low, high = -(2**63), 2**63 - 1
+    docs = spark.createDataFrame([(low, "a"), (None, "b c"), (high, "d"), (0, "e")], "doc_id long, text string")
+    got = sorted(map(tuple, token_files.token_table(docs, PATH, files=3).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == [None, low, 0, high]
+    assert [r[3] for r in got] == [zlib.crc32(encode(t).tobytes()) for t in ("b c", "a", "e", "d")]
+
+
+def test_random_characters(encode):
+    """Words are encoded apart from their text; nothing in Unicode may tell."""
+    draw = np.random.default_rng(3)
+    ranges = [(0x20, 0x7F), (0xA0, 0x250), (0x300, 0x370), (0x370, 0x600), (0x900, 0xE00), (0x1E00, 0x2070), (0x3040, 0x3100), (0x1F300, 0x1F700)]
+    texts = []
+    for _ in range(400):
+        low, high = ranges[draw.integers(len(ranges))]
+        codes = np.where(draw.random(80) < 0.5, draw.integers(low, high, 80), draw.integers(0x20, 0x7F, 80))
+        codes[draw.random(80) < 0.15] = draw.choice([0x20, 0x0A, 0x09, 0x0B, 0x1C, 0x85, 0xA0, 0x2003, 0x200D])
+        texts.append("".join(map(chr, codes)))
+    ids, lengths = token_files.WordEncoder(PATH).ids_of(texts, 1)
+    ends = np.cumsum(lengths)
+    for text, end, n in zip(texts, ends, lengths):
+        assert (ids[end - n : end] == encode(text)).all(), text
+
+
 @pytest.mark.parametrize("token", ["<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|x|>"])
 def test_added_tokens_are_told_by_case(encode, token):
     texts = [token, f"One {token} two", f"One{token}Two, {token}, {token}. A<|B", f"{token.lower()} {token.upper()}"]
