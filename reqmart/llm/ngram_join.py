@@ -305,9 +305,10 @@ def linked(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         )
         enough = few_alone(F.size("sample"), F.col("opened"), percent)
         wanted = materialise(wanted.join(opened, "name").where(enough).drop("opened"))
-    # That comparison holds for all; Spark filters the texts by a side that has one.
+    # Spark filters the texts by a narrow table that is filtered itself; that comparison holds for all.
+    rows = materialise(wanted.select("node", "row", "n"))
     with settings(docs.sparkSession, FILTER_BEFORE_JOIN):
-        sets = materialise(sets_of(docs, wanted.where("n > 0").select("node", "row")))
+        sets = materialise(sets_of(docs, rows.where("n > 0").select("node", "row")))
     found = met(sets.select("node", F.explode("shingles").alias("shingle"))).groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("open")
     )
