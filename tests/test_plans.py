@@ -103,3 +103,26 @@ def test_measures_are_picked_without_unpivoting(spark):
     combined = plan(QUERIES["mshare_combined"](spark, SF_DIR))
     # Its output holds no revenue sum, so none is computed.
     assert "std_wo_ees_open_none_id" not in combined
+
+
+def test_summary_metrics_deals_rows_once(spark):
+    """The tagged rows, several per prescription, are summed by request where they are made: one shuffle in all."""
+    from reqmart.plans import claims
+
+    columns = "parent_request_id req_gid task_id awp wac_amt dayssply genbrand rxnum dlvry_systm_cd mc retail_ds ltc_clm"
+    rows = [
+        ("P1", "1", "T", 10.0, 20.0, 30, "B", "RX1", "R", "0", 30, "0"),
+        ("P1", "1", "T", 30.0, 60.0, 90, "B", "RX1", "R", "1", 90, "0"),
+        ("P1", "1", "T", 5.0, 10.0, 10, "G", "RX2", "M", "0", 0, "1"),
+        ("P2", "1", "T", 7.0, 14.0, None, "G", "RX1", "R", "0", None, "0"),
+    ]
+    base = spark.createDataFrame(rows, columns.split())
+    summary = claims.summary_metrics(base)
+    assert plan(summary).count("Exchange") == 1
+    got = {
+        (r.parent_request_id, r.qc_metrics, r.metric, r.genbrand_new): (r.rxnumcnt, r.awp_count, r.totrxnumcnt, r.awptotal)
+        for r in summary.collect()
+    }
+    assert got[("P1", "MAIL/RETAIL", "R", "BRAND")] == (1, 2, 2, 45.0)
+    assert got[("P1", "MAIL/RETAIL", "M", "GENERIC")] == (1, 1, 2, 45.0)
+    assert got[("P2", "MAIL/RETAIL", "R", "GENERIC")] == (1, 1, 1, 7.0)
