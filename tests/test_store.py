@@ -166,3 +166,28 @@ def test_few_rows_over_many_partitions_are_written_by_several_tasks(spark, store
     files = store.read("spread").select(F.substring(F.col("_metadata.file_name"), 1, 10).alias("task")).distinct()
     assert files.count() > 1
     assert store.read("spread").count() == 20000
+
+
+def test_many_partitions_are_listed_by_few_tasks(spark, store):
+    rows = spark.range(300).select(F.col("id").cast("string").alias("p"), F.lit("x").alias("r"), F.col("id").cast("double").alias("v"))
+    store.append(rows, "many", LAYOUT)
+    spark.catalog.refreshTable(store.table("many"))
+    spark.sparkContext.setJobGroup("listed", "")
+    try:
+        assert store.read("many").where("v >= 0").count() == 300
+    finally:
+        spark.sparkContext.setJobGroup("others", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("listed") for s in tracker.getJobInfo(job).stageIds}
+    assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) <= 128
+
+
+def test_partitions_are_compared_only_where_some_were_stored(spark, store, first, monkeypatch):
+    store.append(first, "t", LAYOUT)
+    dropped = []
+    monkeypatch.setattr(store, "_drop_partitions", lambda partitions, name: dropped.append(name))
+    new, keys = first.where("p = 'a'").withColumn("p", F.lit("n")), spark.createDataFrame([("n",)], "k string")
+    store.replace_keys(new, "t", keys, {"p": "k"}, LAYOUT)
+    assert dropped == [] and store.read("t").where("p = 'n'").count() == 2
+    store.replace_keys(new.where("v = 1"), "t", keys, {"p": "k"}, LAYOUT)
+    assert dropped == ["t"] and store.read("t").where("p = 'n'").count() == 1
