@@ -127,3 +127,15 @@ def test_summary_metrics_deals_rows_once(spark):
     assert got[("P1", "MAIL/RETAIL", "R", "BRAND")] == (1, 2, 2, 45.0)
     assert got[("P1", "MAIL/RETAIL", "M", "GENERIC")] == (1, 1, 2, 45.0)
     assert got[("P2", "MAIL/RETAIL", "R", "GENERIC")] == (1, 1, 1, 7.0)
+
+
+def dealt_by(spark, setting, name: str) -> list[str]:
+    """The keys of a query's shuffles, with broadcasts off."""
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    return [re.sub(r"#\d+", "", keys) for keys in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(QUERIES[name](spark, SF_DIR)))]
+
+
+def test_claims_are_shuffled_once(spark, setting):
+    """By request; the join by claim number takes them as they lie."""
+    keys = dealt_by(spark, setting, "claims_base")
+    assert keys and not any("claimnbr" in k for k in keys)

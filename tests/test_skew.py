@@ -152,3 +152,34 @@ def test_cost_report_with_a_hot_request_and_a_hot_code(spark, skewed, tmp_path):
     assert rows(got) == rows(expected)
     # The restriction to the delta's requests and the lookup of the drug code.
     assert final_plan(report).split("Initial Plan")[0].count("skew=true") >= 2
+
+
+def test_claims_with_a_hot_request(spark, skewed, tmp_path):
+    """A third of the claims in one request: the join to its keys is split, although the next join could reuse it."""
+    from reqmart.functions import fixed_values as fixed
+    from reqmart.plans import claims
+
+    named = {**{c: "'x'" for c in [*claims.TAG_COLUMNS, *claims.TAG_RENAMES]}, "parent_request_id": "string(k)", "request_id": "'r'", "task_id": "'t'"}
+    named |= {"claimnbr": "if(id % 7 = 0, null, string(id))", "rxnum": "string(v % 500)", "awp": "double(id % 9)", "wac_amt": "1d", "drugname": "filler"}
+    named |= {"dlvry_systm_cd": "elt(int(v % 2) + 1, 'R', 'M')", "mc": "string(v % 2)", "ltc_clm": "'1'", "genbrand": "elt(int(v % 3) + 1, 'B', 'G', 'X')"}
+    path = str(tmp_path / "tags")
+    numbered = skewed.withColumn("id", F.monotonically_increasing_id())
+    numbered.selectExpr(*(f"{value} as `{name}`" for name, value in named.items())).write.parquet(path)
+    tags = spark.read.parquet(path)
+    preshift = tags.where("claimnbr % 3 <> 0").selectExpr(*fixed.REQUEST_KEYS, "claimnbr", "int(claimnbr % 100) dayssply")
+    delta = keys.new_keys(
+        spark.range(0, 900).selectExpr("string(id) uw_req_id", "'r' req_gid", "'t' cpt_id"), None, fixed.LEDGER_KEYS
+    )
+    base = claims.claims_base(tags, preshift, delta)
+    got = base.groupBy("parent_request_id").agg(F.count("*"), F.sum("awp"), F.sum("dayssply"))
+    expected = (
+        tags.where("int(parent_request_id) < 900")
+        .withColumn("days", F.expr("if(claimnbr % 3 <> 0, int(claimnbr % 100), null)"))
+        .groupBy("parent_request_id").agg(F.count("*"), F.sum("awp"), F.sum("days"))
+    )
+    assert rows(got) == rows(expected)
+    summary = claims.summary_metrics(base)
+    assert "skew=true" in final_plan(summary).split("Initial Plan")[0]
+    totals = rows(summary.where("qc_metrics = 'LTC'").select("parent_request_id", "totrxnumcnt", "awptotal").distinct())
+    counted = tags.where("int(parent_request_id) < 900").groupBy("parent_request_id").agg(F.count_distinct("rxnum"), F.sum("awp"))
+    assert totals == rows(counted)
