@@ -139,3 +139,8 @@ def test_claims_are_shuffled_once(spark, setting):
     """By request; the join by claim number takes them as they lie."""
     keys = dealt_by(spark, setting, "claims_base")
     assert keys and not any("claimnbr" in k for k in keys)
+
+
+def test_summary_is_summed_where_a_request_lies(spark, setting):
+    keys = dealt_by(spark, setting, "summary_metrics")
+    assert keys and not any("rxnum" in k or "qc_metrics" in k for k in keys)
