@@ -72,7 +72,8 @@ def share_claims(buckets: DataFrame, specialty: DataFrame, specialty_bucket: str
     """Claims per scenario year and pharmacy bucket: retail buckets and the specialty one.
 
     A bucket row with an unknown part counts nothing. ``specialty_bucket`` names the bucket under
-    which specialty claims are put out.
+    which specialty claims are put out. A scenario year has a row per bucket, so its rows are dealt by
+    the year's keys, which the shares are joined by.
     """
     parts = [
         "excl_brand_claims", "incl_brand_claims", "excl_generic_claims", "incl_generic_claims",
@@ -89,7 +90,7 @@ def share_claims(buckets: DataFrame, specialty: DataFrame, specialty_bucket: str
         .agg(F.sum("total_claims").alias("rxs"))
         .withColumn("pharmacy", F.lit(specialty_bucket))
     )
-    return union_distinct([retail, special])
+    return union_distinct([retail, special], CLAIM_KEYS)
 
 
 def mshare_combined(detail: DataFrame, claims: DataFrame) -> DataFrame:

@@ -144,3 +144,16 @@ def test_claims_are_shuffled_once(spark, setting):
 def test_summary_is_summed_where_a_request_lies(spark, setting):
     keys = dealt_by(spark, setting, "summary_metrics")
     assert keys and not any("rxnum" in k or "qc_metrics" in k for k in keys)
+
+
+def test_bucket_shares_are_dealt_once(spark, setting):
+    """The rows that are made distinct lie as their join needs them."""
+    keys = dealt_by(spark, setting, "mshare_combined")
+    years = "scenario_id, uw_req_id, proj_year, opportunity_id, business_type_id"
+    assert any(k.startswith(f"{years}, ") for k in keys)
+    assert not any(k.startswith(f"{years}, pharmacy, ") for k in keys)
+
+
+def test_lines_of_a_scenario_request_are_gathered_narrow(spark):
+    gathered = [line for line in plan(star.model_parameters(spark, SF_DIR)).splitlines() if "partial_collect_list" in line]
+    assert gathered and not any("network_pricing_groups" in line for line in gathered)
